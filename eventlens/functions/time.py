@@ -11,13 +11,12 @@ _PART_FORMATS = {"year": "yyyy", "month": "MM", "day": "dd", "hour": "HH"}
 
 
 def partition_parts(time_col: Column | str) -> list[Column]:
-    """Zero-padded year/month/day/hour, typed INT in the lake schema.
+    """Zero-padded year/month/day/hour text (``month=01`` in the path).
 
-    The path segments come out zero-padded (``month=01``) and read back as INT,
-    so ``day = 4`` keeps working against them.
+    The lake schema reads them back as INT, so ``day = 4`` keeps working.
     """
     t = F.col(time_col) if isinstance(time_col, str) else time_col
-    return [F.date_format(t, _PART_FORMATS[p]).cast("int").alias(p) for p in LAKE_PARTITIONS]
+    return [F.date_format(t, _PART_FORMATS[p]).alias(p) for p in LAKE_PARTITIONS]
 
 
 def iso_utc(c: Column | str) -> Column:

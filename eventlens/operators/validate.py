@@ -27,7 +27,7 @@ from eventlens.functions.contract import (
     CONTRACT_COLUMNS, DEVICE_FIELDS, EVENT_TYPES, OPTIONAL_STRING_FIELDS,
     REQUIRED_STRING_FIELDS,
 )
-from eventlens.functions.text import strip_ws
+from eventlens.functions.text import WHITESPACE
 
 MALFORMED = "malformed_json"
 NOT_OBJECT = "not_an_object"
@@ -40,26 +40,22 @@ def hash_event_id(text: Column) -> Column:
                        F.substring(h, 17, 4), F.substring(h, 21, 12))
 
 
-def _iso_timestamp(s: Column) -> Column:
-    ok = s.rlike(r"^\s*\d{4}-\d{2}-\d{2}([Tt _]\d{2}:\d{2}(:\d{2}(\.\d+)?)?)?(Z|z|[+-]\d{2}:?\d{2})?\s*$")
-    return F.when(ok, F.try_to_timestamp(F.btrim(s)))
+_NUMERIC = ("BIGINT", "INT", "SMALLINT", "TINYINT", "DOUBLE", "FLOAT")
+_SCALARS = ("event_id", "timestamp", *REQUIRED_STRING_FIELDS, *OPTIONAL_STRING_FIELDS, "price")
+_OBJECTS = ("device", "properties")
+_ISO = r"^\\s*\\d{4}-\\d{2}-\\d{2}([Tt _]\\d{2}:\\d{2}(:\\d{2}(\\.\\d+)?)?)?(Z|z|[+-]\\d{2}:?\\d{2})?\\s*$"
 
 
-def _epoch_timestamp(x: Column) -> Column:
-    """Numbers are Unix time: seconds, or milliseconds beyond 2e10."""
-    return F.when(F.abs(x) > F.lit(2e10), F.timestamp_millis(x.cast("long"))) \
-        .otherwise(F.timestamp_micros((x * F.lit(1e6)).cast("long")))
+def _sql_str(text: str) -> str:
+    """A SQL string literal with every character \\u-escaped (safe for any set)."""
+    return "'" + "".join(f"\\u{ord(ch):04x}" for ch in text) + "'"
 
 
-_NUMERIC = ("BIGINT", "INT", "SMALLINT", "TINYINT", "DOUBLE", "FLOAT")
-_SCALARS = ("event_id", "timestamp", *REQUIRED_STRING_FIELDS, *OPTIONAL_STRING_FIELDS, "price")
-_OBJECTS = ("device", "properties")
+_WS = _sql_str(WHITESPACE)
 
 
-def _kind(c: Column) -> Column:
-    """schema_of_variant of a scalar: STRING, BIGINT, DECIMAL(p,s), BOOLEAN,
-    VOID (JSON null), ...; NULL when the field is absent."""
-    return F.schema_of_variant(c)
+def _in(values) -> str:
+    return ", ".join(f"'{v}'" for v in values)
 
 
 def validate_json(messages: DataFrame, value_col: str = "value",
@@ -73,107 +69,112 @@ def validate_json(messages: DataFrame, value_col: str = "value",
     ``id_mode='hash'`` derives a missing event_id from the message text so a
     replay reproduces it; ``'uuid'`` draws a random one.
 
-    Three narrow stages, all in whole-stage codegen: parse; extract each
-    field's kind and value once; check and assemble.
+    Three narrow stages: parse; look up each declared path once (its kind,
+    from ``schema_of_variant``, and its text); check and assemble.  The
+    expressions are SQL text, so building the plan costs one call per column.
     """
     text = F.col(value_col).cast("string")
     arrival = F.col(arrival_col).cast("timestamp") if arrival_col else F.current_timestamp()
     parsed = messages.select(text.alias("raw"), arrival.alias("_arrival"),
                              F.try_parse_json(text).alias("_doc"))
-    d = F.col("_doc")
-
-    # -- stage 1: one lookup per declared path -------------------------------
-    ext = [F.col("raw"), F.col("_arrival"),
-           (d.isNotNull() & F.ltrim(F.col("raw")).startswith("{")).alias("_obj"),
-           d.isNull().alias("_bad")]
-    for name in _SCALARS:
-        v = F.variant_get(d, f"$.{name}", "variant")
-        ext += [_kind(v).alias(f"k_{name}"), F.try_variant_get(v, "$", "string").alias(f"s_{name}")]
-    ext.append(F.try_variant_get(d, "$.price", "double").alias("n_price"))
+
+    # -- stage 1: one lookup per declared path ---------------------------------
+    ext = ["raw", "_arrival",
+           "_doc IS NOT NULL AND startswith(ltrim(raw), '{') AS _obj",
+           "_doc IS NULL AS _bad"]
+    paths = [(n, f"$.{n}") for n in _SCALARS] + [(f"device_{n}", f"$.device.{n}") for n in DEVICE_FIELDS]
+    for name, path in paths:
+        v = f"variant_get(_doc, '{path}', 'variant')"
+        ext += [f"schema_of_variant({v}) AS k_{name}",
+                f"try_variant_get(_doc, '{path}', 'string') AS s_{name}"]
+    ext.append("try_variant_get(_doc, '$.price', 'double') AS n_price")
     for name in _OBJECTS:
-        ext.append(F.to_json(F.variant_get(d, f"$.{name}", "variant")).alias(f"j_{name}"))
-    for name in DEVICE_FIELDS:
-        v = F.variant_get(d, f"$.device.{name}", "variant")
-        ext += [_kind(v).alias(f"k_device_{name}"), F.try_variant_get(v, "$", "string").alias(f"s_device_{name}")]
-    fields = _fence(parsed.select(*ext))
-
-    # -- stage 2: checks on plain columns ---------------------------------------
-    def k(n): return F.col(f"k_{n}")
-    def s(n): return F.col(f"s_{n}")
-    def present(n): return k(n).isNotNull()
-    def is_null(n): return k(n) == F.lit("VOID")
-    def is_str(n): return k(n) == F.lit("STRING")
-    def is_num(n): return k(n).isin(*_NUMERIC) | k(n).startswith("DECIMAL")
-    def as_str(n): return F.when(is_str(n), s(n))
-
-    checks: list[Column] = []
-    values: dict[str, Column] = {}
-
-    def reason(cond: Column, code: str) -> None:
-        checks.append(F.when(cond, F.lit(code)))
-
-    for name in REQUIRED_STRING_FIELDS:
-        reason(~present(name), f"{name}:missing")
-        reason(is_null(name), f"{name}:null")
-        reason(present(name) & ~is_null(name) & ~is_str(name), f"{name}:not_a_string")
-        if name == "event_type":
-            reason(is_str(name) & ~s(name).isin(*EVENT_TYPES), "event_type:not_allowed")
-            values[name] = as_str(name)
+        ext.append(f"to_json(variant_get(_doc, '$.{name}', 'variant')) AS j_{name}")
+    fields = _fence(parsed.selectExpr(*ext))
+
+    # -- stage 2: checks on plain columns -----------------------------------------
+    def present(n): return f"k_{n} IS NOT NULL"
+    def is_null(n): return f"k_{n} = 'VOID'"
+    def is_str(n): return f"k_{n} = 'STRING'"
+    def is_num(n): return f"(k_{n} IN ({_in(_NUMERIC)}) OR startswith(k_{n}, 'DECIMAL'))"
+    def as_str(n): return f"CASE WHEN {is_str(n)} THEN s_{n} END"
+    def strip(e): return f"btrim({e}, {_WS})"
+    def wrong_type(n): return f"{present(n)} AND NOT {is_null(n)} AND NOT {is_str(n)}"
+
+    checks: list[str] = []
+    values: dict[str, str] = {}
+
+    def reason(cond: str, code: str) -> None:
+        checks.append(f"CASE WHEN {cond} THEN '{code}' END")
+
+    for n in REQUIRED_STRING_FIELDS:
+        reason(f"NOT ({present(n)})", f"{n}:missing")
+        reason(is_null(n), f"{n}:null")
+        reason(wrong_type(n), f"{n}:not_a_string")
+        if n == "event_type":
+            reason(f"{is_str(n)} AND s_{n} NOT IN ({_in(EVENT_TYPES)})", "event_type:not_allowed")
+            values[n] = as_str(n)
         else:
-            values[name] = strip_ws(as_str(name))
+            values[n] = strip(as_str(n))
 
-    for name in OPTIONAL_STRING_FIELDS:
-        reason(present(name) & ~is_null(name) & ~is_str(name), f"{name}:not_a_string")
-        values[name] = strip_ws(as_str(name))
+    for n in OPTIONAL_STRING_FIELDS:
+        reason(wrong_type(n), f"{n}:not_a_string")
+        values[n] = strip(as_str(n))
 
     reason(is_null("event_id"), "event_id:null")
-    reason(present("event_id") & ~is_null("event_id") & ~is_str("event_id"), "event_id:not_a_string")
-    new_id = hash_event_id(F.col("raw")) if id_mode == "hash" else F.expr("uuid()")
-    values["event_id"] = F.when(~present("event_id"), new_id).otherwise(strip_ws(as_str("event_id")))
-
-    ts = F.when(is_str("timestamp"), _iso_timestamp(s("timestamp"))) \
-        .when(is_num("timestamp"), _epoch_timestamp(s("timestamp").cast("double")))
+    reason(wrong_type("event_id"), "event_id:not_a_string")
+    if id_mode == "hash":
+        h = "md5(raw)"
+        new_id = (f"concat_ws('-', substring({h}, 1, 8), substring({h}, 9, 4), substring({h}, 13, 4), "
+                  f"substring({h}, 17, 4), substring({h}, 21, 12))")
+    else:
+        new_id = "uuid()"
+    values["event_id"] = f"CASE WHEN k_event_id IS NULL THEN {new_id} ELSE {strip(as_str('event_id'))} END"
+
+    n_ts = "CAST(s_timestamp AS DOUBLE)"
+    ts = (f"CASE WHEN {is_str('timestamp')} THEN "
+          f"  CASE WHEN s_timestamp RLIKE '{_ISO}' THEN try_to_timestamp(btrim(s_timestamp)) END "
+          f"WHEN {is_num('timestamp')} THEN "
+          f"  CASE WHEN abs({n_ts}) > 2e10 THEN timestamp_millis(CAST({n_ts} AS BIGINT)) "
+          f"  ELSE timestamp_micros(CAST({n_ts} * 1e6 AS BIGINT)) END END")
     reason(is_null("timestamp"), "timestamp:null")
-    reason(present("timestamp") & ~is_null("timestamp") & ts.isNull(), "timestamp:invalid")
-    values["timestamp"] = F.when(~present("timestamp"), F.col("_arrival")).otherwise(ts)
+    reason(f"{present('timestamp')} AND NOT {is_null('timestamp')} AND ({ts}) IS NULL", "timestamp:invalid")
+    values["timestamp"] = f"CASE WHEN k_timestamp IS NULL THEN _arrival ELSE {ts} END"
 
-    price = F.when(is_num("price"), F.col("n_price")) \
-        .when(is_str("price"), strip_ws(s("price")).try_cast("double")) \
-        .when(k("price") == F.lit("BOOLEAN"), s("price").cast("boolean").cast("double"))
-    reason(present("price") & ~is_null("price") & price.isNull(), "price:not_a_number")
+    price = (f"CASE WHEN {is_num('price')} THEN n_price "
+             f"WHEN {is_str('price')} THEN try_cast({strip('s_price')} AS DOUBLE) "
+             f"WHEN k_price = 'BOOLEAN' THEN CAST(CAST(s_price AS BOOLEAN) AS DOUBLE) END")
+    reason(f"{present('price')} AND NOT {is_null('price')} AND ({price}) IS NULL", "price:not_a_number")
     values["price"] = price
 
-    dev = F.col("j_device")
-    dev_obj = dev.startswith("{")
-    reason(dev.isNotNull() & (dev != "null") & ~dev_obj, "device:not_an_object")
+    dev_obj = "startswith(j_device, '{')"
+    reason(f"j_device IS NOT NULL AND j_device != 'null' AND NOT {dev_obj}", "device:not_an_object")
     dev_fields = []
-    for name in DEVICE_FIELDS:
-        n = f"device_{name}"
-        reason(dev_obj & present(n) & ~is_null(n) & ~is_str(n), f"device.{name}:not_a_string")
-        dev_fields.append(as_str(n).alias(name))
-    values["device"] = F.when(dev_obj, F.struct(*dev_fields))
-
-    props = F.col("j_properties")
-    props_obj = props.startswith("{")
-    reason(props == "null", "properties:null")
-    reason(props.isNotNull() & (props != "null") & ~props_obj, "properties:not_an_object")
-    values["properties"] = F.when(props.isNull(), F.lit("{}")).when(props_obj, props)
-
-    reasons = F.when(F.col("_bad"), F.array(F.lit(MALFORMED))) \
-        .when(~F.col("_obj"), F.array(F.lit(NOT_OBJECT))) \
-        .otherwise(F.array_compact(F.array(*checks)))
-    defaulted = F.when(F.col("_obj"), F.array_compact(F.array(
-        F.when(~present("event_id"), F.lit("event_id")),
-        F.when(~present("timestamp"), F.lit("timestamp")),
-        F.when(props.isNull(), F.lit("properties"))))).otherwise(F.array().cast("array<string>"))
-
-    out = fields.select(
-        "raw",
-        *[(F.col("_arrival") if c == "arrival_ts" else F.when(F.col("_obj"), values[c])).alias(c)
-          for c in CONTRACT_COLUMNS],
-        reasons.alias("reasons"),
-        defaulted.alias("defaulted"))
-    out = out.withColumn("is_valid", F.size("reasons") == 0)
+    for n in DEVICE_FIELDS:
+        reason(f"{dev_obj} AND {wrong_type('device_' + n)}", f"device.{n}:not_a_string")
+        dev_fields.append(f"'{n}', {as_str('device_' + n)}")
+    values["device"] = f"CASE WHEN {dev_obj} THEN named_struct({', '.join(dev_fields)}) END"
+
+    props_obj = "startswith(j_properties, '{')"
+    reason("j_properties = 'null'", "properties:null")
+    reason(f"j_properties IS NOT NULL AND j_properties != 'null' AND NOT {props_obj}",
+           "properties:not_an_object")
+    values["properties"] = (f"CASE WHEN j_properties IS NULL THEN '{{}}' "
+                            f"WHEN {props_obj} THEN j_properties END")
+
+    reasons = (f"CASE WHEN _bad THEN array('{MALFORMED}') WHEN NOT _obj THEN array('{NOT_OBJECT}') "
+               f"ELSE array_compact(array({', '.join(checks)})) END")
+    defaulted = ("CASE WHEN _obj THEN array_compact(array("
+                 "CASE WHEN k_event_id IS NULL THEN 'event_id' END, "
+                 "CASE WHEN k_timestamp IS NULL THEN 'timestamp' END, "
+                 "CASE WHEN j_properties IS NULL THEN 'properties' END)) "
+                 "ELSE CAST(array() AS array<string>) END")
+    cols = ["raw"]
+    for c in CONTRACT_COLUMNS:
+        cols.append("_arrival AS arrival_ts" if c == "arrival_ts" else
+                    f"CASE WHEN _obj THEN {values[c]} END AS {c}")
+    cols += [f"{reasons} AS reasons", f"{defaulted} AS defaulted"]
+    out = fields.selectExpr(*cols).selectExpr("*", "size(reasons) = 0 AS is_valid")
     return _fence(out)
 
 
@@ -197,3 +198,11 @@ def accepted(validated: DataFrame) -> DataFrame:
 def rejected(validated: DataFrame) -> DataFrame:
     """Invalid rows with the original text and their reasons (quarantine)."""
     return validated.filter(~F.col("is_valid")).select("raw", "reasons", "arrival_ts")
+
+
+def archivable(validated: DataFrame) -> DataFrame:
+    """Rows the raw archive keeps: every message that parsed as a JSON object,
+    valid or not (the archive applies no contract; fields of the wrong type
+    are null).  Malformed text and bare scalars go to quarantine instead."""
+    bad = F.array_contains("reasons", MALFORMED) | F.array_contains("reasons", NOT_OBJECT)
+    return validated.filter(~bad).select(*CONTRACT_COLUMNS)

@@ -152,7 +152,7 @@ def canonical_messages(spark, sf_dir):
 def export_normalized(spark, sf_dir):
     _prepare(spark)
     raw = read_export(spark, derived.export_path(spark, sf_dir), derived.EXPORT_COLUMNS)
-    out = normalize_export(raw)
+    out = normalize_export(derived.spread(raw))
     return ntz(out.select(*FLAT_EVENT_COLUMNS))
 
 

@@ -31,12 +31,15 @@ def write_lake(events: DataFrame, root: str, time_col: str = "arrival_ts",
     Rows are range-partitioned on (time, event_id) before the write, so each
     task holds a contiguous time slice: it writes into few hour folders and a
     busy hour is split over several tasks instead of landing in one.  File
-    size is bounded by ``max_records_per_file``.
+    size is bounded by ``max_records_per_file``.  The task count defaults to
+    ``spark.sql.shuffle.partitions`` and is given explicitly, so adaptive
+    execution does not fold a small input into one task that would then
+    write every hour folder alone.
     """
     parted = with_partitions(events, time_col)
     keys = [F.col(time_col), F.col("event_id")]
-    parted = parted.repartitionByRange(partitions, *keys) if partitions else \
-        parted.repartitionByRange(*keys)
+    n = partitions or int(events.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    parted = parted.repartitionByRange(n, *keys)
     (parted.write.mode(mode)
      .option("maxRecordsPerFile", max_records_per_file)
      .partitionBy(*LAKE_PARTITIONS)
