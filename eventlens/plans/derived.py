@@ -59,7 +59,7 @@ def spread(df: DataFrame) -> DataFrame:
 
 def events_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Contract rows plus raw_event_type / raw_user_id / raw_event_id."""
-    return contract_events(read_table(spark, sf_dir, "events"), keep_raw_type=True)
+    return contract_events(spread(read_table(spark, sf_dir, "events")), keep_raw_type=True)
 
 
 def _json(fields: dict[str, Column]) -> Column:
@@ -114,7 +114,7 @@ def json_messages(view: DataFrame) -> DataFrame:
              .when(m == 8, variant(event_id=None))
              .when(m == 9, F.lit("42"))
              .otherwise(F.col("_normal")))
-    return (spread(view).withColumn("_normal", normal)
+    return (view.withColumn("_normal", normal)
             .select(value.alias("value"), F.col("arrival_ts"), F.col("raw_event_id")))
 
 
