@@ -20,9 +20,12 @@ def partition_parts(time_col: Column | str) -> list[Column]:
 
 
 def iso_utc(c: Column | str) -> Column:
-    """ISO 8601 text with explicit UTC offset, microsecond precision."""
+    """ISO 8601 text as Python's ``isoformat()`` writes an aware UTC time:
+    ``+00:00`` offset, and a six-digit fraction only when it is not zero."""
     col = F.col(c) if isinstance(c, str) else c
-    return F.date_format(col, "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")
+    whole = F.unix_micros(col) % 1000000 == 0
+    return F.when(whole, F.date_format(col, "yyyy-MM-dd'T'HH:mm:ssxxx")) \
+        .otherwise(F.date_format(col, "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx"))
 
 
 def from_epoch_millis(c: Column | str) -> Column:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from eventlens.functions.contract import CONTRACT_COLUMNS
-from eventlens.operators import metrics, windows
+from eventlens.operators import funnel, metrics, windows
 from eventlens.operators.dedup import dedup_events
 from eventlens.operators.normalize import normalize_export
 from eventlens.operators.validate import validate_json
@@ -110,6 +110,18 @@ def daily_trend(spark, sf_dir):
     return metrics.daily_trend(events(spark, sf_dir))
 
 
+def conversion_funnel(spark, sf_dir):
+    return funnel.conversion_funnel(events(spark, sf_dir))
+
+
+def abandoned_carts(spark, sf_dir):
+    return ntz(funnel.abandoned_carts(events(spark, sf_dir)))
+
+
+def traffic_by_referrer(spark, sf_dir):
+    return funnel.traffic_by_referrer(events(spark, sf_dir))
+
+
 # -- P1-P9 / A8 --------------------------------------------------------------------
 
 def _validated(spark, sf_dir):
@@ -229,6 +241,9 @@ QUERIES.update({
     "events_by_type": events_by_type,
     "unique_users_sessions": unique_users_sessions,
     "daily_trend": daily_trend,
+    "conversion_funnel": conversion_funnel,
+    "abandoned_carts": abandoned_carts,
+    "traffic_by_referrer": traffic_by_referrer,
     "strict_accepted": strict_accepted,
     "strict_rejected_by_reason": strict_rejected_by_reason,
     "ingest_quality": ingest_quality,

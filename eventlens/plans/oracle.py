@@ -118,6 +118,46 @@ SELECT CAST("timestamp" AS DATE) AS day, count(*) AS event_count,
        count(DISTINCT user_id) AS unique_users, count(DISTINCT session_id) AS unique_sessions
 FROM evp GROUP BY 1"""
 
+CONVERSION_FUNNEL = f"""WITH {EV},
+s AS (
+  SELECT session_id,
+         min(CASE WHEN event_type IN ('view_item', 'product_view') THEN "timestamp" END) AS t1,
+         min(CASE WHEN event_type = 'add_to_cart' THEN "timestamp" END) AS t2,
+         min(CASE WHEN event_type = 'checkout' THEN "timestamp" END) AS t3,
+         min(CASE WHEN event_type = 'purchase' THEN "timestamp" END) AS t4
+  FROM evp GROUP BY 1),
+d AS (
+  SELECT CASE WHEN t1 IS NULL THEN 0
+              WHEN t2 IS NULL OR t2 < t1 THEN 1
+              WHEN t3 IS NULL OR t3 < t2 THEN 2
+              WHEN t4 IS NULL OR t4 < t3 THEN 3 ELSE 4 END AS depth
+  FROM s),
+c AS (SELECT count(*) FILTER (WHERE depth >= 1) AS s1, count(*) FILTER (WHERE depth >= 2) AS s2,
+             count(*) FILTER (WHERE depth >= 3) AS s3, count(*) FILTER (WHERE depth >= 4) AS s4 FROM d)
+SELECT 1 AS step_no, 'view' AS step, s1 AS sessions FROM c
+UNION ALL SELECT 2, 'add_to_cart', s2 FROM c
+UNION ALL SELECT 3, 'checkout', s3 FROM c
+UNION ALL SELECT 4, 'purchase', s4 FROM c"""
+
+ABANDONED_CARTS = f"""WITH {EV},
+s AS (
+  SELECT session_id,
+         max(CASE WHEN event_type = 'add_to_cart' THEN "timestamp" END) AS last_cart_at,
+         max(CASE WHEN event_type = 'purchase' THEN "timestamp" END) AS last_purchase_at,
+         max("timestamp") AS last_event_at,
+         count(*) FILTER (WHERE event_type = 'add_to_cart') AS cart_events
+  FROM evp GROUP BY 1)
+SELECT session_id, last_cart_at, last_event_at, cart_events FROM s
+WHERE last_cart_at IS NOT NULL AND (last_purchase_at IS NULL OR last_purchase_at < last_cart_at)
+  AND last_event_at <= CAST(now() AS TIMESTAMP) - INTERVAL 30 MINUTE"""
+
+TRAFFIC_BY_REFERRER = f"""WITH {EV},
+r AS (SELECT *, CAST(NULL AS VARCHAR) AS referrer_url FROM evp),
+h AS (SELECT *, lower(regexp_extract(referrer_url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/:?#]+)', 1)) AS host FROM r)
+SELECT CASE WHEN referrer_url IS NULL OR host = '' THEN '(direct)' ELSE host END AS referrer_host,
+       count(*) AS event_count, count(DISTINCT session_id) AS sessions
+FROM h GROUP BY 1"""
+
 STRICT_ACCEPTED = f"""WITH {EV}
 SELECT CASE WHEN raw_event_id % 50 = 8 THEN NULL ELSE event_id END AS event_id,
        "timestamp", user_id, anonymous_id, session_id, event_type, page_url,
@@ -222,6 +262,9 @@ ORACLE.update({
     "events_by_type": EVENTS_BY_TYPE,
     "unique_users_sessions": UNIQUE_USERS_SESSIONS,
     "daily_trend": DAILY_TREND,
+    "conversion_funnel": CONVERSION_FUNNEL,
+    "abandoned_carts": ABANDONED_CARTS,
+    "traffic_by_referrer": TRAFFIC_BY_REFERRER,
     "strict_accepted": STRICT_ACCEPTED,
     "strict_rejected_by_reason": STRICT_REJECTED,
     "ingest_quality": INGEST_QUALITY,

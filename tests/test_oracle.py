@@ -47,5 +47,5 @@ def test_canonical_messages_shape(spark):
         body = json.loads(r.value)
         assert set(body) == {"event_id", "timestamp", "user_id", "anonymous_id", "session_id", "event_type",
                              "page_url", "referrer_url", "device", "price", "product_id", "properties"}
-        assert body["timestamp"].endswith("Z") and isinstance(body["properties"], dict)
+        assert body["timestamp"].endswith("+00:00") and isinstance(body["properties"], dict)
         assert r.key == (body["user_id"] or body["anonymous_id"])
