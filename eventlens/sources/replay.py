@@ -18,8 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventlens.functions.contract import CONTRACT_COLUMNS, DEFAULT_PAGE_URL_PREFIX
-from eventlens.functions.text import default_product
+from eventlens.functions.contract import CONTRACT_COLUMNS, DEFAULT_PAGE_URL_PREFIX, DEFAULT_PRODUCT
 
 # Mapping of the table's event types to contract types (our derivation).
 TABLE_TYPE_MAP = {
@@ -31,49 +30,51 @@ TABLE_TYPE_MAP = {
 }
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+# Schema of the driver's ``events`` table; reading with it skips footer inference.
+EVENTS_SCHEMA = ("event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, "
+                 "value DOUBLE, props STRING")
+TABLE_SCHEMAS = {"events": EVENTS_SCHEMA}
 
 
-def props_k(props: str = "props"):
-    return F.get_json_object(F.col(props), "$.k").cast("int")
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    reader = spark.read
+    if name in TABLE_SCHEMAS:
+        reader = reader.schema(TABLE_SCHEMAS[name])
+    return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def derived_product(k) -> F.Column:
-    return (F.when(k % 10 == 0, F.lit(None).cast("string"))
-            .when(k % 10 == 1, F.lit(""))
-            .otherwise(F.concat(F.lit("PROD_"), k.cast("string"))))
+def _sql_text(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 def contract_events(events: DataFrame, page_url_prefix: str = DEFAULT_PAGE_URL_PREFIX,
                     keep_raw_type: bool = False) -> DataFrame:
     """Map the driver's ``events`` rows to contract rows (see module doc)."""
-    ts = F.col("ts").cast("timestamp")
-    uid = F.col("user_id").cast("string")
-    k = props_k()
-    product = derived_product(k)
-    mapping = F.create_map(*[F.lit(x) for kv in TABLE_TYPE_MAP.items() for x in kv])
+    type_case = "CASE event_type " + " ".join(
+        f"WHEN '{a}' THEN '{b}'" for a, b in TABLE_TYPE_MAP.items()) + " ELSE event_type END"
+    k = "CAST(get_json_object(props, '$.k') AS INT)"
+    product = (f"CASE WHEN {k} % 10 = 0 THEN CAST(NULL AS STRING) WHEN {k} % 10 = 1 THEN '' "
+               f"ELSE concat('PROD_', CAST({k} AS STRING)) END")
+    uid = "CAST(user_id AS STRING)"
+    ts = "CAST(ts AS TIMESTAMP)"
     cols = [
-        F.col("event_id").cast("string").alias("event_id"),
-        ts.alias("timestamp"),
-        F.when(F.col("event_id") % 11 == 0, F.lit(None).cast("string")).otherwise(uid).alias("user_id"),
-        F.concat(F.lit("anon_"), uid).alias("anonymous_id"),
-        F.concat(F.lit("sess_"), uid, F.lit("_"), F.date_format(ts, "yyyyMMdd")).alias("session_id"),
-        F.coalesce(F.element_at(mapping, F.col("event_type")), F.col("event_type")).alias("event_type"),
-        F.concat(F.lit(page_url_prefix), default_product(product)).alias("page_url"),
-        F.lit(None).cast("string").alias("referrer_url"),
-        F.lit(None).cast("struct<os:string,browser:string,ip_address:string,user_agent:string>")
-        .alias("device"),
-        F.col("value").cast("double").alias("price"),
-        product.alias("product_id"),
-        F.col("props").alias("properties"),
-        ts.alias("arrival_ts"),
+        "CAST(event_id AS STRING) AS event_id",
+        f"{ts} AS timestamp",
+        f"CASE WHEN event_id % 11 = 0 THEN CAST(NULL AS STRING) ELSE {uid} END AS user_id",
+        f"concat('anon_', {uid}) AS anonymous_id",
+        f"concat('sess_', {uid}, '_', date_format({ts}, 'yyyyMMdd')) AS session_id",
+        f"{type_case} AS event_type",
+        f"concat({_sql_text(page_url_prefix)}, coalesce(nullif({product}, ''), '{DEFAULT_PRODUCT}')) AS page_url",
+        "CAST(NULL AS STRING) AS referrer_url",
+        "CAST(NULL AS STRUCT<os: STRING, browser: STRING, ip_address: STRING, user_agent: STRING>) AS device",
+        "CAST(value AS DOUBLE) AS price",
+        f"{product} AS product_id",
+        "props AS properties",
+        f"{ts} AS arrival_ts",
     ]
     if keep_raw_type:
-        cols.append(F.col("event_type").alias("raw_event_type"))
-        cols.append(F.col("user_id").alias("raw_user_id"))
-        cols.append(F.col("event_id").alias("raw_event_id"))
-    out = events.select(*cols)
+        cols += ["event_type AS raw_event_type", "user_id AS raw_user_id", "event_id AS raw_event_id"]
+    out = events.selectExpr(*cols)
     assert tuple(out.columns[:len(CONTRACT_COLUMNS)]) == CONTRACT_COLUMNS
     return out
 

@@ -126,3 +126,19 @@ def test_validation_runs_on_a_stream(spark, tmp_dir):
          .trigger(availableNow=True).start())
     q.awaitTermination()
     assert spark.read.parquet(out).count() == 1
+
+
+def test_taps_and_rate(spark, tmp_dir):
+    v = view(spark)
+    src = os.path.join(tmp_dir, "src")
+    os.makedirs(src)
+    write_batches(spark, src, [v.filter(F.dayofmonth("timestamp") <= 15), v.filter(F.dayofmonth("timestamp") > 15)])
+    table = ServingTable(os.path.join(tmp_dir, "t"), jobs.PRODUCT_COUNT_KEYS)
+    q = jobs.serve(jobs.speed_layer(jobs.file_event_stream(spark, src, 1), "31 days"), table,
+                   os.path.join(tmp_dir, "ck"))
+    q.awaitTermination()
+    observed = [p["observedMetrics"]["speed_input"] for p in q.recentProgress
+                if p.get("numInputRows", 0) > 0]
+    assert sum(o["rows"] for o in observed) == v.count()
+    rate = jobs.ingest_rate(q)
+    assert rate["events"] == v.count() and rate["batches"] == 2 and rate["events_per_sec"] > 0
