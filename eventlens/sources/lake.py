@@ -45,3 +45,19 @@ def lake_inventory(spark: SparkSession, root: str) -> DataFrame:
         F.count(F.lit(1)).alias("n_files"),
         F.sum("n_rows").alias("n_rows"),
         F.sum("n_bytes").alias("n_bytes"))
+
+
+def lake_files(spark: SparkSession, root: str) -> DataFrame:
+    """S11 without reading data: files and bytes per partition from a listing.
+
+    The ``binaryFile`` source reads file contents only when ``content`` is
+    selected; here only path and length are, so the cost is the listing
+    (the reference's object listing), whatever the lake's size.
+    """
+    listing = (spark.read.format("binaryFile")
+               .option("pathGlobFilter", "*.parquet")
+               .option("basePath", root)
+               .load(root)
+               .select(*[F.col(p).cast("int").alias(p) for p in LAKE_PARTITIONS], "path", "length"))
+    return listing.groupBy(*LAKE_PARTITIONS).agg(
+        F.count(F.lit(1)).alias("n_files"), F.sum("length").alias("n_bytes"))

@@ -11,7 +11,7 @@ from eventlens.operators.dedup import dedup_events
 from eventlens.operators.validate import archivable, validate_json
 from eventlens.session import local_path
 from eventlens.sinks.archive import write_lake
-from eventlens.sources.lake import lake_inventory, lake_slice, read_lake
+from eventlens.sources.lake import lake_files, lake_inventory, lake_slice, read_lake
 
 CLOCK = dt.datetime(2026, 10, 2, 18, 30, 0)  # F6
 
@@ -59,6 +59,11 @@ def test_inventory_counts_files_rows_bytes(spark, tmp_dir):
     files = glob.glob(os.path.join(local_path(root), "year=2026/month=10/day=02/hour=18/*.parquet"))
     assert r.n_rows == 30 and r.n_files == len(files)
     assert r.n_bytes == sum(os.path.getsize(f) for f in files)
+    (f,) = lake_files(spark, root).collect()
+    assert (f.year, f.month, f.day, f.hour) == (2026, 10, 2, 18)
+    assert f.n_files == r.n_files and f.n_bytes == r.n_bytes
+    plan = lake_files(spark, root)._jdf.queryExecution().executedPlan().toString()
+    assert "content" not in plan.split("ReadSchema:")[1].split("\n")[0]
 
 
 def test_dedup_keeps_one_per_id(spark):
