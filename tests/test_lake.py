@@ -77,3 +77,33 @@ def test_partition_parts_zero_padded(spark):
     (r,) = spark.createDataFrame([(dt.datetime(2026, 1, 4, 3),)], "t timestamp") \
         .select(*partition_parts("t")).collect()
     assert (r.year, r.month, r.day, r.hour) == ("2026", "01", "04", "03")
+
+
+def test_hot_hour_is_split_across_tasks(spark, tmp_dir):
+    """A third of all rows in one hour: the range partitioner gives it to
+    several tasks (several files) instead of one."""
+    base = dt.datetime(2024, 1, 1)
+    rows = []
+    for i in range(3000):
+        hot = i % 3 == 0
+        ts = base + (dt.timedelta(minutes=5, microseconds=i) if hot else dt.timedelta(hours=1 + i % 48))
+        rows.append((json.dumps({"event_id": f"e{i}", "anonymous_id": "a", "session_id": "s",
+                                 "event_type": "purchase", "page_url": "u"}), ts))
+    msgs = spark.createDataFrame(rows, "value string, arrival_ts timestamp")
+    root = os.path.join(tmp_dir, "lake")
+    write_lake(archivable(validate_json(msgs, arrival_col="arrival_ts")), root, partitions=6)
+    hot_files = glob.glob(os.path.join(root, "year=2024/month=01/day=01/hour=00/*.parquet"))
+    assert len(hot_files) >= 2
+    assert read_lake(spark, root).count() == 3000
+
+
+def test_skewed_product_counts_exact(spark):
+    """One product with most rows: counts stay exact (partial aggregation)."""
+    from eventlens.operators.windows import product_window_counts
+    from eventlens.functions.contract import CONTRACT_SCHEMA
+    t = dt.datetime(2024, 1, 1, 0, 0, 1)
+    data = [(str(i), t, "u", "a", "s", "product_view", "p", None, None, 1.0,
+             "HOT" if i % 10 else f"P{i}", "{}", t) for i in range(5000)]
+    df = spark.createDataFrame(data, CONTRACT_SCHEMA).repartition(8)
+    got = {r.product_id: r.event_count for r in product_window_counts(df).collect()}
+    assert got["HOT"] == 4500 and sum(got.values()) == 5000

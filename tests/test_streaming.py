@@ -142,3 +142,39 @@ def test_taps_and_rate(spark, tmp_dir):
     assert sum(o["rows"] for o in observed) == v.count()
     rate = jobs.ingest_rate(q)
     assert rate["events"] == v.count() and rate["batches"] == 2 and rate["events_per_sec"] > 0
+
+
+class FlakyTable(ServingTable):
+    """Fails the write of one batch id, as a storage outage would."""
+
+    def __init__(self, root, keys, fail_batch):
+        super().__init__(root, keys)
+        self.fail_batch = fail_batch
+
+    def upsert(self, batch, batch_id):
+        if batch_id == self.fail_batch:
+            raise IOError("storage unavailable")
+        super().upsert(batch, batch_id)
+
+
+def test_failed_write_is_retried_on_restart(spark, tmp_dir):
+    v = view(spark)
+    day = F.dayofmonth("timestamp")
+    src = os.path.join(tmp_dir, "src")
+    os.makedirs(src)
+    write_batches(spark, src, [v.filter(day <= 10), v.filter(day.between(11, 20)), v.filter(day > 20)])
+    root, ck = os.path.join(tmp_dir, "t"), os.path.join(tmp_dir, "ck")
+    build = lambda s: jobs.speed_layer(s, "31 days", "1 day")
+    q = jobs.serve(build(jobs.file_event_stream(spark, src, 1)), FlakyTable(root, jobs.PRODUCT_COUNT_KEYS, 1), ck)
+    try:
+        q.awaitTermination()
+    except Exception:
+        pass
+    assert q.exception() is not None  # the failure stops the query, nothing is committed for batch 1
+    q = jobs.serve(build(jobs.file_event_stream(spark, src, 1)), ServingTable(root, jobs.PRODUCT_COUNT_KEYS), ck)
+    q.awaitTermination()
+    served = ServingTable(root, jobs.PRODUCT_COUNT_KEYS).read(spark)
+    batch = windows.serving_projection(windows.product_window_counts(v, "1 day"))
+    assert total(served) == v.count()
+    assert batch.exceptAll(served.select(*batch.columns)).count() == 0
+    assert served.select(*batch.columns).exceptAll(batch).count() == 0
