@@ -60,16 +60,18 @@ def event_window_stats(events: DataFrame, window: str = SPEED_WINDOW,
                        distinct: str = "exact") -> DataFrame:
     """A3 (+W7): per (event_type, window): event_count and unique_users.
 
-    ``distinct='exact'`` uses COUNT(DISTINCT) on a batch table and
-    ``size(collect_set)`` on a stream (the only exact form Spark accepts there;
-    its state grows with users per window).  ``distinct='approx'`` uses
-    HyperLogLog++ (``approx_count_distinct``), fixed-size state, for hot windows.
+    Batch, ``distinct='exact'``: COUNT(DISTINCT), planned as two exchanges
+    ((key, user), then key), so a hot window is first deduplicated per user.
+    ``distinct='approx'``: HyperLogLog++ (``approx_count_distinct``), whose
+    state is a fixed-size sketch; this is the single-query form for streams.
+    The exact streaming form is two queries (see ``streaming.jobs``): counts,
+    and :func:`window_users` followed by a count.
     Null users (anonymous visitors) are not counted.
     """
     if distinct == "approx":
         users = F.approx_count_distinct(user_col)
     elif events.isStreaming:
-        users = F.size(F.collect_set(user_col))
+        raise ValueError("exact distinct users on a stream: use streaming.jobs.stats_users_layer")
     else:
         users = F.count_distinct(F.col(user_col))
     return (events
@@ -79,3 +81,56 @@ def event_window_stats(events: DataFrame, window: str = SPEED_WINDOW,
                     F.col("window.start").alias("window_start"),
                     F.col("window.end").alias("window_end"),
                     "event_count", "unique_users"))
+
+
+def with_window_bounds(events: DataFrame, window: str = SPEED_WINDOW,
+                       time_col: str = "arrival_ts") -> DataFrame:
+    """Add plain ``window_start`` / ``window_end`` timestamps (tumbling, epoch
+    aligned).  Computed before any watermark, they carry no event-time mark,
+    so a stream can put its watermark on ``window_end`` instead."""
+    return (events.withColumn("_w", F.window(F.col(time_col), window))
+            .withColumn("window_start", F.col("_w.start"))
+            .withColumn("window_end", F.col("_w.end"))
+            .drop("_w"))
+
+
+def event_window_counts(events: DataFrame, window: str = SPEED_WINDOW,
+                        time_col: str = "arrival_ts", delay: str | None = None) -> DataFrame:
+    """A3's event_count alone, per (event_type, window).
+
+    On a stream (``delay`` required) the watermark is on ``window_end``: a row
+    is late once its whole window is older than the watermark.
+    """
+    bounded = with_window_bounds(events, window, time_col)
+    if events.isStreaming:
+        bounded = bounded.withWatermark("window_end", _need(delay))
+    return (bounded.groupBy("event_type", "window_start", "window_end")
+            .agg(F.count(F.lit(1)).alias("event_count")))
+
+
+def window_users(events: DataFrame, window: str = SPEED_WINDOW, time_col: str = "arrival_ts",
+                 user_col: str = "user_id", delay: str | None = None) -> DataFrame:
+    """A3's unique_users as dedup-then-count, exact on a stream.
+
+    Each (window, event_type, user) is kept once, then counted.  On a stream
+    the dedup is ``dropDuplicatesWithinWatermark`` with the watermark on
+    ``window_end``, so an entry lives until its window is past the watermark;
+    the state is one small entry per key, spread over state partitions by
+    hash, so a window with millions of users is not gathered into one row.
+    Same late-data rule as :func:`event_window_counts`.
+    """
+    keyed = (with_window_bounds(events.filter(F.col(user_col).isNotNull()), window, time_col)
+             .select("window_start", "window_end", "event_type", F.col(user_col).alias("_user")))
+    keys = ["window_start", "window_end", "event_type", "_user"]
+    if events.isStreaming:
+        firsts = keyed.withWatermark("window_end", _need(delay)).dropDuplicatesWithinWatermark(keys)
+    else:
+        firsts = keyed.dropDuplicates(keys)
+    return (firsts.groupBy("event_type", "window_start", "window_end")
+            .agg(F.count(F.lit(1)).alias("unique_users")))
+
+
+def _need(delay: str | None) -> str:
+    if delay is None:
+        raise ValueError("a streaming window needs a watermark delay")
+    return delay

@@ -20,6 +20,7 @@ from eventlens.operators.normalize import normalize_export
 from eventlens.operators.validate import validate_json
 from eventlens.plans import derived
 from eventlens.session import ensure_checkpoint_dir, ensure_utc, scratch_path
+from eventlens.sinks.serving import ServingTable
 from eventlens.sinks.topic import canonical_message
 from eventlens.sources.csv_export import read_export
 from eventlens.sources.lake import lake_inventory, lake_slice, read_lake
@@ -218,7 +219,21 @@ def _stream_product_counts(size):
 
 
 def _stream_event_stats(size):
-    return _stream(lambda s: jobs.stats_layer(s, REPLAY_DELAY, WINDOWS[size]), jobs.EVENT_STATS_KEYS)
+    """A3 exact on a stream: a count query and a dedup-then-count query run
+    side by side over the same replay, joined at read time."""
+    def q(spark, sf_dir):
+        _prepare(spark)
+        src = derived.replay_path(spark, sf_dir)
+        counts = ServingTable(scratch_path(spark, "serving"), jobs.EVENT_STATS_KEYS)
+        users = ServingTable(scratch_path(spark, "serving"), jobs.EVENT_STATS_KEYS)
+        jobs.run_to_tables(spark, src, [
+            (lambda s: jobs.stats_count_layer(s, REPLAY_DELAY, WINDOWS[size]), counts,
+             scratch_path(spark, "checkpoint")),
+            (lambda s: jobs.stats_users_layer(s, REPLAY_DELAY, WINDOWS[size]), users,
+             scratch_path(spark, "checkpoint")),
+        ], max_files_per_trigger=2)
+        return ntz(jobs.read_stats(spark, counts, users))
+    return q
 
 
 stream_product_views = _stream(lambda s: jobs.views_layer(s), jobs.PRODUCT_VIEW_KEYS)

@@ -19,7 +19,7 @@ from eventlens.functions.contract import CONTRACT_SCHEMA, SPEED_WINDOW, nullable
 from eventlens.operators.dedup import dedup_events
 from eventlens.operators.metrics import product_views
 from eventlens.operators.windows import (
-    event_window_stats, product_window_counts, serving_projection,
+    event_window_counts, event_window_stats, product_window_counts, serving_projection, window_users,
 )
 from eventlens.sinks.serving import ServingTable
 
@@ -87,10 +87,31 @@ def speed_layer(events: DataFrame, delay: str, window: str = SPEED_WINDOW,
 
 
 def stats_layer(events: DataFrame, delay: str, window: str = SPEED_WINDOW,
-                time_col: str = "arrival_ts", distinct: str = "exact") -> DataFrame:
-    """A3 on a stream (exact distinct via collect_set, or approx)."""
+                time_col: str = "arrival_ts") -> DataFrame:
+    """A3 on a stream in one query, with approximate distinct users (HLL)."""
     return event_window_stats(events.withWatermark(time_col, delay), window, time_col,
-                              distinct=distinct)
+                              distinct="approx")
+
+
+def stats_count_layer(events: DataFrame, delay: str, window: str = SPEED_WINDOW,
+                      time_col: str = "arrival_ts") -> DataFrame:
+    """A3, exact, part 1: events per (event_type, window)."""
+    return event_window_counts(events, window, time_col, delay)
+
+
+def stats_users_layer(events: DataFrame, delay: str, window: str = SPEED_WINDOW,
+                      time_col: str = "arrival_ts", user_col: str = "user_id") -> DataFrame:
+    """A3, exact, part 2: distinct users per (event_type, window)."""
+    return window_users(events, window, time_col, user_col, delay)
+
+
+def read_stats(spark: SparkSession, counts: ServingTable, users: ServingTable) -> DataFrame:
+    """The A3 serving view: counts joined with distinct users (0 when none)."""
+    c = counts.read(spark)
+    u = users.read(spark)
+    return (c.join(u, list(EVENT_STATS_KEYS), "left")
+            .select(*EVENT_STATS_KEYS, "event_count",
+                    F.coalesce(F.col("unique_users"), F.lit(0)).cast("long").alias("unique_users")))
 
 
 def views_layer(events: DataFrame, time_col: str = "arrival_ts") -> DataFrame:
@@ -105,6 +126,21 @@ def dedup_speed_layer(events: DataFrame, delay: str, window: str = SPEED_WINDOW,
     return serving_projection(product_window_counts(unique, window, time_col))
 
 
+def run_to_tables(spark: SparkSession, source_path: str,
+                  layers: Sequence[tuple[Callable[[DataFrame], DataFrame], ServingTable, str]],
+                  max_files_per_trigger: int | None = None) -> None:
+    """Drain one source through several independent queries at once."""
+    queries = []
+    for build, table, checkpoint in layers:
+        stream = file_event_stream(spark, source_path, max_files_per_trigger)
+        queries.append(serve(build(stream), table, checkpoint, available_now=True))
+    for q in queries:
+        q.awaitTermination()
+    for q in queries:
+        if q.exception() is not None:
+            raise RuntimeError(str(q.exception()))
+
+
 def run_to_table(spark: SparkSession, build: Callable[[DataFrame], DataFrame],
                  source_path: str, keys: Sequence[str], serving_root: str, checkpoint: str,
                  max_files_per_trigger: int | None = None) -> DataFrame:
