@@ -1,12 +1,21 @@
 """Keyed serving tables with replay-safe upserts.
 
 Without a MERGE-capable table format, a serving table is a folder of
-versions: micro-batch N overwrites ``<root>/batch_id=N`` (so a retried batch
-replaces its own output, never duplicates it), and readers take, per key, the
-row from the highest batch id.  In update mode each changed key is re-emitted
-with its *full* current value, so "last write wins" gives the right answer.
-``compact`` folds the versions into one.  On a cluster with a database, the
-same foreachBatch can write a staging table and run an ON CONFLICT upsert.
+versions plus a compacted snapshot:
+
+* micro-batch N overwrites ``<root>/versions/batch_id=N`` (a retried batch
+  replaces its own output, never duplicates it);
+* ``compact`` folds everything up to the newest committed batch T into
+  ``<root>/snapshot/snap_id=T`` (each row keeps the batch id it came from),
+  then deletes the versions and older snapshots it covers.
+
+Readers take, per key, the row with the highest batch id over the newest
+snapshot and the remaining versions.  In update mode each changed key is
+re-emitted with its *full* current value, so "last write wins" is right.
+Compaction keeps the read cost bounded for a long-running stream; it is safe
+to interrupt (rows are copied before anything is deleted, and a duplicate
+(key, batch id) carries identical values).  On a cluster with a database the
+same foreachBatch can instead write a staging table and run ON CONFLICT.
 """
 
 from __future__ import annotations
@@ -17,42 +26,129 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def _fs(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def _child_ids(spark: SparkSession, path: str, prefix: str) -> list[int]:
+    """Numeric suffixes of ``prefix=<n>`` folders under ``path`` (a listing)."""
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return []
+    ids = []
+    for st in fs.listStatus(p):
+        name = st.getPath().getName()
+        if st.isDirectory() and name.startswith(prefix + "="):
+            try:
+                ids.append(int(name.split("=", 1)[1]))
+            except ValueError:
+                pass
+    return sorted(ids)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)
+
+
 class ServingTable:
-    def __init__(self, root: str, keys: Sequence[str]):
+    def __init__(self, root: str, keys: Sequence[str], compact_every: int | None = None):
         self.root = root.rstrip("/")
         self.keys = list(keys)
+        self.compact_every = compact_every
+
+    @property
+    def versions_root(self) -> str:
+        return f"{self.root}/versions"
+
+    @property
+    def snapshot_root(self) -> str:
+        return f"{self.root}/snapshot"
 
     # -- write side -------------------------------------------------------
     def upsert(self, batch: DataFrame, batch_id: int) -> None:
         """foreachBatch callback: the batch always consumes its input."""
-        batch.write.mode("overwrite").parquet(f"{self.root}/batch_id={int(batch_id)}")
+        batch.write.mode("overwrite").parquet(f"{self.versions_root}/batch_id={int(batch_id)}")
+        if self.compact_every and int(batch_id) % self.compact_every == self.compact_every - 1:
+            self.compact(batch.sparkSession)
 
     # -- read side --------------------------------------------------------
-    def versions(self, spark: SparkSession) -> DataFrame:
-        return spark.read.option("basePath", self.root).parquet(self.root)
+    def _all_rows(self, spark: SparkSession) -> DataFrame | None:
+        parts = []
+        if _child_ids(spark, self.versions_root, "batch_id"):
+            parts.append(spark.read.option("basePath", self.versions_root).parquet(self.versions_root))
+        snaps = _child_ids(spark, self.snapshot_root, "snap_id")
+        if snaps:
+            parts.append(spark.read.parquet(f"{self.snapshot_root}/snap_id={snaps[-1]}"))
+        if not parts:
+            return None
+        rows = parts[0]
+        for other in parts[1:]:
+            rows = rows.unionByName(other)
+        return rows
 
     def read(self, spark: SparkSession) -> DataFrame:
         """The current table: latest version of every key."""
-        all_rows = self.versions(spark)
-        values = [c for c in all_rows.columns if c not in self.keys and c != "batch_id"]
-        latest = all_rows.groupBy(*self.keys).agg(
-            F.max_by(F.struct(*values), F.col("batch_id")).alias("_v"))
+        rows = self._all_rows(spark)
+        if rows is None:
+            raise FileNotFoundError(f"serving table {self.root} has no committed batch yet")
+        values = [c for c in rows.columns if c not in self.keys and c != "batch_id"]
+        latest = rows.groupBy(*self.keys).agg(
+            F.max_by(F.struct(*values, F.col("batch_id")), F.col("batch_id")).alias("_v"))
         return latest.select(*self.keys, *[F.col(f"_v.{c}").alias(c) for c in values])
 
-    def compact(self, spark: SparkSession) -> str:
-        """Write the current table as one version past the last batch.
+    def compact(self, spark: SparkSession) -> int | None:
+        """Fold versions into a snapshot and delete what it covers.
 
-        Readers keep working throughout (the new version wins every key); old
-        version folders can then be removed by retention.
+        Returns the newest batch id folded, or None when there is nothing to do.
         """
-        current = self.read(spark)
-        top = self.versions(spark).agg(F.max("batch_id")).first()[0]
-        target = f"{self.root}/batch_id={int(top) + 1}"
-        current.write.mode("overwrite").parquet(target)
-        return target
+        rows = self._all_rows(spark)
+        if rows is None:
+            return None
+        values = [c for c in rows.columns if c not in self.keys and c != "batch_id"]
+        latest = rows.groupBy(*self.keys).agg(
+            F.max_by(F.struct(*values, F.col("batch_id")), F.col("batch_id")).alias("_v"))
+        snapshot = latest.select(*self.keys, *[F.col(f"_v.{c}").alias(c) for c in values + ["batch_id"]])
+        snapshot = snapshot.cache()
+        try:
+            top = snapshot.agg(F.max("batch_id")).first()[0]
+            if top is None:
+                return None
+            target = f"{self.snapshot_root}/snap_id={int(top)}"
+            snapshot.write.mode("overwrite").parquet(target)
+        finally:
+            snapshot.unpersist()
+        for b in _child_ids(spark, self.versions_root, "batch_id"):
+            if b <= top:
+                _delete(spark, f"{self.versions_root}/batch_id={b}")
+        for s in _child_ids(spark, self.snapshot_root, "snap_id"):
+            if s < top:
+                _delete(spark, f"{self.snapshot_root}/snap_id={s}")
+        return int(top)
 
 
 def create_or_replace_view(df: DataFrame, name: str) -> DataFrame:
     """(re)register a derived view, e.g. the A2 rollup over A1's table."""
     df.createOrReplaceTempView(name)
     return df
+
+
+# Names of the served table and its rollup view (fixed values).
+PRODUCT_METRICS_VIEW = "realtime_product_metrics"
+EVENT_METRICS_VIEW = "realtime_event_metrics"
+
+
+def register_serving_views(spark: SparkSession, product_counts: ServingTable) -> None:
+    """S12 + A2: expose the served A1 table and the per-type rollup as SQL views.
+
+    ``realtime_event_metrics`` is the rollup, SUM(event_count)::INT by
+    (event_type, window_end), defined in SQL over the served table's view.
+    """
+    product_counts.read(spark).createOrReplaceTempView(PRODUCT_METRICS_VIEW)
+    spark.sql(f"""
+        CREATE OR REPLACE TEMPORARY VIEW {EVENT_METRICS_VIEW} AS
+        SELECT event_type, window_end, CAST(SUM(event_count) AS INT) AS event_count
+        FROM {PRODUCT_METRICS_VIEW}
+        GROUP BY event_type, window_end""")

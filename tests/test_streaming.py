@@ -82,16 +82,43 @@ def test_dedup_across_batches(spark, tmp_dir):
 
 
 def test_serving_upsert_is_replay_safe_and_compacts(spark, tmp_dir):
-    table = ServingTable(os.path.join(tmp_dir, "t"), ["k"])
+    root = os.path.join(tmp_dir, "t")
+    table = ServingTable(root, ["k"])
     b0 = spark.createDataFrame([("a", 1), ("b", 1)], "k string, n int")
     b1 = spark.createDataFrame([("a", 5)], "k string, n int")
+    b2 = spark.createDataFrame([("b", 7), ("c", 1)], "k string, n int")
     table.upsert(b0, 0)
     table.upsert(b0, 0)  # a retried batch replaces its own output
     table.upsert(b1, 1)
     got = {r.k: r.n for r in table.read(spark).collect()}
     assert got == {"a": 5, "b": 1}
-    table.compact(spark)
+    assert table.compact(spark) == 1
+    assert not glob.glob(os.path.join(root, "versions", "batch_id=*"))  # folded and removed
     assert {r.k: r.n for r in table.read(spark).collect()} == got
+    table.upsert(b2, 2)  # later batches still win over the snapshot
+    assert {r.k: r.n for r in table.read(spark).collect()} == {"a": 5, "b": 7, "c": 1}
+    assert table.compact(spark) == 2
+    assert [os.path.basename(p) for p in glob.glob(os.path.join(root, "snapshot", "*"))] == ["snap_id=2"]
+    assert {r.k: r.n for r in table.read(spark).collect()} == {"a": 5, "b": 7, "c": 1}
+
+
+def test_stream_with_periodic_compaction(spark, tmp_dir):
+    v = view(spark)
+    day = F.dayofmonth("timestamp")
+    src = os.path.join(tmp_dir, "src")
+    os.makedirs(src)
+    write_batches(spark, src, [v.filter(day <= 8), v.filter(day.between(9, 16)),
+                               v.filter(day.between(17, 24)), v.filter(day > 24)])
+    root = os.path.join(tmp_dir, "t")
+    table = ServingTable(root, jobs.PRODUCT_COUNT_KEYS, compact_every=2)
+    q = jobs.serve(jobs.speed_layer(jobs.file_event_stream(spark, src, 1), "31 days", "1 day"), table,
+                   os.path.join(tmp_dir, "ck"))
+    q.awaitTermination()
+    assert len(glob.glob(os.path.join(root, "versions", "batch_id=*"))) <= 1
+    served = ServingTable(root, jobs.PRODUCT_COUNT_KEYS).read(spark)
+    batch = windows.serving_projection(windows.product_window_counts(v, "1 day"))
+    assert batch.exceptAll(served.select(*batch.columns)).count() == 0
+    assert served.select(*batch.columns).exceptAll(batch).count() == 0
 
 
 def test_stream_archive_matches_input(spark, tmp_dir):
@@ -211,3 +238,21 @@ def test_window_users_batch_equals_count_distinct(spark):
     st = windows.event_window_stats(v, "1 day")
     joined = st.join(wu, ["event_type", "window_start", "window_end"], "left")
     assert joined.filter(F.coalesce("by_dedup", F.lit(0)) != F.col("unique_users")).count() == 0
+
+
+def test_serving_views(spark, tmp_dir):
+    from eventlens.sinks.serving import register_serving_views
+    v = view(spark)
+    src = os.path.join(tmp_dir, "src")
+    os.makedirs(src)
+    write_batches(spark, src, [v])
+    table = ServingTable(os.path.join(tmp_dir, "t"), jobs.PRODUCT_COUNT_KEYS)
+    q = jobs.serve(jobs.speed_layer(jobs.file_event_stream(spark, src), "31 days", "1 day"), table,
+                   os.path.join(tmp_dir, "ck"))
+    q.awaitTermination()
+    register_serving_views(spark, table)
+    got = spark.sql("SELECT * FROM realtime_event_metrics")
+    want = windows.event_window_rollup(windows.serving_projection(windows.product_window_counts(v, "1 day")))
+    assert got.exceptAll(want.select(*got.columns)).count() == 0
+    assert want.select(*got.columns).exceptAll(got).count() == 0
+    assert spark.sql("SELECT sum(event_count) FROM realtime_product_metrics").first()[0] == v.count()
