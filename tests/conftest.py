@@ -12,10 +12,10 @@ SF_CHECK = "/root/testdata/sf0.01"
 
 @pytest.fixture(scope="session")
 def spark():
+    # spark.checkpoint.dir comes from the session's defaults when set there;
+    # build_session picks a local folder only when it is unset.
     from eventlens.session import build_session
-    ckpt = tempfile.mkdtemp(prefix="eventlens-test-ckpt-")
-    s = build_session("local[*]", app_name="eventlens-tests", shuffle_partitions=8,
-                      extra={"spark.checkpoint.dir": ckpt})
+    s = build_session("local[*]", app_name="eventlens-tests", shuffle_partitions=8)
     yield s
     s.stop()
 
