@@ -256,3 +256,24 @@ def test_serving_views(spark, tmp_dir):
     assert got.exceptAll(want.select(*got.columns)).count() == 0
     assert want.select(*got.columns).exceptAll(got).count() == 0
     assert spark.sql("SELECT sum(event_count) FROM realtime_product_metrics").first()[0] == v.count()
+
+
+def test_json_stream_to_served_counts(spark, tmp_dir):
+    """Topic-like JSON text -> strict validation -> A1 -> serving table, equal
+    to the batch answer over the accepted rows."""
+    msgs = derived.json_messages(derived.events_view(spark, SF))
+    src = os.path.join(tmp_dir, "json")
+    msgs.select("value").write.text(src)
+    stream = spark.readStream.text(src)
+    valid = accepted(validate_json(stream, "value"))
+    table = ServingTable(os.path.join(tmp_dir, "t"), jobs.PRODUCT_COUNT_KEYS)
+    q = jobs.serve(jobs.speed_layer(valid, "31 days", "1 day", time_col="timestamp"), table,
+                   os.path.join(tmp_dir, "ck"))
+    q.awaitTermination()
+    assert q.exception() is None
+    served = table.read(spark)
+    batch_valid = accepted(validate_json(spark.read.text(src), "value"))
+    want = windows.serving_projection(windows.product_window_counts(batch_valid, "1 day", "timestamp"))
+    assert want.count() > 0
+    assert want.exceptAll(served.select(*want.columns)).count() == 0
+    assert served.select(*want.columns).exceptAll(want).count() == 0
