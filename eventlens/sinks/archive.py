@@ -12,9 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from eventlens.functions.contract import (
-    ARCHIVE_BATCH_ROWS, ARCHIVE_FLUSH_SECONDS, CONTRACT_COLUMNS, LAKE_PARTITIONS,
-)
+from eventlens.functions.contract import ARCHIVE_FLUSH_SECONDS, CONTRACT_COLUMNS, LAKE_PARTITIONS
 from eventlens.functions.time import partition_parts
 
 
@@ -70,5 +68,3 @@ def archive_stream(events: DataFrame, root: str, checkpoint: str,
         writer = writer.trigger(processingTime=f"{interval_seconds} seconds")
     return writer.start()
 
-
-ARCHIVE_DEFAULTS = {"rows": ARCHIVE_BATCH_ROWS, "seconds": ARCHIVE_FLUSH_SECONDS}

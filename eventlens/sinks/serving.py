@@ -129,11 +129,6 @@ class ServingTable:
         return int(top)
 
 
-def create_or_replace_view(df: DataFrame, name: str) -> DataFrame:
-    """(re)register a derived view, e.g. the A2 rollup over A1's table."""
-    df.createOrReplaceTempView(name)
-    return df
-
 
 # Names of the served table and its rollup view (fixed values).
 PRODUCT_METRICS_VIEW = "realtime_product_metrics"

@@ -277,3 +277,20 @@ def test_json_stream_to_served_counts(spark, tmp_dir):
     assert want.count() > 0
     assert want.exceptAll(served.select(*want.columns)).count() == 0
     assert served.select(*want.columns).exceptAll(want).count() == 0
+
+
+def test_approx_stats_single_query(spark, tmp_dir):
+    v = view(spark)
+    src = os.path.join(tmp_dir, "src")
+    os.makedirs(src)
+    write_batches(spark, src, [v])
+    table = ServingTable(os.path.join(tmp_dir, "t"), jobs.EVENT_STATS_KEYS)
+    q = jobs.serve(jobs.stats_layer(jobs.file_event_stream(spark, src), "31 days", "1 day"), table,
+                   os.path.join(tmp_dir, "ck"))
+    q.awaitTermination()
+    got = {(r.event_type, r.window_start): (r.event_count, r.unique_users) for r in table.read(spark).collect()}
+    exact = {(r.event_type, r.window_start): (r.event_count, r.unique_users)
+             for r in windows.event_window_stats(v, "1 day").collect()}
+    assert got.keys() == exact.keys()
+    for k, (n, users) in exact.items():
+        assert got[k][0] == n and abs(got[k][1] - users) <= max(2, 0.1 * users)
