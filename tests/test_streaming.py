@@ -294,3 +294,22 @@ def test_approx_stats_single_query(spark, tmp_dir):
     assert got.keys() == exact.keys()
     for k, (n, users) in exact.items():
         assert got[k][0] == n and abs(got[k][1] - users) <= max(2, 0.1 * users)
+
+
+def test_ingest_streams_archive_and_quarantine(spark, tmp_dir):
+    full = derived.json_messages(derived.events_view(spark, SF))
+    msgs = full.select("value", "arrival_ts")
+    src = os.path.join(tmp_dir, "msgs")
+    msgs.write.parquet(src)
+    stream = spark.readStream.schema("value string, arrival_ts timestamp").parquet(src)
+    lake, quarantine = os.path.join(tmp_dir, "lake"), os.path.join(tmp_dir, "q")
+    qs = jobs.ingest_streams(stream, lake, quarantine, os.path.join(tmp_dir, "ck"), available_now=True)
+    for q in qs:
+        q.awaitTermination()
+    total = msgs.count()
+    n_bad = full.filter((F.col("raw_event_id") % 50).isin(0, 9)).count()  # malformed / bare 42
+    assert read_lake(spark, lake).count() == total - n_bad
+    qrows = spark.read.parquet(quarantine)
+    assert qrows.count() == n_bad
+    assert {r[0] for r in qrows.selectExpr("explode(reasons)").distinct().collect()} == \
+        {"malformed_json", "not_an_object"}
