@@ -202,3 +202,17 @@ def replay_path(spark: SparkSession, sf_dir: str, files: int = 8, duplicates: bo
          .write.parquet(p))
     kind = "replay-dups" if duplicates else "replay"
     return _materialise(spark, kind, sf_dir, build)
+
+
+def messages_path(spark: SparkSession, sf_dir: str) -> str:
+    """The fault-injected JSON messages at rest (value, arrival_ts), as a
+    topic would hold them, in time-sliced files (each file a contiguous range
+    of arrival times, like a topic's offsets); the streaming ingest input."""
+    def build(p):
+        (json_messages(events_view(spark, sf_dir)).select("value", "arrival_ts")
+         .repartitionByRange(MESSAGE_SLICES, F.col("arrival_ts")).write.parquet(p))
+    return _materialise(spark, "messages", sf_dir, build)
+
+
+# Time slices of the message replay (a topic's partitions x offset ranges).
+MESSAGE_SLICES = 64

@@ -244,6 +244,18 @@ SELECT CAST(year("timestamp") AS INTEGER) AS year, CAST(month("timestamp") AS IN
 FROM evp GROUP BY 1, 2, 3, 4"""
 
 
+STREAM_INGEST_LAKE = f"""WITH {EV}
+SELECT CAST(year("timestamp") AS INTEGER) AS year, CAST(month("timestamp") AS INTEGER) AS month,
+       CAST(day("timestamp") AS INTEGER) AS day, CAST(hour("timestamp") AS INTEGER) AS hour,
+       count(*) AS n_rows
+FROM evp WHERE raw_event_id % 50 NOT IN (0, 9) GROUP BY 1, 2, 3, 4"""
+
+STREAM_INGEST_QUARANTINE = f"""WITH {EV}
+SELECT CASE WHEN raw_event_id % 50 = 0 THEN 'malformed_json' ELSE 'not_an_object' END AS reason,
+       count(*) AS messages
+FROM evp WHERE raw_event_id % 50 IN (0, 9) GROUP BY 1"""
+
+
 def stream_event_stats(size: str) -> str:
     return event_window_stats(size)
 
@@ -276,5 +288,7 @@ ORACLE.update({
     "lake_inventory": LAKE_INVENTORY,
     "stream_product_views": PRODUCT_VIEWS,
     "stream_dedup_counts": served_product_counts("60s"),
+    "stream_ingest_lake": STREAM_INGEST_LAKE,
+    "stream_ingest_quarantine": STREAM_INGEST_QUARANTINE,
 })
 # canonical_messages: JSON text formatting differs between engines -> rows-only.
