@@ -249,7 +249,7 @@ def _ingest(spark, sf_dir):
     once per session and scale; both ingest queries read its two outputs."""
     _prepare(spark)
     key = (spark.sparkContext.applicationId, sf_dir)
-    if key in _ingested:
+    if key in _ingested and all(derived.exists(spark, p) for p in _ingested[key]):
         return _ingested[key]
     src = derived.messages_path(spark, sf_dir)
     lake, quarantine = scratch_path(spark, "lake"), scratch_path(spark, "quarantine")

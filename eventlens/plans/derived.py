@@ -155,7 +155,7 @@ _cache: dict[tuple, str] = {}
 _lock = threading.Lock()
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def exists(spark: SparkSession, path: str) -> bool:
     try:
         jvm = spark.sparkContext._jvm
         p = jvm.org.apache.hadoop.fs.Path(path)
@@ -169,7 +169,7 @@ def _materialise(spark: SparkSession, kind: str, sf_dir: str, build) -> str:
     key = (spark.sparkContext.applicationId, kind, sf_dir)
     with _lock:
         path = _cache.get(key)
-        if path and _exists(spark, path):
+        if path and exists(spark, path):
             return path
         path = scratch_path(spark, kind)
         build(path)
