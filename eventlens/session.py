@@ -57,20 +57,38 @@ def ensure_utc(spark: SparkSession) -> None:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
+_local_root: str | None = None
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint root, choosing a local one only if unset."""
+    """Return the shared checkpoint root, choosing a local one only if unset.
+
+    The session's ``spark.checkpoint.dir`` wins, then the SparkContext's
+    checkpoint dir; only when neither exists (a bare local session) is a
+    local folder created, once per process, and registered with the context.
+    """
+    global _local_root
     root = spark.conf.get(CHECKPOINT_CONF, None)
+    sc = getattr(spark, "sparkContext", None)
+    if not root and sc is not None:
+        try:
+            root = sc.getCheckpointDir()
+        except Exception:  # Spark Connect has no SparkContext
+            root = None
     if not root:
-        root = spark.sparkContext.getCheckpointDir() if hasattr(
-            spark.sparkContext, "getCheckpointDir") else None
-    if not root:
-        root = tempfile.mkdtemp(prefix="eventlens-ckpt-")
-        spark.conf.set(CHECKPOINT_CONF, root)
-    try:
-        if not spark.sparkContext.getCheckpointDir():
-            spark.sparkContext.setCheckpointDir(root)
-    except Exception:  # Spark Connect has no SparkContext
-        pass
+        if _local_root is None:
+            _local_root = tempfile.mkdtemp(prefix="eventlens-ckpt-")
+        root = _local_root
+        try:
+            spark.conf.set(CHECKPOINT_CONF, root)
+        except Exception:  # a core config may be read-only at runtime
+            pass
+    if sc is not None:
+        try:
+            if not sc.getCheckpointDir():
+                sc.setCheckpointDir(root)
+        except Exception:
+            pass
     return root
 
 
