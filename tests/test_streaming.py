@@ -313,3 +313,18 @@ def test_ingest_streams_archive_and_quarantine(spark, tmp_dir):
     assert qrows.count() == n_bad
     assert {r[0] for r in qrows.selectExpr("explode(reasons)").distinct().collect()} == \
         {"malformed_json", "not_an_object"}
+
+
+def test_stream_dedup_with_a_hot_id(spark, tmp_dir):
+    """A third of all deliveries are copies of one id: the result keeps one."""
+    v = view(spark)
+    hot = v.filter(F.col("event_id") == "7")
+    copies = hot.select(*[F.col(c) for c in v.columns]).withColumn("k", F.explode(F.sequence(F.lit(1), F.lit(500))))
+    copies = copies.withColumn("arrival_ts", F.col("arrival_ts") + F.expr("INTERVAL 1 SECOND") * F.col("k")).drop("k")
+    src = os.path.join(tmp_dir, "src")
+    os.makedirs(src)
+    write_batches(spark, src, [v.unionByName(copies).repartition(4), copies.repartition(4)])
+    out = jobs.run_to_table(spark, lambda s: jobs.dedup_speed_layer(s, "31 days", "1 day"), src,
+                            jobs.PRODUCT_COUNT_KEYS, os.path.join(tmp_dir, "serving"),
+                            os.path.join(tmp_dir, "ckpt"), max_files_per_trigger=1)
+    assert total(out) == v.count()
