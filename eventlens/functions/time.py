@@ -43,6 +43,8 @@ def parse_event_time(raw: Column) -> Column:
     caller decides the fallback.
     """
     s = F.btrim(F.replace(raw, F.lit(" UTC"), F.lit("")))
-    s = F.regexp_replace(s, r"(Z|[+-]\d{2}(:?\d{2})?)$", "")
+    # a zone suffix is dropped only after a time of day ("2024-01-15" keeps its "-15")
+    s = F.regexp_replace(
+        s, r"^(\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}(?::\d{2}(?:\.\d+)?)?)(?:Z|[+-]\d{2}(?::?\d{2})?)$", "$1")
     iso_like = s.rlike(r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}(\.\d+)?)?)?$")
     return F.when(iso_like, F.try_to_timestamp(s))
