@@ -40,6 +40,9 @@ _OBJECTS = ("device", "properties")
 _ISO = r"^\\s*\\d{4}-\\d{2}-\\d{2}([Tt _]\\d{2}:\\d{2}(:\\d{2}(\\.\\d+)?)?)?(Z|z|[+-]\\d{2}:?\\d{2})?\\s*$"
 
 
+_DATE_SEP = r"^(\\d{4}-\\d{2}-\\d{2})[tT_ ]"
+
+
 def _sql_str(text: str) -> str:
     """A SQL string literal with every character \\u-escaped (safe for any set)."""
     return "'" + "".join(f"\\u{ord(ch):04x}" for ch in text) + "'"
@@ -126,8 +129,11 @@ def validate_json(messages: DataFrame, value_col: str = "value",
     values["event_id"] = f"CASE WHEN k_event_id IS NULL THEN {new_id} ELSE {strip(as_str('event_id'))} END"
 
     n_ts = "CAST(s_timestamp AS DOUBLE)"
+    # ISO text with any accepted separator (T, t, _, space) and z/Z, as Spark's cast wants it
+    iso = (f"regexp_replace(regexp_replace(btrim(s_timestamp), '{_DATE_SEP}', '$1T'), "
+           f"'[zZ]$', 'Z')")
     ts = (f"CASE WHEN {is_str('timestamp')} THEN "
-          f"  CASE WHEN s_timestamp RLIKE '{_ISO}' THEN try_to_timestamp(btrim(s_timestamp)) END "
+          f"  CASE WHEN s_timestamp RLIKE '{_ISO}' THEN try_to_timestamp({iso}) END "
           f"WHEN {is_num('timestamp')} THEN "
           f"  CASE WHEN abs({n_ts}) > 2e10 THEN timestamp_millis(CAST({n_ts} AS BIGINT)) "
           f"  ELSE timestamp_micros(CAST({n_ts} * 1e6 AS BIGINT)) END END")

@@ -89,11 +89,16 @@ def test_timestamps(spark):
     rows = check(spark, {**VALID, "timestamp": "2026-10-02T10:00:00Z"},
                  {**VALID, "timestamp": "2026-10-02T12:00:00+02:00"},
                  {**VALID, "timestamp": 1791000000},
-                 {**VALID, "timestamp": "yesterday"})
+                 {**VALID, "timestamp": "yesterday"},
+                 {**VALID, "timestamp": "2026-10-02t10:00:00z"},
+                 {**VALID, "timestamp": "2026-10-02_10:00:00"},
+                 {**VALID, "timestamp": "2026-10-02"})
     assert str(rows[0].timestamp) == "2026-10-02 10:00:00"
     assert str(rows[1].timestamp) == "2026-10-02 10:00:00"  # converted to UTC
     assert rows[2].is_valid
     assert rows[3].reasons == ["timestamp:invalid"]
+    assert [str(r.timestamp) for r in rows[4:]] == ["2026-10-02 10:00:00", "2026-10-02 10:00:00",
+                                                    "2026-10-02 00:00:00"]
 
 
 def test_undeclared_fields_dropped_and_properties_kept(spark):
