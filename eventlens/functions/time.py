@@ -42,7 +42,8 @@ def parse_event_time(raw: Column) -> Column:
     number of fraction digits are accepted; anything else yields NULL, and the
     caller decides the fallback.
     """
-    s = F.btrim(F.replace(raw, F.lit(" UTC"), F.lit("")))
+    from eventlens.functions.text import strip_ws
+    s = strip_ws(F.replace(raw, F.lit(" UTC"), F.lit("")))
     # a zone suffix is dropped only after a time of day ("2024-01-15" keeps its "-15")
     s = F.regexp_replace(
         s, r"^(\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}(?::\d{2}(?:\.\d+)?)?)(?:Z|[+-]\d{2}(?::?\d{2})?)$", "$1")

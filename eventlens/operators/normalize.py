@@ -94,7 +94,9 @@ def normalize_export(raw: DataFrame, ingest_ts: Column | None = None,
 
     product = default_product(_val(_raw(raw, "product")))
     price_txt = _val(_raw(raw, "price"))
-    price = F.when(price_txt != "", price_txt.try_cast("double"))
+    # float() accepts digit-group underscores ("1_000.5"); Spark's cast does not
+    price = F.when(price_txt != "",
+                   F.regexp_replace(price_txt, r"(?<=\d)_(?=\d)", "").try_cast("double"))
 
     outcome = _val(_raw(raw, "outcome"))
     entries = [F.lit("outcome"), outcome]

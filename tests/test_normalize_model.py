@@ -16,11 +16,12 @@ TYPES = ["view", "page_view", "click", "cart", "add_to_cart", "purchase", "check
          " VIEW ", "Purchase", "signup", "", "other"]
 TIMES = ["2019-10-01 00:00:07 UTC", "2019-10-01T00:00:07", "2019-10-01T00:00:07Z",
          "2019-10-01T00:00:07+05:00", "2019-10-01 08:30:00-0300", "2019-10-01",
-         "2019-10-01T00:00:07.123456", "2019-10-01 23:59", "garbage", "", "  2019-10-02 01:02:03  "]
+         "2019-10-01T00:00:07.123456", "2019-10-01 23:59", "garbage", "", "  2019-10-02 01:02:03  ",
+         "2019-10-01 00:00:07\t UTC"]
 USERS = ["", "u1", "  u2 ", "541312140"]
 SESSIONS = ["", "s1", "  s2  "]
 PRODUCTS = ["", "P1", " P2 "]
-PRICES = ["", "1.5", " 2 ", "abc", "1e3", "-0.5"]
+PRICES = ["", "1.5", " 2 ", "abc", "1e3", "-0.5", "1_000.5", "1__0", "_1", "inf"]
 OUTCOMES = ["", " ok ", "fail"]
 EXTRAS = ["", "x", "  y "]
 
