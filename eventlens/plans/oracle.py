@@ -225,6 +225,31 @@ SELECT substr(fp, 1, 8) || '-' || substr(fp, 9, 4) || '-' || substr(fp, 13, 4) |
          || CASE WHEN k % 4 = 0 THEN ',"brand":"acme"' ELSE '' END || '}}' AS properties
 FROM y"""
 
+def _jstr(col: str) -> str:
+    """JSON text of a nullable string column (the data holds no characters
+    that need escaping)."""
+    return f"CASE WHEN {col} IS NULL THEN 'null' ELSE '\"' || {col} || '\"' END"
+
+
+_ISO_TS = ("CASE WHEN microsecond(\"timestamp\") % 1000000 = 0 "
+           "THEN strftime(\"timestamp\", '%Y-%m-%dT%H:%M:%S') "
+           "ELSE strftime(\"timestamp\", '%Y-%m-%dT%H:%M:%S.%f') END || '+00:00'")
+
+CANONICAL_MESSAGES = f"""WITH {EV}
+SELECT coalesce(nullif(user_id, ''), anonymous_id) AS key,
+       '{{"event_id":' || {_jstr('event_id')} ||
+       ',"timestamp":"' || {_ISO_TS} || '"' ||
+       ',"user_id":' || {_jstr('user_id')} ||
+       ',"anonymous_id":' || {_jstr('anonymous_id')} ||
+       ',"session_id":' || {_jstr('session_id')} ||
+       ',"event_type":' || {_jstr('event_type')} ||
+       ',"page_url":' || {_jstr('page_url')} ||
+       ',"referrer_url":null,"device":null' ||
+       ',"price":' || CASE WHEN price IS NULL THEN 'null' ELSE CAST(price AS VARCHAR) END ||
+       ',"product_id":' || {_jstr('product_id')} ||
+       ',"properties":' || CAST(json(properties) AS VARCHAR) || '}}' AS value
+FROM evp"""
+
 DEDUP_EVENTS = f"""WITH {EV}
 SELECT {FLAT} FROM evp"""
 
@@ -281,6 +306,7 @@ ORACLE.update({
     "strict_rejected_by_reason": STRICT_REJECTED,
     "ingest_quality": INGEST_QUALITY,
     "routing_keys": ROUTING_KEYS,
+    "canonical_messages": CANONICAL_MESSAGES,
     "export_normalized": EXPORT_NORMALIZED,
     "dedup_events": DEDUP_EVENTS,
     "lake_day_slice": LAKE_DAY_SLICE,
@@ -291,4 +317,3 @@ ORACLE.update({
     "stream_ingest_lake": STREAM_INGEST_LAKE,
     "stream_ingest_quarantine": STREAM_INGEST_QUARANTINE,
 })
-# canonical_messages: JSON text formatting differs between engines -> rows-only.
