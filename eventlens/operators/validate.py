@@ -41,6 +41,7 @@ _ISO = r"^\\s*\\d{4}-\\d{2}-\\d{2}([Tt _]\\d{2}:\\d{2}(:\\d{2}(\\.\\d+)?)?)?(Z|z
 
 
 _DATE_SEP = r"^(\\d{4}-\\d{2}-\\d{2})[tT_ ]"
+_EPOCH = r"^\\s*-?\\d+(\\.\\d+)?\\s*$"
 
 
 def _sql_str(text: str) -> str:
@@ -132,11 +133,13 @@ def validate_json(messages: DataFrame, value_col: str = "value",
     # ISO text with any accepted separator (T, t, _, space) and z/Z, as Spark's cast wants it
     iso = (f"regexp_replace(regexp_replace(btrim(s_timestamp), '{_DATE_SEP}', '$1T'), "
            f"'[zZ]$', 'Z')")
+    epoch = (f"CASE WHEN abs({n_ts}) > 2e10 THEN timestamp_millis(CAST({n_ts} AS BIGINT)) "
+             f"ELSE timestamp_micros(CAST({n_ts} * 1e6 AS BIGINT)) END")
+    # numbers, and strings holding a number, are Unix time (s, or ms beyond 2e10)
     ts = (f"CASE WHEN {is_str('timestamp')} THEN "
-          f"  CASE WHEN s_timestamp RLIKE '{_ISO}' THEN try_to_timestamp({iso}) END "
-          f"WHEN {is_num('timestamp')} THEN "
-          f"  CASE WHEN abs({n_ts}) > 2e10 THEN timestamp_millis(CAST({n_ts} AS BIGINT)) "
-          f"  ELSE timestamp_micros(CAST({n_ts} * 1e6 AS BIGINT)) END END")
+          f"  CASE WHEN s_timestamp RLIKE '{_ISO}' THEN try_to_timestamp({iso}) "
+          f"       WHEN s_timestamp RLIKE '{_EPOCH}' THEN {epoch} END "
+          f"WHEN {is_num('timestamp')} THEN {epoch} END")
     reason(is_null("timestamp"), "timestamp:null")
     reason(f"{present('timestamp')} AND NOT {is_null('timestamp')} AND ({ts}) IS NULL", "timestamp:invalid")
     values["timestamp"] = f"CASE WHEN k_timestamp IS NULL THEN _arrival ELSE {ts} END"

@@ -92,13 +92,16 @@ def test_timestamps(spark):
                  {**VALID, "timestamp": "yesterday"},
                  {**VALID, "timestamp": "2026-10-02t10:00:00z"},
                  {**VALID, "timestamp": "2026-10-02_10:00:00"},
-                 {**VALID, "timestamp": "2026-10-02"})
+                 {**VALID, "timestamp": "2026-10-02"},
+                 {**VALID, "timestamp": "1791000000"},
+                 {**VALID, "timestamp": 1791000000000})
     assert str(rows[0].timestamp) == "2026-10-02 10:00:00"
     assert str(rows[1].timestamp) == "2026-10-02 10:00:00"  # converted to UTC
     assert rows[2].is_valid
     assert rows[3].reasons == ["timestamp:invalid"]
-    assert [str(r.timestamp) for r in rows[4:]] == ["2026-10-02 10:00:00", "2026-10-02 10:00:00",
-                                                    "2026-10-02 00:00:00"]
+    assert [str(r.timestamp) for r in rows[4:7]] == ["2026-10-02 10:00:00", "2026-10-02 10:00:00",
+                                                     "2026-10-02 00:00:00"]
+    assert rows[7].timestamp == rows[2].timestamp == rows[8].timestamp  # text, seconds and ms agree
 
 
 def test_undeclared_fields_dropped_and_properties_kept(spark):

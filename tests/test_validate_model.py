@@ -17,7 +17,7 @@ STRINGS = ["abc", "  padded  ", " nbsp ", "", "x" * 40, "tab\tinside", "ünï
 NUMBERS = [0, 7, -3, 12.5, 1e3, 99.99]
 OTHER = [True, False, [1, 2], {"a": 1}]
 TIMES = ["2024-01-02T03:04:05Z", "2024-01-02 03:04:05", "2024-01-02T03:04:05.123456+02:00",
-         "2024-01-02", "not a time", "2024-13-40T00:00:00"]
+         "2024-01-02", "not a time", "2024-13-40T00:00:00", "1704164645", " 1704164645.5 "]
 PRICES_TEXT = ["12.5", " 3 ", "1e2", "abc", "", ".5"]
 
 
@@ -104,7 +104,11 @@ def model(text):
                 datetime.fromisoformat(v.strip().replace("Z", "+00:00"))
                 ok = True
             except ValueError:
-                ok = False
+                try:
+                    float(v.strip())
+                    ok = "_" not in v and v.strip().lower() not in ("nan", "inf", "-inf", "infinity")
+                except ValueError:
+                    ok = False
         if not ok:
             r.add("timestamp:invalid")
     v = get("price")
