@@ -10,7 +10,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# --- Fixed value (must equal the reference's): the raw event topic ---------
 DEFAULT_TOPIC = "events.clickstream.raw"
+# ---------------------------------------------------------------------------
 
 
 def topic_options(bootstrap: str, topic: str = DEFAULT_TOPIC, starting: str = "latest",
