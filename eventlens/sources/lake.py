@@ -61,3 +61,20 @@ def lake_files(spark: SparkSession, root: str) -> DataFrame:
                .select(*[F.col(p).cast("int").alias(p) for p in LAKE_PARTITIONS], "path", "length"))
     return listing.groupBy(*LAKE_PARTITIONS).agg(
         F.count(F.lit(1)).alias("n_files"), F.sum("length").alias("n_bytes"))
+
+
+def lake_range(spark: SparkSession, root: str, start, end, time_col: str = "arrival_ts") -> DataFrame:
+    """Rows with ``start <= time_col < end``, reading only the hour folders
+    that can hold them.
+
+    The lake is partitioned by ``time_col``'s UTC hour, but Catalyst cannot
+    derive a partition predicate from a filter on the timestamp itself.  This
+    adds one over the partition columns alone (the folder's hour), which
+    becomes a PartitionFilter, and keeps the exact row filter.
+    """
+    lo, hi = F.lit(start).cast("timestamp"), F.lit(end).cast("timestamp")
+    folder_hour = F.make_timestamp(F.col("year"), F.col("month"), F.col("day"), F.col("hour"),
+                                   F.lit(0), F.lit(0))
+    pruned = read_lake(spark, root).filter(
+        (folder_hour >= F.date_trunc("hour", lo)) & (folder_hour < hi))
+    return pruned.filter((F.col(time_col) >= lo) & (F.col(time_col) < hi))

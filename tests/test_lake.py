@@ -107,3 +107,22 @@ def test_skewed_product_counts_exact(spark):
     df = spark.createDataFrame(data, CONTRACT_SCHEMA).repartition(8)
     got = {r.product_id: r.event_count for r in product_window_counts(df).collect()}
     assert got["HOT"] == 4500 and sum(got.values()) == 5000
+
+
+def test_time_range_prunes_hour_folders(spark, tmp_dir):
+    from eventlens.sources.lake import lake_range
+    root = os.path.join(tmp_dir, "lake")
+    base = dt.datetime(2024, 1, 1)
+    rows = [(json.dumps({"event_id": f"e{i}", "anonymous_id": "a", "session_id": "s", "event_type": "purchase",
+                         "page_url": "u"}), base + dt.timedelta(minutes=37 * i)) for i in range(200)]
+    msgs = spark.createDataFrame(rows, "value string, arrival_ts timestamp")
+    write_lake(archivable(validate_json(msgs, arrival_col="arrival_ts")), root, partitions=4)
+    start, end = dt.datetime(2024, 1, 2, 5, 30), dt.datetime(2024, 1, 2, 9, 15)
+    got = lake_range(spark, root, start, end)
+    want = sum(1 for _, t in rows if start <= t < end)
+    assert got.count() == want > 0
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "make_timest" in plan.split("PartitionFilters: [")[1]  # a partition predicate (text is cut)
+    # only the folders of hours 05..09 on Jan 2 are listed
+    files = got.inputFiles()
+    assert files and all("day=02" in f and any(f"hour={h:02d}" in f for h in range(5, 10)) for f in files)
