@@ -15,7 +15,8 @@ def spark():
     # spark.checkpoint.dir comes from the session's defaults when set there;
     # build_session picks a local folder only when it is unset.
     from eventlens.session import build_session
-    s = build_session("local[*]", app_name="eventlens-tests", shuffle_partitions=8)
+    s = build_session("local[*]", app_name="eventlens-tests", shuffle_partitions=8,
+                      extra={"spark.sql.maxMetadataStringLength": "100000"})  # uncut plan text
     yield s
     s.stop()
 

@@ -121,5 +121,11 @@ def test_time_range_prunes_hour_folders(spark, tmp_dir):
     got = lake_range(spark, root, start, end)
     want = sum(1 for _, t in rows if start <= t < end)
     assert got.count() == want > 0
-    plan = got._jdf.queryExecution().executedPlan().toString()
-    assert "make_timest" in plan.split("PartitionFilters: [")[1]  # a partition predicate (text is cut)
+    old = spark.conf.get("spark.sql.maxMetadataStringLength")
+    spark.conf.set("spark.sql.maxMetadataStringLength", "100000")  # plan text uncut
+    try:
+        plan = lake_range(spark, root, start, end)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.maxMetadataStringLength", old)
+    partition_filters = plan.split("PartitionFilters: [")[1].split("], PushedFilters")[0]
+    assert "make_timestamp" in partition_filters
