@@ -202,6 +202,13 @@ def lake_inventory_q(spark, sf_dir):
 
 # -- streams: S7 W2 W7 W8 W9 --------------------------------------------------------
 
+def _state_partitions(spark: SparkSession) -> int:
+    """State partitions for a replay: one per core of the session (large on a
+    cluster, small in local mode) rather than whatever the session's shuffle
+    setting happens to be."""
+    return max(1, spark.sparkContext.defaultParallelism)
+
+
 def _stream(build, keys, duplicates=False):
     def q(spark, sf_dir):
         _prepare(spark)
@@ -209,7 +216,8 @@ def _stream(build, keys, duplicates=False):
         out = jobs.run_to_table(spark, build, src, keys,
                                 serving_root=scratch_path(spark, "serving"),
                                 checkpoint=scratch_path(spark, "checkpoint"),
-                                max_files_per_trigger=2)
+                                max_files_per_trigger=2,
+                                state_partitions=_state_partitions(spark))
         return ntz(out)
     return q
 
@@ -231,7 +239,7 @@ def _stream_event_stats(size):
              scratch_path(spark, "checkpoint")),
             (lambda s: jobs.stats_users_layer(s, REPLAY_DELAY, WINDOWS[size]), users,
              scratch_path(spark, "checkpoint")),
-        ], max_files_per_trigger=2)
+        ], max_files_per_trigger=2, state_partitions=_state_partitions(spark))
         return ntz(jobs.read_stats(spark, counts, users))
     return q
 

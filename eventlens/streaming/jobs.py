@@ -36,8 +36,14 @@ def file_event_stream(spark: SparkSession, path: str,
 
 def serve(result: DataFrame, table: ServingTable, checkpoint: str, *,
           available_now: bool = True, interval: str = "1 second",
-          query_name: str | None = None) -> StreamingQuery:
-    """Run ``result`` in update mode into ``table`` via foreachBatch."""
+          query_name: str | None = None, state_partitions: int | None = None) -> StreamingQuery:
+    """Run ``result`` in update mode into ``table`` via foreachBatch.
+
+    A stateful query takes its number of state partitions from
+    ``spark.sql.shuffle.partitions`` when it first starts (the checkpoint keeps
+    it afterwards).  ``state_partitions`` sets it for this query only; the
+    session's value is restored once the query has started.
+    """
     writer = (result.writeStream.outputMode("update")
               .foreachBatch(table.upsert)
               .option("checkpointLocation", checkpoint))
@@ -45,7 +51,16 @@ def serve(result: DataFrame, table: ServingTable, checkpoint: str, *,
         writer = writer.queryName(query_name)
     writer = writer.trigger(availableNow=True) if available_now else \
         writer.trigger(processingTime=interval)
-    return writer.start()
+    if not state_partitions:
+        return writer.start()
+    spark = result.sparkSession
+    key = "spark.sql.shuffle.partitions"
+    previous = spark.conf.get(key)
+    spark.conf.set(key, str(int(state_partitions)))
+    try:
+        return writer.start()
+    finally:
+        spark.conf.set(key, previous)
 
 
 def tap(df: DataFrame, name: str, time_col: str = "arrival_ts") -> DataFrame:
@@ -128,12 +143,14 @@ def dedup_speed_layer(events: DataFrame, delay: str, window: str = SPEED_WINDOW,
 
 def run_to_tables(spark: SparkSession, source_path: str,
                   layers: Sequence[tuple[Callable[[DataFrame], DataFrame], ServingTable, str]],
-                  max_files_per_trigger: int | None = None) -> None:
+                  max_files_per_trigger: int | None = None,
+                  state_partitions: int | None = None) -> None:
     """Drain one source through several independent queries at once."""
     queries = []
     for build, table, checkpoint in layers:
         stream = file_event_stream(spark, source_path, max_files_per_trigger)
-        queries.append(serve(build(stream), table, checkpoint, available_now=True))
+        queries.append(serve(build(stream), table, checkpoint, available_now=True,
+                             state_partitions=state_partitions))
     for q in queries:
         q.awaitTermination()
     for q in queries:
@@ -143,12 +160,13 @@ def run_to_tables(spark: SparkSession, source_path: str,
 
 def run_to_table(spark: SparkSession, build: Callable[[DataFrame], DataFrame],
                  source_path: str, keys: Sequence[str], serving_root: str, checkpoint: str,
-                 max_files_per_trigger: int | None = None) -> DataFrame:
+                 max_files_per_trigger: int | None = None,
+                 state_partitions: int | None = None) -> DataFrame:
     """Drain ``source_path`` through ``build`` into a serving table and return
     the table's current contents as a batch DataFrame."""
     stream = file_event_stream(spark, source_path, max_files_per_trigger)
     table = ServingTable(serving_root, keys)
-    q = serve(build(stream), table, checkpoint, available_now=True)
+    q = serve(build(stream), table, checkpoint, available_now=True, state_partitions=state_partitions)
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))

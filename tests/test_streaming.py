@@ -328,3 +328,19 @@ def test_stream_dedup_with_a_hot_id(spark, tmp_dir):
                             jobs.PRODUCT_COUNT_KEYS, os.path.join(tmp_dir, "serving"),
                             os.path.join(tmp_dir, "ckpt"), max_files_per_trigger=1)
     assert total(out) == v.count()
+
+
+def test_state_partitions_are_per_query(spark, tmp_dir):
+    v = view(spark)
+    src = os.path.join(tmp_dir, "src")
+    os.makedirs(src)
+    write_batches(spark, src, [v])
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    out = jobs.run_to_table(spark, lambda s: jobs.speed_layer(s, "31 days", "1 day"), src,
+                            jobs.PRODUCT_COUNT_KEYS, os.path.join(tmp_dir, "t"), os.path.join(tmp_dir, "ck"),
+                            state_partitions=3)
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    assert total(out) == v.count()
+    state_dirs = [d for d in glob.glob(os.path.join(tmp_dir, "ck", "state", "0", "*"))
+                  if os.path.basename(d).isdigit()]
+    assert len(state_dirs) == 3
