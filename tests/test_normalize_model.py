@@ -62,9 +62,10 @@ def model(row, style):
             "page_url": DEFAULT_PAGE_URL_PREFIX + product, "price": price, "properties": props}
 
 
+@pytest.mark.parametrize("seed", [7, 11])
 @pytest.mark.parametrize("style", [0, 1])
-def test_normalize_matches_model(spark, style):
-    rng = random.Random(7 + style)
+def test_normalize_matches_model(spark, style, seed):
+    rng = random.Random(seed + style)
     fields = ["event_type", "time", "user", "session", "product", "price", "outcome"]
     header = [ALIASES[f][style] for f in fields] + ["category_id", "category_code", "brand"]
     pools = [TYPES, TIMES, USERS, SESSIONS, PRODUCTS, PRICES, OUTCOMES, EXTRAS, EXTRAS, EXTRAS]
