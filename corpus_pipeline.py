@@ -10,10 +10,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from eventlens.llm import exact_dedup, simhash
+from eventlens.llm import exact_dedup, mixing, simhash, toxicity
 from eventlens.session import scratch_path
 
 
+def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the CRF doesn't call toxic (operator 2)."""
+    return toxicity.drop_toxic(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of equal texts stays (operator 9)."""
     return exact_dedup.drop_exact_copies(docs)
@@ -24,9 +29,16 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return simhash.drop_near_copies(docs)
 
 
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix takes them (operator 6)."""
+    return mixing.mix(docs)
+
+
 STAGES = [
+    ("toxicity", not_toxic),
     ("exact dedup", exact_copies),
     ("SimHash near-dedup", near_copies),
+    ("mixing", mixed),
 ]
 
 #: SQL has neither the classifier of the first stage nor XXH64 or the tokenizer.

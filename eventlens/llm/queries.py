@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from eventlens.llm import exact_dedup, simhash
+from eventlens.llm import exact_dedup, mixing, simhash, toxicity
 
 QUERIES = {
+    "op2_toxicity": toxicity.op2_toxicity,
+    "op6_mixing": mixing.op6_mixing,
     "op8_simhash_near_dedup": simhash.op8_simhash_near_dedup,
     "op9_exact_dedup": exact_dedup.op9_exact_dedup,
 }
 
 ORACLE = {
+    "op6_mixing": mixing.ORACLE,
     "op9_exact_dedup": exact_dedup.ORACLE,
 }
