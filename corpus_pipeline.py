@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from eventlens.llm import exact_dedup, mixing, simhash, toxicity
+from eventlens.llm import exact_dedup, mixing, sentencepiece_codec, simhash, toxicity
 from eventlens.session import scratch_path
 
 
@@ -34,11 +34,17 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.mix(docs)
 
 
+def tokenised(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents' token ids in place of their texts (operator 4)."""
+    return sentencepiece_codec.encode(docs)
+
+
 STAGES = [
     ("toxicity", not_toxic),
     ("exact dedup", exact_copies),
     ("SimHash near-dedup", near_copies),
     ("mixing", mixed),
+    ("SentencePiece encoding", tokenised),
 ]
 
 #: SQL has neither the classifier of the first stage nor XXH64 or the tokenizer.
