@@ -188,8 +188,9 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     roots = cut_lineage(components(links(distinct, max_bits, blocks)))
     linked = distinct.join(roots, distinct.fp == roots.node)
     of_root = linked.groupBy("root").agg(F.min("least").alias("of_root"))
-    of_fp = (distinct.join(linked.join(of_root, "root").select("fp", "of_root"), "fp", "left")
-             .select(F.col("fp").alias("fp_"), F.coalesce("of_root", "least").alias("component_id")))
+    of_fp = cut_lineage(distinct.join(linked.join(of_root, "root").select("fp", "of_root"), "fp", "left").select(
+        F.col("fp").alias("fp_"), F.coalesce("of_root", "least").alias("component_id")))  # so that Spark can split
+    # the next join's hot fingerprints
     return fps.join(of_fp, F.col("fp") == F.col("fp_")).select(
         F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
