@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from eventlens.llm import exact_dedup, mixing, sentencepiece_codec, simhash, toxicity
+from eventlens.llm import exact_dedup, mixing, piecewise_hash, sentencepiece_codec, simhash, toxicity
 
 QUERIES = {
     "op2_toxicity": toxicity.op2_toxicity,
     "op4_sentencepiece": sentencepiece_codec.op4_sentencepiece,
+    "op5_piecewise_hash": piecewise_hash.op5_piecewise_hash,
     "op6_mixing": mixing.op6_mixing,
     "op8_simhash_near_dedup": simhash.op8_simhash_near_dedup,
     "op9_exact_dedup": exact_dedup.op9_exact_dedup,
