@@ -79,7 +79,7 @@ def frequent_candidates(digests: DataFrame, k: int = COUNTERS) -> DataFrame:
     return parts.select(F.unhex("d").alias(_DIGEST))
 
 
-def _groups(dg: DataFrame, k: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+def split_groups(dg: DataFrame, k: int = COUNTERS) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(heavy digests, rows of heavy digests, other rows), rows with keep_id and group_size."""
     found = cut_lineage(frequent_candidates(dg, k))
     least = max(2, dg.count() // (k + 1))
@@ -97,7 +97,7 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """One row per document: id, keep_id, group_size, kept, text_sha256."""
     dg = cut_lineage(with_digest(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), "text")
                      .select("id", _DIGEST))
-    _, hot, rest = _groups(dg, k)
+    _, hot, rest = split_groups(dg, k)
     return hot.unionByName(rest).select(
         F.col("id").alias(id_col), "keep_id", F.col("group_size").cast("long").alias("group_size"),
         F.col("id").eqNullSafe(F.col("keep_id")).alias("kept"),
@@ -114,7 +114,7 @@ def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     id_name, text_name = (names[docs.columns.index(c)] for c in (id_col, text_col))
     full = with_digest(docs.toDF(*names), text_name)
     dg = cut_lineage(full.select(F.col(id_name).alias("id"), _DIGEST))
-    heavy, hot, rest = _groups(dg, k)
+    heavy, hot, rest = split_groups(dg, k)
     won = (hot.unionByName(rest).filter(F.col("id").eqNullSafe(F.col("keep_id")))
            .select(F.col(_DIGEST).alias("won"), F.col("id").alias("won_id")).distinct())
     light = full.join(F.broadcast(heavy.select(_DIGEST, F.col("keep_id").alias("heavy_id"))), _DIGEST, "left").filter(

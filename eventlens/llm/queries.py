@@ -2,18 +2,21 @@
 
 from __future__ import annotations
 
-from eventlens.llm import exact_dedup, mixing, piecewise_hash, sentencepiece_codec, simhash, toxicity
+from eventlens.llm import exact_dedup, mixing, piecewise_hash, sentencepiece_codec, simhash, toxicity, url_filter, warc
 
 QUERIES = {
     "op2_toxicity": toxicity.op2_toxicity,
     "op4_sentencepiece": sentencepiece_codec.op4_sentencepiece,
     "op5_piecewise_hash": piecewise_hash.op5_piecewise_hash,
     "op6_mixing": mixing.op6_mixing,
+    "op7_warc": warc.op7_warc,
     "op8_simhash_near_dedup": simhash.op8_simhash_near_dedup,
     "op9_exact_dedup": exact_dedup.op9_exact_dedup,
+    "op10_url_filter": url_filter.op10_url_filter,
 }
 
 ORACLE = {
     "op6_mixing": mixing.ORACLE,
+    "op7_warc": warc.ORACLE,
     "op9_exact_dedup": exact_dedup.ORACLE,
 }
