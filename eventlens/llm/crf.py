@@ -78,6 +78,19 @@ def tokenize(offsets: np.ndarray, data: np.ndarray) -> Tokens:
     return Tokens(starts, ends, doc, first, hashes)
 
 
+def tokenize_slices(offsets: np.ndarray, data: np.ndarray, limit: int = 1 << 20) -> Tokens:
+    """`tokenize` some documents at a time, so that byte-wise arrays stay small."""
+    parts, lo, n = [], 0, len(offsets) - 1
+    while lo < n or not parts:
+        hi = max(min(lo + 1, n), int(np.searchsorted(offsets, offsets[lo] + limit, "right")) - 1)
+        part = tokenize(offsets[lo:hi + 1] - offsets[lo], data[offsets[lo]:offsets[hi]])
+        part.starts, part.ends, part.doc = part.starts + offsets[lo], part.ends + offsets[lo], part.doc + lo
+        parts.append(part)
+        lo = hi
+    join = {f: np.concatenate([getattr(p, f) for p in parts]) for f in ("starts", "ends", "doc", "first")}
+    return Tokens(**join, hashes={k: np.concatenate([p.hashes.pop(k) for p in parts]) for k in KINDS})
+
+
 @dataclass
 class Crf:
     """Feature weights (toxic minus clean) by sorted hash, and chain parameters."""
@@ -167,14 +180,15 @@ def train(tokens: Tokens, gold: np.ndarray, rounds: int = 100, rate: float = 0.5
           min_count: int = 3) -> Crf:
     """Maximum likelihood by adaptive gradient steps; features on fewer than ``min_count`` words are left out."""
     n = len(tokens)
-    every = np.concatenate(list(tokens.hashes.values()))
-    where = np.tile(np.arange(n), len(KINDS))
-    keys, index, count = np.unique(every, return_inverse=True, return_counts=True)
-    # a feature that never meets label 1 and label 0 words alike is told by the bias
-    useful = (count >= min_count) & (keys != 0) & (np.bincount(index, gold[where], len(keys)) > 0)
-    renamed = np.cumsum(useful) - 1
+    names, at = [], []
+    for h in tokens.hashes.values():  # features that no word labelled 1 has are told by the bias
+        here = np.flatnonzero((h != 0) & np.isin(h, np.unique(h[gold > 0])))
+        names.append(h[here])
+        at.append(here)
+    keys, index, count = np.unique(np.concatenate(names), return_inverse=True, return_counts=True)
+    useful = count >= min_count
     ok = useful[index]
-    index, where = renamed[index[ok]], where[ok]
+    index, where = (np.cumsum(useful) - 1)[index[ok]], np.concatenate(at)[ok]
     keys = keys[useful]
     crf = Crf(keys, np.zeros(len(keys)), bias=float(np.log((gold.sum() + 1) / (n + 2))))
     inner = np.flatnonzero(~tokens.first)

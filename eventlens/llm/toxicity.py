@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from eventlens.llm import crf as C
 from eventlens.llm.common import as_bytes, buffers, map_arrow, slices
 
-SAMPLE_DOCS = 5000
+SAMPLE_DOCS = 3000
 SAMPLE_CHARS = 20_000
 SEEDS = (0x9FB21C651E98DF25, 0xD1B54A32D192ED03, 0xAEF17502108EF2D9, 0x8CB92BA72F3D8DD7)
 
@@ -96,29 +96,29 @@ def toxic_signs(tokens: C.Tokens, toxic: np.ndarray) -> np.ndarray:
     """Hashes of words and word beginnings that mark toxic documents by standing in them, once or repeatedly."""
     keep = unlike(tokens, len(toxic))
     use = keep[tokens.doc]
-    kinds = [k for k in C.KINDS if k not in ("before", "after")]
-    pairs = np.concatenate([tokens.hashes[k][use] for k in kinds])
-    docs = np.tile(tokens.doc[use], len(kinds))
-    docs, pairs = docs[pairs != 0], pairs[pairs != 0]
-    order = np.lexsort((docs, pairs))
-    pairs, docs = pairs[order], docs[order]
-    new = np.r_[True, (pairs[1:] != pairs[:-1]) | (docs[1:] != docs[:-1])][:len(pairs)]
-    often = np.diff(np.r_[np.flatnonzero(new), len(pairs)])
-    pairs, docs = pairs[new], docs[new]
     rate = min(max(float(toxic[keep].mean()), 1e-3), 0.999)
     sets: list[tuple[np.uint64, np.ndarray, int]] = []  # sign, documents, toxic ones among them
-    for times, purity in ((1, 0.95), (2, 0.8)):
-        names, at, n = np.unique(pairs[often >= times], return_index=True, return_counts=True)
-        if not len(names):
-            continue
-        held = docs[often >= times]
-        n_toxic = np.add.reduceat(toxic[held].astype(np.int64), at)
-        clean = n - n_toxic
-        # log-likelihood ratio against chance; by chance alone, fewer than 0.01 names get above the bar
-        gain = n_toxic * np.log(np.maximum(n_toxic, 1) / (n * rate)) + clean * np.log(
-            np.maximum(clean, 1) / (n * (1 - rate)))
-        for i in np.flatnonzero((n_toxic >= purity * n) & (gain > math.log(len(names) / 0.01))).tolist():
-            sets.append((names[i], held[at[i]:at[i] + n[i]], int(n_toxic[i])))
+    for kind in C.KINDS[:-2]:
+        pairs, docs = tokens.hashes[kind][use], tokens.doc[use]
+        docs, pairs = docs[pairs != 0], pairs[pairs != 0]
+        order = np.lexsort((docs, pairs))
+        pairs, docs = pairs[order], docs[order]
+        new = np.r_[True, (pairs[1:] != pairs[:-1]) | (docs[1:] != docs[:-1])][:len(pairs)]
+        often = np.diff(np.r_[np.flatnonzero(new), len(pairs)])
+        pairs, docs = pairs[new], docs[new]
+        for times, purity in ((1, 0.95), (2, 0.8)):
+            names, at, n = np.unique(pairs[often >= times], return_index=True, return_counts=True)
+            if not len(names):
+                continue
+            held = docs[often >= times]
+            n_toxic = np.add.reduceat(toxic[held].astype(np.int64), at)
+            clean = n - n_toxic
+            # log-likelihood ratio against chance; by chance alone, fewer than 0.01 names get above the bar
+            gain = n_toxic * np.log(np.maximum(n_toxic, 1) / (n * rate)) + clean * np.log(
+                np.maximum(clean, 1) / (n * (1 - rate)))
+            bar = math.log(len(names) * len(C.KINDS) / 0.01)
+            for i in np.flatnonzero((n_toxic >= purity * n) & (gain > bar)).tolist():
+                sets.append((names[i], held[at[i]:at[i] + n[i]], int(n_toxic[i])))
     # the most telling sign first; the next must explain documents that are still unexplained
     unexplained, taken, open_ = toxic & keep, [], dict(enumerate(sets))
     least = max(3, math.ceil(math.log(100) / -math.log(rate)))
@@ -165,7 +165,7 @@ def fit_block(offsets: np.ndarray, data: np.ndarray, toxic: np.ndarray) -> Model
                         (-30.0 if not toxic.any() else 30.0), 0.0, 0.0))
     if not n or not toxic.any() or toxic.all():
         return flat
-    tokens = C.tokenize(offsets, data)
+    tokens = C.tokenize_slices(offsets, data)
     gold = token_labels(tokens, toxic)
     if not gold.any():
         return flat
