@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from eventlens.llm import exact_dedup, mixing, piecewise_hash, sentencepiece_codec, simhash, toxicity, url_filter, warc
+from eventlens.llm import exact_dedup, mixing, perspectives, piecewise_hash, sentencepiece_codec, simhash, token_attribution, toxicity, url_filter, warc
 
 QUERIES = {
+    "op1_token_attribution": token_attribution.op1_token_attribution,
     "op2_toxicity": toxicity.op2_toxicity,
+    "op3_perspectives": perspectives.op3_perspectives,
     "op4_sentencepiece": sentencepiece_codec.op4_sentencepiece,
     "op5_piecewise_hash": piecewise_hash.op5_piecewise_hash,
     "op6_mixing": mixing.op6_mixing,
@@ -16,6 +18,7 @@ QUERIES = {
 }
 
 ORACLE = {
+    "op3_perspectives": perspectives.ORACLE,
     "op6_mixing": mixing.ORACLE,
     "op7_warc": warc.ORACLE,
     "op9_exact_dedup": exact_dedup.ORACLE,
