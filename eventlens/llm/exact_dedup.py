@@ -62,15 +62,18 @@ def trim(counts: pd.Series, k: int) -> pd.Series:
 
 def frequent_candidates(digests: DataFrame, k: int = COUNTERS) -> DataFrame:
     """At most k digests, among them all that more than n / (k + 1) rows have."""
+    def frame(kept: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame({"d": pd.Series(list(kept.index), dtype=object), "n": kept.astype("int64").to_numpy()})
+
     def summarise(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         kept = pd.Series(dtype="int64")
         for pdf in batches:
             kept = trim(kept.add(pdf["d"].value_counts(), fill_value=0), k)
-        yield pd.DataFrame({"d": list(kept.index), "n": kept.astype("int64").to_numpy()})
+        yield frame(kept)
 
     def merge(pdf: pd.DataFrame) -> pd.DataFrame:
         kept = trim(pdf.groupby("d")["n"].sum(), k)
-        return pd.DataFrame({"d": list(kept.index), "n": kept.astype("int64").to_numpy()})
+        return frame(kept)
 
     parts = digests.select(F.lower(F.hex(_DIGEST)).alias("d")).mapInPandas(summarise, "d string, n long")
     parts = parts.withColumn("g", F.spark_partition_id() % MERGE_GROUPS)
