@@ -11,8 +11,8 @@ transfer matrix holds the best path weight from each entry to each exit state.
 from __future__ import annotations
 
 import re
+from array import array
 from functools import lru_cache
-from itertools import chain as chain_ids
 
 import numpy as np
 import sentencepiece
@@ -22,7 +22,7 @@ SPACE = "▁"
 #: character, so BPE treats segments independently.
 _SEGMENT = re.compile(" *[^ ]+| +$")
 #: Segments that a process remembers; the older half goes when the newer is full.
-MEMORY = 150_000
+MEMORY = 250_000
 
 
 class Pieces:
@@ -41,8 +41,8 @@ class Pieces:
         self.bytes_of = [bytes([int(sp.id_to_piece(i)[3:5], 16)]) if sp.is_byte(i) else
                          b"" if sp.is_control(i) else sp.id_to_piece(i).replace(SPACE, " ").encode()
                          for i in range(sp.get_piece_size())]
-        self.new: dict[str, list[int]] = {}
-        self.old: dict[str, list[int]] = {}
+        self.new: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
         self.compatible = lru_cache(500_000)(lambda a, b: self.merged(a + b) == [a, b])
         self.solid = lru_cache(100_000)(lambda a: self.merged(a) == [a])
 
@@ -66,9 +66,12 @@ class Pieces:
             return [found]
         return [self.byte[b] for b in token.encode()] if self.fallback else [self.sp.unk_id()]
 
-    def encode_spaced(self, text: str) -> list[int]:
+    def encode_spaced(self, text: str) -> np.ndarray:
         """Ids of a text whose first character is the space before its first word; no text: no ids."""
-        parts = _SEGMENT.findall(text)
+        # a segment is known by what follows its first space, which the library adds itself
+        parts = text.split(" ")[1:]
+        if "" in parts:  # runs of spaces, which belong to the segment after them
+            parts = [p[1:] for p in _SEGMENT.findall(text)]
         new, old = self.new, self.old
         missing = set(parts).difference(new)
         if missing:
@@ -78,12 +81,13 @@ class Pieces:
                     new[p] = old[p]
                 else:
                     ask.append(p)
-            # the library itself puts a space before the text; a lone space is its mark
-            for p, ids in zip(ask, self.sp.encode([p[1:] for p in ask], num_threads=1), strict=True):
-                new[p] = ids if p != " " else self.ids_of(SPACE)
-            if len(new) > MEMORY:
-                self.old, self.new = new, {}
-        return list(chain_ids.from_iterable(map(new.__getitem__, parts)))
+            for p, ids in zip(ask, self.sp.encode(ask, num_threads=1), strict=True):
+                # a lone space is the space mark itself
+                new[p] = array("i", ids if p else self.ids_of(SPACE)).tobytes()
+        found = np.frombuffer(b"".join(map(new.__getitem__, parts)), np.int32)
+        if len(new) > MEMORY:
+            self.old, self.new = new, {}
+        return found
 
     # chunks: s is a text with space marks, [a, b) the chunk within it
 
@@ -177,7 +181,7 @@ class Pieces:
         if not words:
             return trace(self.walk(s, begin, before, b, not last), end)
         head = [] if begin == words[0] else trace(self.walk(s, begin, before, words[0], False), (None, words[0]))
-        middle = self.encode_spaced(s[words[0]:words[1]].replace(SPACE, " "))
+        middle = self.encode_spaced(s[words[0]:words[1]].replace(SPACE, " ")).tolist()
         return head + middle + trace(self.walk(s, words[1], None, b, not last), end)
 
 

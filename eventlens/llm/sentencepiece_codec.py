@@ -79,8 +79,8 @@ def encode_short(rows: DataFrame, model: bytes) -> DataFrame:
         p, found, counts = pieces(model), [], [0]
         for raw in as_bytes(batch.column(at)).to_pylist():
             text = raw.decode("utf-8", "replace").replace(B.SPACE, " ")
-            ids = p.encode_spaced(" " + text) if text else []
-            found.append(np.array(ids, np.int32))
+            ids = p.encode_spaced(" " + text) if text else np.zeros(0, np.int32)
+            found.append(ids)
             counts.append(len(ids))
         ids = pa.ListArray.from_arrays(pa.array(np.cumsum(counts).astype(np.int32)),
                                        pa.array(np.concatenate([np.zeros(0, np.int32), *found])))
@@ -181,7 +181,7 @@ def encode(docs: DataFrame, text_col: str = "text", model: bytes | None = None,
     giant_rows = cut_lineage(rows.filter(F.length("text") > chunk).withColumn(
         "uid", F.monotonically_increasing_id()))  # fixed from here on
     giant = giant_rows.drop("text").join(
-        encode_giant(giant_rows.select("uid", F.translate("text", B.SPACE, " ").alias("text")), model, chunk),
+        encode_giant(giant_rows.select("uid", F.replace("text", F.lit(B.SPACE), F.lit(" ")).alias("text")), model, chunk),
         "uid").select(*own, "token_ids")
     out = encode_short(rows.filter(F.length("text") <= chunk), model).unionByName(giant)
     clash = {"token_ids"} & set(names)
@@ -210,8 +210,8 @@ def op4_sentencepiece(spark, sf_dir: str) -> DataFrame:
     and whether the text came back."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     model = default_model()
-    marked = docs.select("doc_id", "text", F.sha2(F.translate(
-        F.coalesce("text", F.lit("")), B.SPACE, " "), 256).alias("expected"))
+    marked = docs.select("doc_id", "text", F.sha2(F.replace(
+        F.coalesce("text", F.lit("")), F.lit(B.SPACE), F.lit(" ")), 256).alias("expected"))
     tokens = encode(marked, model=model)
 
     def digests(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
