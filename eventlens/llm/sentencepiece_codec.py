@@ -22,6 +22,7 @@ the columns it adds replace columns of these names.
 from __future__ import annotations
 
 import hashlib
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from eventlens.llm import bpe_lattice as B
-from eventlens.llm.common import as_bytes, buffers, cut_lineage, map_arrow
+from eventlens.llm.common import BATCH_ROWS, as_bytes, buffers, cut_lineage, map_arrow
 
 #: A longer text is giant.
 CHUNK = 16_384
@@ -129,30 +130,45 @@ def transfers(parts: DataFrame, model: bytes) -> DataFrame:
     return parts.mapInPandas(run, _MATRIX)
 
 
+def _in_order(rows: DataFrame, keys: list[str], fn, schema: str) -> DataFrame:
+    """``fn`` on the rows (in order of ``chunk``) of each key, several keys to a task."""
+    names = rows.columns
+    at = [names.index(k) for k in keys]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        every = (r for pdf in batches for r in pdf.itertuples(index=False, name="Row"))
+        found = []
+        for key, group in itertools.groupby(every, key=lambda r: tuple(r[i] for i in at)):
+            found += fn(key, list(group))
+            if len(found) >= BATCH_ROWS:
+                yield frame(found)
+                found = []
+        yield frame(found)
+
+    def frame(found: list[tuple]) -> pd.DataFrame:
+        return pd.DataFrame(found, columns=[c.split()[0] for c in schema.split(", ")])
+
+    return rows.repartition(*keys).sortWithinPartitions(*keys, "chunk").mapInPandas(run, schema)
+
+
 def boundary_states(mats: DataFrame) -> DataFrame:
     """(uid, chunk, enter, leave): the states at both ends of every chunk on the document's best path."""
-    def combine(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("chunk")
-        every = [_matrix(r) for r in pdf.itertuples()]
-        whole = every[0]
-        for m in every[1:]:
-            whole = B.product(whole, m)
-        return pd.DataFrame({"uid": [pdf["uid"].iloc[0]], "chunk": [pdf["chunk"].iloc[0] // GROUP],
-                             "rows": [whole.shape[0]], "cells": [whole.ravel()]})
-
-    def down(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("chunk")
-        enter, leave = (int(pdf[c].iloc[0]) for c in ("enter", "leave"))
-        at = B.chain([_matrix(r) for r in pdf.itertuples()], enter, leave)
-        return pd.DataFrame({"uid": pdf["uid"], "chunk": pdf["chunk"], "enter": at[:-1], "leave": at[1:]})
+    def combine(key: tuple, rows: list) -> list[tuple]:
+        whole = _matrix(rows[0])
+        for r in rows[1:]:
+            whole = B.product(whole, _matrix(r))
+        return [(key[0], key[1], whole.shape[0], whole.ravel())]
+
+    def down(key: tuple, rows: list) -> list[tuple]:
+        at = B.chain([_matrix(r) for r in rows], rows[0].enter, rows[0].leave)
+        return [(key[0], r.chunk, x, y) for r, x, y in zip(rows, at[:-1], at[1:], strict=True)]
 
     states = "uid long, chunk int, enter int, leave int"
-    group = F.floor(F.col("chunk") / GROUP).cast("int")
-    mats = mats.withColumn("g", group)
-    groups = mats.groupBy("uid", "g").applyInPandas(combine, _MATRIX)
-    of_groups = (groups.withColumn("enter", F.lit(0)).withColumn("leave", F.lit(0))
-                 .groupBy("uid").applyInPandas(down, states).withColumnRenamed("chunk", "g"))
-    return mats.join(of_groups, ["uid", "g"]).groupBy("uid", "g").applyInPandas(down, states)
+    mats = mats.withColumn("g", F.floor(F.col("chunk") / GROUP).cast("int"))
+    groups = _in_order(mats, ["uid", "g"], combine, _MATRIX)
+    whole = groups.withColumn("enter", F.lit(0)).withColumn("leave", F.lit(0))  # text start and text end
+    of_groups = _in_order(whole, ["uid"], down, states).withColumnRenamed("chunk", "g")
+    return _in_order(mats.join(of_groups, ["uid", "g"]), ["uid", "g"], down, states)
 
 
 def encode_giant(rows: DataFrame, model: bytes, chunk: int) -> DataFrame:
