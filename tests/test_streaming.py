@@ -93,15 +93,43 @@ def test_serving_upsert_is_replay_safe_and_compacts(spark, tmp_dir):
     got = {r.k: r.n for r in table.read(spark).collect()}
     assert got == {"a": 5, "b": 1}
     assert table.compact(spark) == 1
-    assert not glob.glob(os.path.join(root, "versions", "batch_id=*"))  # folded and removed
+    assert table.compact(spark) is None  # nothing newer: the snapshot is left alone
     assert {r.k: r.n for r in table.read(spark).collect()} == got
     table.upsert(b2, 2)  # later batches still win over the snapshot
     assert {r.k: r.n for r in table.read(spark).collect()} == {"a": 5, "b": 7, "c": 1}
     assert table.compact(spark) == 2
-    assert [os.path.basename(p) for p in glob.glob(os.path.join(root, "snapshot", "*"))] == ["snap_id=2"]
+    # what the snapshot before covers goes; that snapshot stays for readers that planned on it
+    assert {os.path.basename(p) for p in glob.glob(os.path.join(root, "snapshot", "*"))} == {"snap_id=1", "snap_id=2"}
+    assert {os.path.basename(p) for p in glob.glob(os.path.join(root, "versions", "*"))} == {"batch_id=2"}
     assert {r.k: r.n for r in table.read(spark).collect()} == {"a": 5, "b": 7, "c": 1}
 
 
+def test_interrupted_writes_of_a_serving_table_are_never_read(spark, tmp_dir):
+    root = os.path.join(tmp_dir, "t")
+    table = ServingTable(root, ["k"])
+    frame = lambda rows: spark.createDataFrame(rows, "k string, n int")
+    table.upsert(frame([("a", 1), ("b", 2)]), 0)
+    table.upsert(frame([("a", 3)]), 1)
+    want = {"a": 3, "b": 2}
+    now = lambda: {r.k: r.n for r in table.read(spark).collect()}
+    # a crash before anything, and after a part of the snapshot was written
+    os.makedirs(os.path.join(root, "snapshot", "snap_id=1"))
+    assert now() == want
+    frame([("a", 9)]).withColumn("batch_id", F.lit(1)).write.parquet(os.path.join(root, "snapshot", "snap_id=7"))
+    os.remove(os.path.join(root, "snapshot", "snap_id=7", "_SUCCESS"))
+    assert now() == want
+    # a version without its mark
+    frame([("z", 9)]).write.parquet(os.path.join(root, "versions", "batch_id=5"))
+    os.remove(os.path.join(root, "versions", "batch_id=5", "_SUCCESS"))
+    assert now() == want
+    assert table.compact(spark) == 1 and now() == want
+    # a crash after the commit and before the deletions: versions 0 and 1 are still there
+    assert len(glob.glob(os.path.join(root, "versions", "batch_id=[01]"))) == 2 and now() == want
+    table.upsert(frame([("c", 4)]), 5)
+    assert table.compact(spark) == 5 and now() == {**want, "c": 4}
+    assert table.compact(spark) is None and now() == {**want, "c": 4}
+
+
 def test_stream_with_periodic_compaction(spark, tmp_dir):
     v = view(spark)
     day = F.dayofmonth("timestamp")
@@ -114,7 +142,7 @@ def test_stream_with_periodic_compaction(spark, tmp_dir):
     q = jobs.serve(jobs.speed_layer(jobs.file_event_stream(spark, src, 1), "31 days", "1 day"), table,
                    os.path.join(tmp_dir, "ck"))
     q.awaitTermination()
-    assert len(glob.glob(os.path.join(root, "versions", "batch_id=*"))) <= 1
+    assert len(glob.glob(os.path.join(root, "versions", "batch_id=*"))) <= 2
     served = ServingTable(root, jobs.PRODUCT_COUNT_KEYS).read(spark)
     batch = windows.serving_projection(windows.product_window_counts(v, "1 day"))
     assert batch.exceptAll(served.select(*batch.columns)).count() == 0
