@@ -76,6 +76,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         except Exception:  # Spark Connect has no SparkContext
             root = None
     if not root:
+        master = sc.master if sc is not None else ""
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder that driver and executors share")
         if _local_root is None:
             _local_root = tempfile.mkdtemp(prefix="eventlens-ckpt-")
         root = _local_root
