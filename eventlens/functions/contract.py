@@ -51,11 +51,18 @@ CONTRACT_SCHEMA = T.StructType([
 
 CONTRACT_COLUMNS = tuple(f.name for f in CONTRACT_SCHEMA.fields)
 
+# What the archive keeps beside the typed columns: the whole message, and why the contract rejects it.
+PAYLOAD_COLUMNS = ("raw", "reasons")
+PAYLOAD_SCHEMA = T.StructType([
+    T.StructField("raw", T.StringType(), True),
+    T.StructField("reasons", T.ArrayType(T.StringType()), True),
+])
+
 # Hive-style partition columns of the lake, zero-padded in paths.
 LAKE_PARTITIONS = ("year", "month", "day", "hour")
 
 LAKE_SCHEMA = T.StructType(
-    list(CONTRACT_SCHEMA.fields)
+    list(CONTRACT_SCHEMA.fields) + list(PAYLOAD_SCHEMA.fields)
     + [T.StructField(p, T.IntegerType(), True) for p in LAKE_PARTITIONS])
 
 

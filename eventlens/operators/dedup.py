@@ -11,7 +11,7 @@ STREAM_DEDUP_SALTS = 16
 
 def dedup_events(events: DataFrame, key: str = "event_id", time_col: str = "arrival_ts",
                  delay: str | None = None, salts: int = STREAM_DEDUP_SALTS) -> DataFrame:
-    """Keep one row per ``key``.
+    """Keep one row per ``key``; rows without a key are events of their own and all stay.
 
     Batch: ``dropDuplicates`` is an aggregate, so copies of a hot id are
     merged map-side before the shuffle.
@@ -26,13 +26,16 @@ def dedup_events(events: DataFrame, key: str = "event_id", time_col: str = "arri
     are remembered.
     """
     if not events.isStreaming:
-        return events.dropDuplicates([key])
+        # a row without a key gets a mark of its own, so one scan serves both
+        own = F.when(F.col(key).isNull(), F.monotonically_increasing_id())
+        return events.withColumn("_own", own).dropDuplicates([key, "_own"]).drop("_own")
     if delay is None:
         raise ValueError("streaming dedup needs a watermark delay")
-    wm = events.withWatermark(time_col, delay)
+    every = events.withWatermark(time_col, delay)
+    wm = every.filter(F.col(key).isNotNull())
     if salts and salts > 1:
         salt = F.pmod(F.xxhash64(F.spark_partition_id(), F.col(time_col)), F.lit(salts))
         wm = (wm.withColumn("_salt", salt)
               .dropDuplicatesWithinWatermark([key, "_salt"])
               .drop("_salt"))
-    return wm.dropDuplicatesWithinWatermark([key])
+    return wm.dropDuplicatesWithinWatermark([key]).unionByName(every.filter(F.col(key).isNull()))

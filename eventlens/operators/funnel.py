@@ -70,14 +70,11 @@ def abandoned_carts(events: DataFrame, idle: str = "30 minutes", as_of: Column |
             .select("session_id", "last_cart_at", "last_event_at", "cart_events"))
 
 
-REFERRER_HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://([^/:?#]+)"
-
-
 def traffic_by_referrer(events: DataFrame) -> DataFrame:
     """Events and sessions per referrer host; no referrer is '(direct)'.
     (The contract has no campaign field; the referrer host stands in.)"""
-    host = F.lower(F.regexp_extract(F.col("referrer_url"), REFERRER_HOST, 1))
-    source = F.when(F.col("referrer_url").isNull() | (host == ""), F.lit("(direct)")).otherwise(host)
+    host = F.lower(F.try_parse_url(F.col("referrer_url"), F.lit("HOST")))
+    source = F.coalesce(F.nullif(host, F.lit("")), F.lit("(direct)"))
     return (events.groupBy(source.alias("referrer_host"))
             .agg(F.count(F.lit(1)).alias("event_count"),
                  F.count_distinct("session_id").alias("sessions")))

@@ -64,16 +64,6 @@ def preview(df: DataFrame, n: int = 100, order: Sequence[str] = ("timestamp", "e
     return df.orderBy(*[F.asc(c) for c in order]).limit(n)
 
 
-def cap_events(df: DataFrame, max_events: int | None,
-               order: Sequence[str] | None = None) -> DataFrame:
-    """K3: stop after ``max_events`` rows; ordered when ``order`` is given."""
-    if not max_events:
-        return df
-    if order:
-        df = df.orderBy(*order)
-    return df.limit(max_events)
-
-
 def ingest_quality(validated: DataFrame) -> DataFrame:
     """Processed / accepted / rejected counts and the success percentage.
 

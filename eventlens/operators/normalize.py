@@ -3,7 +3,7 @@
 Unlike the strict validator, nothing is rejected here: unknown event types
 become ``view_item``, bad prices become null, unparsable times take the job's
 ingest time.  Everything is a native column expression; the only per-row
-computation is an MD5 fingerprint of the raw fields.
+computation is an MD5 fingerprint of the raw cells.
 """
 
 from __future__ import annotations
@@ -42,6 +42,9 @@ EVENT_TYPE_MAP = {
     "checkout": "checkout",
 }
 FALLBACK_EVENT_TYPE = "view_item"
+# Number text: digits that single underscores may group, an exponent, or infinity or nan.
+NUMBER = (r"^(?i)[+-]?((\d+(_\d+)*)(\.(\d+(_\d+)*)?)?|\.\d+(_\d+)*)(e[+-]?\d+(_\d+)*)?$"
+          r"|^[+-]?(inf|infinity|nan)$")
 # -----------------------------------------------------------------------------
 
 
@@ -64,9 +67,21 @@ def _val(raw: Column) -> Column:
 
 
 def row_fingerprint(df: DataFrame) -> Column:
-    """MD5 of the raw identifying fields; stable across replays of a file."""
-    parts = [_raw(df, f) for f in ("event_type", "time", "user", "session", "product")]
-    return F.md5(F.concat_ws("|", *parts))
+    """MD5 of every cell, each with its length (``-`` if missing), so no two rows read alike."""
+    cells = [F.col(f"`{c}`").cast("string") for c in df.columns]
+    return F.md5(F.concat_ws("|", *(
+        F.coalesce(F.concat(F.char_length(c).cast("string"), F.lit(":"), c), F.lit("-")) for c in cells)))
+
+
+def numbered_copies(raw: DataFrame, name: str = "_copy") -> DataFrame:
+    """``raw`` with the number of each row among its equals (0, 1, ...).
+
+    Equal rows are counted (map-side first) and written out again, so the
+    numbers are the same on every replay and no task sorts a group of copies.
+    """
+    cells = [F.col(f"`{c}`") for c in raw.columns]
+    counted = raw.groupBy(*cells).agg(F.count(F.lit(1)).alias("_copies"))
+    return counted.select(*cells, F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_copies") - 1)).alias(name))
 
 
 def normalize_export(raw: DataFrame, ingest_ts: Column | None = None,
@@ -74,11 +89,13 @@ def normalize_export(raw: DataFrame, ingest_ts: Column | None = None,
     """Map a CSV export (all-string columns, either header style) to the contract.
 
     ``ingest_ts`` replaces unparsable or empty times (default: the query's
-    current time).  event_id and a missing session id are derived from a row
-    fingerprint instead of random numbers, so re-running a file is idempotent.
+    current time).  event_id and a missing session id are derived from all cells
+    of the row and its number among equal rows, so every row has ids of its own
+    and re-running a file gives the same ones.
     """
     ingest = ingest_ts if ingest_ts is not None else F.current_timestamp()
-    fp = row_fingerprint(raw)
+    fp = F.md5(F.concat(row_fingerprint(raw), F.lit("#"), F.col("_copy").cast("string")))
+    raw = numbered_copies(raw)
 
     etype_raw = F.lower(_val(_raw(raw, "event_type")))
     mapping = F.create_map(*[F.lit(x) for kv in EVENT_TYPE_MAP.items() for x in kv])
@@ -94,9 +111,8 @@ def normalize_export(raw: DataFrame, ingest_ts: Column | None = None,
 
     product = default_product(_val(_raw(raw, "product")))
     price_txt = _val(_raw(raw, "price"))
-    # float() accepts digit-group underscores ("1_000.5"); Spark's cast does not
-    price = F.when(price_txt != "",
-                   F.regexp_replace(price_txt, r"(?<=\d)_(?=\d)", "").try_cast("double"))
+    # digit-group underscores ("1_000.5") are fine; Spark's cast also takes "1.5d" and "0x1p3", which are no prices
+    price = F.when(price_txt.rlike(NUMBER), F.regexp_replace(price_txt, "_", "").try_cast("double"))
 
     outcome = _val(_raw(raw, "outcome"))
     entries = [F.lit("outcome"), outcome]

@@ -20,12 +20,14 @@ Rules (the contract's):
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventlens.functions.contract import (
     CONTRACT_COLUMNS, DEVICE_FIELDS, EVENT_TYPES, OPTIONAL_STRING_FIELDS,
-    REQUIRED_STRING_FIELDS,
+    PAYLOAD_COLUMNS, REQUIRED_STRING_FIELDS,
 )
 from eventlens.functions.text import WHITESPACE
 
@@ -41,6 +43,8 @@ _ISO = r"^\\s*\\d{4}-\\d{2}-\\d{2}([Tt _]\\d{2}:\\d{2}(:\\d{2}(\\.\\d+)?)?)?(Z|z
 
 
 _DATE_SEP = r"^(\\d{4}-\\d{2}-\\d{2})[tT_ ]"
+# number text: digits that single underscores may group, with an exponent, or infinity or nan
+_FLOAT = r"^(?i)[+-]?((\\d+(_\\d+)*)(\\.(\\d+(_\\d+)*)?)?|\\.\\d+(_\\d+)*)(e[+-]?\\d+(_\\d+)*)?$|^[+-]?(inf|infinity|nan)$"
 _EPOCH = r"^\\s*-?\\d+(\\.\\d+)?\\s*$"
 
 
@@ -57,15 +61,19 @@ def _in(values) -> str:
 
 
 def validate_json(messages: DataFrame, value_col: str = "value",
-                  arrival_col: str | None = None, id_mode: str = "hash") -> DataFrame:
+                  arrival_col: str | None = None, id_mode: str = "hash",
+                  position_cols: Sequence[str] = ()) -> DataFrame:
     """Parse and check JSON event text.
 
     Returns every input row with the contract columns (nullable), ``reasons``
     (array<string>), ``is_valid``, ``defaulted`` (fields that took a default)
     and the original text as ``raw``.  ``arrival_col`` names the arrival time
     (broker record time); without it the query's current time is used.
-    ``id_mode='hash'`` derives a missing event_id from the message text so a
-    replay reproduces it; ``'uuid'`` draws a random one.
+    ``id_mode='hash'`` derives a missing event_id from the message text and its
+    place (``position_cols``: a topic's partition and offset), so a replay
+    reproduces it and equal messages at different places stay different;
+    without ``position_cols`` the arrival time is all that tells them apart.
+    ``'uuid'`` draws a random id.
 
     Three narrow stages: parse; look up each declared path once (its kind,
     from ``schema_of_variant``, and its text); check and assemble.  The
@@ -73,12 +81,14 @@ def validate_json(messages: DataFrame, value_col: str = "value",
     """
     text = F.col(value_col).cast("string")
     arrival = F.col(arrival_col).cast("timestamp") if arrival_col else F.current_timestamp()
-    parsed = messages.select(text.alias("raw"), arrival.alias("_arrival"),
+    place = F.concat_ws(":", *(F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in position_cols)) \
+        if position_cols else F.coalesce(arrival.cast("string"), F.lit("-"))
+    parsed = messages.select(text.alias("raw"), arrival.alias("_arrival"), place.alias("_place"),
                              F.try_parse_json(text).alias("_doc"))
 
     # -- stage 1: one lookup per declared path ---------------------------------
-    ext = ["raw", "_arrival",
-           "_doc IS NOT NULL AND startswith(ltrim(raw), '{') AS _obj",
+    ext = ["raw", "_arrival", "_place",
+           "_doc IS NOT NULL AND startswith(schema_of_variant(_doc), 'OBJECT') AS _obj",
            "_doc IS NULL AS _bad"]
     paths = [(n, f"$.{n}") for n in _SCALARS] + [(f"device_{n}", f"$.device.{n}") for n in DEVICE_FIELDS]
     for name, path in paths:
@@ -122,7 +132,7 @@ def validate_json(messages: DataFrame, value_col: str = "value",
     reason(is_null("event_id"), "event_id:null")
     reason(wrong_type("event_id"), "event_id:not_a_string")
     if id_mode == "hash":
-        h = "md5(raw)"
+        h = "md5(concat(_place, '|', raw))"
         new_id = (f"concat_ws('-', substring({h}, 1, 8), substring({h}, 9, 4), substring({h}, 13, 4), "
                   f"substring({h}, 17, 4), substring({h}, 21, 12))")
     else:
@@ -145,7 +155,8 @@ def validate_json(messages: DataFrame, value_col: str = "value",
     values["timestamp"] = f"CASE WHEN k_timestamp IS NULL THEN _arrival ELSE {ts} END"
 
     price = (f"CASE WHEN {is_num('price')} THEN n_price "
-             f"WHEN {is_str('price')} THEN try_cast({strip('s_price')} AS DOUBLE) "
+             f"WHEN {is_str('price')} AND {strip('s_price')} RLIKE '{_FLOAT}' "
+             f"  THEN try_cast(replace({strip('s_price')}, '_', '') AS DOUBLE) "
              f"WHEN k_price = 'BOOLEAN' THEN CAST(CAST(s_price AS BOOLEAN) AS DOUBLE) END")
     reason(f"{present('price')} AND NOT {is_null('price')} AND ({price}) IS NULL", "price:not_a_number")
     values["price"] = price
@@ -206,7 +217,9 @@ def rejected(validated: DataFrame) -> DataFrame:
 
 def archivable(validated: DataFrame) -> DataFrame:
     """Rows the raw archive keeps: every message that parsed as a JSON object,
-    valid or not (the archive applies no contract; fields of the wrong type
-    are null).  Malformed text and bare scalars go to quarantine instead."""
+    valid or not.  The archive applies no contract, so beside the typed columns
+    (null where a field has another type) each row keeps the whole message as
+    ``raw`` and its ``reasons``.  Malformed text and bare scalars go to
+    quarantine instead."""
     bad = F.array_contains("reasons", MALFORMED) | F.array_contains("reasons", NOT_OBJECT)
-    return validated.filter(~bad).select(*CONTRACT_COLUMNS)
+    return validated.filter(~bad).select(*CONTRACT_COLUMNS, *PAYLOAD_COLUMNS)

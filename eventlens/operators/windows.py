@@ -27,7 +27,7 @@ def product_window_counts(events: DataFrame, window: str = SPEED_WINDOW,
 
     ``slide`` smaller than ``window`` gives rolling (hopping) windows; each
     event then counts in window/slide windows.  Output columns: event_type,
-    product_id, window_start, window_end, event_count (INT, as served).
+    product_id, window_start, window_end, event_count (BIGINT).
     """
     keyed = events.withColumn("product_id", default_product("product_id"))
     return (keyed
@@ -37,7 +37,7 @@ def product_window_counts(events: DataFrame, window: str = SPEED_WINDOW,
             .select("event_type", "product_id",
                     F.col("window.start").alias("window_start"),
                     F.col("window.end").alias("window_end"),
-                    F.col("event_count").cast("int").alias("event_count")))
+                    "event_count"))
 
 
 def serving_projection(counts: DataFrame) -> DataFrame:
@@ -46,13 +46,13 @@ def serving_projection(counts: DataFrame) -> DataFrame:
 
 
 def event_window_rollup(product_counts: DataFrame) -> DataFrame:
-    """A2: the rollup view, SUM(event_count)::INT per (event_type, window_end).
+    """A2: the rollup view, SUM(event_count) per (event_type, window_end).
 
     Runs over A1's served table (already aggregated, so this shuffle is small).
     """
     return (product_counts
             .groupBy("event_type", "window_end")
-            .agg(F.sum("event_count").cast("int").alias("event_count")))
+            .agg(F.sum("event_count").alias("event_count")))
 
 
 def event_window_stats(events: DataFrame, window: str = SPEED_WINDOW,

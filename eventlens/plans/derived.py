@@ -18,10 +18,9 @@ from eventlens.session import scratch_path
 from eventlens.sinks.archive import write_lake
 from eventlens.sources.replay import contract_events, read_table
 
-# Device values put into the derived JSON messages (our fixture values).
-DEVICE_OS = ("iOS", "Android", "Windows", "macOS", "Linux")
-DEVICE_BROWSERS = ("Chrome", "Safari", "Firefox", "Edge")
-DEVICE_AGENT = "loadgen/1.0"
+# Device values of the derived JSON messages: os-0, browser-0, ... by the user's number.
+DEVICE_KINDS = 6
+DEVICE_AGENT = "fixture/1"
 
 # Fault injected into message i by i % 50 (FIXTURES.md §3).
 FAULTS = {
@@ -38,28 +37,17 @@ FAULTS = {
 }
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin an under-partitioned batch input over the session's cores.
-
-    The driver's tables are single-row-group files, so a scan is one task.
-    Before per-row heavy work (JSON building and parsing) the rows are dealt
-    evenly over ``defaultParallelism`` tasks; inputs that already have that
-    many partitions (any real lake or topic) are left alone.
-    """
-    if df.isStreaming:
-        return df
-    try:
-        n = df.sparkSession.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() >= n:
-            return df
-    except Exception:  # no RDD API (Spark Connect): leave the plan as is
-        return df
-    return df.repartition(n)
-
-
 def events_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Contract rows plus raw_event_type / raw_user_id / raw_event_id."""
-    return contract_events(spread(read_table(spark, sf_dir, "events")), keep_raw_type=True)
+    return contract_events(read_table(spark, sf_dir, "events"), keep_raw_type=True)
+
+
+def with_referrers(view: DataFrame) -> DataFrame:
+    """The events with a referrer derived from props.k: none for two in five, else one of seven sites
+    (with user info and port, which are no part of the host)."""
+    k = F.get_json_object("properties", "$.k").cast("int")
+    url = F.concat(F.lit("https://u:p@Site"), (k % 7).cast("string"), F.lit(".example.com:8080/a?q="), k.cast("string"))
+    return view.withColumn("referrer_url", F.when(~(k % 5).isin(0, 1), url))
 
 
 def _json(fields: dict[str, Column]) -> Column:
@@ -71,9 +59,8 @@ def json_messages(view: DataFrame) -> DataFrame:
     """One JSON text per event with the injected faults; columns value, arrival_ts."""
     uid = F.col("raw_user_id")
     device = F.struct(
-        F.element_at(F.array(*map(F.lit, DEVICE_OS)), (uid % len(DEVICE_OS) + 1).cast("int")).alias("os"),
-        F.element_at(F.array(*map(F.lit, DEVICE_BROWSERS)), (uid % len(DEVICE_BROWSERS) + 1).cast("int"))
-        .alias("browser"),
+        F.concat(F.lit("os-"), (uid % DEVICE_KINDS).cast("string")).alias("os"),
+        F.concat(F.lit("browser-"), (uid % DEVICE_KINDS).cast("string")).alias("browser"),
         F.lit(None).cast("string").alias("ip_address"),
         F.lit(DEVICE_AGENT).alias("user_agent"),
         F.lit("1920x1080").alias("screen"))
@@ -139,6 +126,21 @@ def csv_export_frame(view: DataFrame) -> DataFrame:
         .otherwise(F.col("session_id")).alias("user_session"))
 
 
+# Rows of a replay slice, of a message file, and of a task that writes the lake.
+REPLAY_ROWS = 12_500
+MESSAGE_ROWS = 2_500
+LAKE_TASK_ROWS = 12_500
+
+
+def time_slices(view: DataFrame, time_col: str, rows: int) -> list[tuple]:
+    """Bounds (after, up to) of consecutive time ranges with about ``rows`` rows each."""
+    n = max(1, -(-view.count() // rows))
+    at = F.percentile_approx(F.unix_micros(time_col), [i / n for i in range(1, n)], 10_000) if n > 1 else None
+    cuts = sorted(set(view.agg(at.alias("q")).first()[0] or [])) if n > 1 else []
+    bounds = [None, *(F.timestamp_micros(F.lit(c)) for c in cuts), None]
+    return list(zip(bounds, bounds[1:], strict=False))
+
+
 EXPORT_COLUMNS = ["event_time", "event_type", "product_id", "category_id", "category_code",
                   "brand", "price", "user_id", "user_session"]
 
@@ -179,8 +181,10 @@ def _materialise(spark: SparkSession, kind: str, sf_dir: str, build) -> str:
 
 def lake_root(spark: SparkSession, sf_dir: str) -> str:
     """The contract events archived to a partitioned lake (S5 + P15)."""
-    return _materialise(spark, "lake", sf_dir,
-                        lambda p: write_lake(events_view(spark, sf_dir).select(*CONTRACT_COLUMNS), p))
+    def build(p):
+        view = events_view(spark, sf_dir).select(*CONTRACT_COLUMNS)
+        write_lake(view, p, partitions=max(1, -(-view.count() // LAKE_TASK_ROWS)))
+    return _materialise(spark, "lake", sf_dir, build)
 
 
 def export_path(spark: SparkSession, sf_dir: str) -> str:
@@ -190,29 +194,33 @@ def export_path(spark: SparkSession, sf_dir: str) -> str:
     return _materialise(spark, "export", sf_dir, build)
 
 
-def replay_path(spark: SparkSession, sf_dir: str, files: int = 8, duplicates: bool = False) -> str:
-    """Contract events written as ``files`` time-ordered Parquet files, the
-    input of the file-stream replays."""
+def replay_path(spark: SparkSession, sf_dir: str, duplicates: bool = False, rows: int = REPLAY_ROWS) -> str:
+    """Contract events as time-ordered Parquet files of about ``rows`` rows, the
+    input of the file-stream replays.
+
+    A file stream takes files by modification time, so the slices are written
+    one after the other, in time order: arrival order is event order.
+    """
     def build(p):
         view = events_view(spark, sf_dir)
         if duplicates:
             view = with_duplicates(view)
-        (view.select(*CONTRACT_COLUMNS)
-         .repartitionByRange(files, F.col("timestamp"), F.col("event_id"))
-         .write.parquet(p))
+        view = view.select(*CONTRACT_COLUMNS)
+        for low, high in time_slices(view, "arrival_ts", rows):
+            part = view.filter(F.col("arrival_ts") > low) if low is not None else view
+            part = part.filter(F.col("arrival_ts") <= high) if high is not None else part
+            part.coalesce(1).write.mode("append").parquet(p)
     kind = "replay-dups" if duplicates else "replay"
     return _materialise(spark, kind, sf_dir, build)
 
 
 def messages_path(spark: SparkSession, sf_dir: str) -> str:
-    """The fault-injected JSON messages at rest (value, arrival_ts), as a
-    topic would hold them, in time-sliced files (each file a contiguous range
-    of arrival times, like a topic's offsets); the streaming ingest input."""
+    """The fault-injected JSON messages at rest (value, arrival_ts, position), as
+    a topic would hold them, in files of about ``MESSAGE_ROWS`` rows that each
+    hold a contiguous range of arrivals; the streaming ingest input."""
     def build(p):
-        (json_messages(events_view(spark, sf_dir)).select("value", "arrival_ts")
-         .repartitionByRange(MESSAGE_SLICES, F.col("arrival_ts")).write.parquet(p))
+        view = events_view(spark, sf_dir)
+        files = max(1, -(-view.count() // MESSAGE_ROWS))
+        (json_messages(view).select("value", "arrival_ts", F.col("raw_event_id").alias("position"))
+         .repartitionByRange(files, "arrival_ts", "position").write.parquet(p))
     return _materialise(spark, "messages", sf_dir, build)
-
-
-# Time slices of the message replay (a topic's partitions x offset ranges).
-MESSAGE_SLICES = 64

@@ -9,10 +9,9 @@ names and types match the Spark outputs.
 from __future__ import annotations
 
 from eventlens.functions.contract import DEFAULT_PAGE_URL_PREFIX, EVENT_TYPES
-from eventlens.plans.derived import DEVICE_AGENT, DEVICE_BROWSERS, DEVICE_OS
+from eventlens.plans.derived import DEVICE_AGENT, DEVICE_KINDS
 
 _ENUM = ", ".join(f"'{t}'" for t in EVENT_TYPES)
-_LIST = lambda xs: "[" + ", ".join(f"'{x}'" for x in xs) + "]"
 
 EV = f"""
 base AS (
@@ -56,7 +55,7 @@ def product_window_counts(size: str) -> str:
 SELECT event_type, product_key AS product_id,
        {_bucket(s)} AS window_start,
        {_bucket(s)} + INTERVAL {s} SECOND AS window_end,
-       CAST(count(*) AS INTEGER) AS event_count
+       count(*) AS event_count
 FROM evp GROUP BY 1, 2, 3, 4"""
 
 
@@ -64,13 +63,13 @@ def served_product_counts(size: str) -> str:
     s = _SECONDS[size]
     return f"""WITH {EV}
 SELECT event_type, {_bucket(s)} + INTERVAL {s} SECOND AS window_end, product_key AS product_id,
-       CAST(count(*) AS INTEGER) AS event_count
+       count(*) AS event_count
 FROM evp GROUP BY 1, 2, 3"""
 
 
 def event_window_rollup(size: str) -> str:
     return f"""WITH a1 AS ({served_product_counts(size)})
-SELECT event_type, window_end, CAST(sum(event_count) AS INTEGER) AS event_count
+SELECT event_type, window_end, CAST(sum(event_count) AS BIGINT) AS event_count
 FROM a1 GROUP BY 1, 2"""
 
 
@@ -92,7 +91,7 @@ starts AS (
   FROM evp, range(0, {n}) r(i))
 SELECT event_type, product_key AS product_id, window_start,
        window_start + INTERVAL {length} SECOND AS window_end,
-       CAST(count(*) AS INTEGER) AS event_count
+       count(*) AS event_count
 FROM starts GROUP BY 1, 2, 3, 4"""
 
 
@@ -149,12 +148,12 @@ s AS (
   FROM evp GROUP BY 1)
 SELECT session_id, last_cart_at, last_event_at, cart_events FROM s
 WHERE last_cart_at IS NOT NULL AND (last_purchase_at IS NULL OR last_purchase_at < last_cart_at)
-  AND last_event_at <= CAST(now() AS TIMESTAMP) - INTERVAL 30 MINUTE"""
+  AND last_event_at <= (SELECT max("timestamp") FROM evp) - INTERVAL 1 DAY"""
 
 TRAFFIC_BY_REFERRER = f"""WITH {EV},
-r AS (SELECT *, CAST(NULL AS VARCHAR) AS referrer_url FROM evp),
-h AS (SELECT *, lower(regexp_extract(referrer_url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/:?#]+)', 1)) AS host FROM r)
-SELECT CASE WHEN referrer_url IS NULL OR host = '' THEN '(direct)' ELSE host END AS referrer_host,
+h AS (SELECT *, CASE WHEN k % 5 IN (0, 1) THEN NULL ELSE 'site' || CAST(k % 7 AS VARCHAR) || '.example.com' END
+        AS host FROM evp)
+SELECT coalesce(host, '(direct)') AS referrer_host,
        count(*) AS event_count, count(DISTINCT session_id) AS sessions
 FROM h GROUP BY 1"""
 
@@ -162,8 +161,8 @@ STRICT_ACCEPTED = f"""WITH {EV}
 SELECT CASE WHEN raw_event_id % 50 = 8 THEN NULL ELSE event_id END AS event_id,
        "timestamp", user_id, anonymous_id, session_id, event_type, page_url,
        CAST(NULL AS VARCHAR) AS referrer_url,
-       {_LIST(DEVICE_OS)}[raw_user_id % {len(DEVICE_OS)} + 1] AS device_os,
-       {_LIST(DEVICE_BROWSERS)}[raw_user_id % {len(DEVICE_BROWSERS)} + 1] AS device_browser,
+       'os-' || CAST(raw_user_id % {DEVICE_KINDS} AS VARCHAR) AS device_os,
+       'browser-' || CAST(raw_user_id % {DEVICE_KINDS} AS VARCHAR) AS device_browser,
        CAST(NULL AS VARCHAR) AS device_ip_address,
        '{DEVICE_AGENT}' AS device_user_agent,
        price, product_id, CAST(json(properties) AS VARCHAR) AS properties
@@ -202,16 +201,23 @@ FROM c"""
 ROUTING_KEYS = f"""WITH {EV}
 SELECT event_id, coalesce(nullif(user_id, ''), anonymous_id) AS routing_key FROM evp"""
 
-_FP = ("md5(concat_ws('|', raw_event_type, event_time, user_raw, session_raw, product_raw))")
+_CELLS = ("event_time", "raw_event_type", "product_raw", "category_raw", "code_raw", "brand_raw", "price_raw",
+          "user_raw", "session_raw")
+_FP = "md5(md5(concat_ws('|', " + ", ".join(
+    f"coalesce(length({c}) || ':' || {c}, '-')" for c in _CELLS) + ")) || '#' || copy)"
 
 EXPORT_NORMALIZED = f"""WITH {EV},
 x AS (
   SELECT *, strftime(ts, '%Y-%m-%d %H:%M:%S') || ' UTC' AS event_time,
          user_id AS user_raw,
          CASE WHEN raw_event_id % 13 = 0 THEN NULL ELSE session_id END AS session_raw,
-         nullif(product_id, '') AS product_raw
+         nullif(product_id, '') AS product_raw, CAST(k AS VARCHAR) AS category_raw,
+         CASE WHEN k % 3 = 0 THEN 'electronics.smartphone' END AS code_raw,
+         CASE WHEN k % 4 = 0 THEN 'acme' END AS brand_raw,
+         CAST(price AS VARCHAR) AS price_raw
   FROM evp),
-y AS (SELECT *, {_FP} AS fp FROM x)
+n AS (SELECT *, CAST(row_number() OVER (PARTITION BY {", ".join(_CELLS)}) - 1 AS VARCHAR) AS copy FROM x),
+y AS (SELECT *, {_FP} AS fp FROM n)
 SELECT substr(fp, 1, 8) || '-' || substr(fp, 9, 4) || '-' || substr(fp, 13, 4) || '-' ||
          substr(fp, 17, 4) || '-' || substr(fp, 21, 12) AS event_id,
        date_trunc('second', ts) AS "timestamp",

@@ -12,13 +12,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from eventlens.functions.contract import ARCHIVE_FLUSH_SECONDS, CONTRACT_COLUMNS, LAKE_PARTITIONS
+from eventlens.functions.contract import (
+    ARCHIVE_FLUSH_SECONDS, CONTRACT_COLUMNS, LAKE_PARTITIONS, PAYLOAD_COLUMNS,
+)
 from eventlens.functions.time import partition_parts
 
 
 def with_partitions(events: DataFrame, time_col: str = "arrival_ts") -> DataFrame:
-    """Add zero-padded year/month/day/hour (INT) from ``time_col``."""
-    return events.select(*CONTRACT_COLUMNS, *partition_parts(time_col))
+    """Add zero-padded year/month/day/hour (INT) from ``time_col``; the whole message stays where given."""
+    payload = [c for c in PAYLOAD_COLUMNS if c in events.columns]
+    return events.select(*CONTRACT_COLUMNS, *payload, *partition_parts(time_col))
 
 
 def write_lake(events: DataFrame, root: str, time_col: str = "arrival_ts",
@@ -29,15 +32,12 @@ def write_lake(events: DataFrame, root: str, time_col: str = "arrival_ts",
     Rows are range-partitioned on (time, event_id) before the write, so each
     task holds a contiguous time slice: it writes into few hour folders and a
     busy hour is split over several tasks instead of landing in one.  File
-    size is bounded by ``max_records_per_file``.  The task count defaults to
-    ``spark.sql.shuffle.partitions`` and is given explicitly, so adaptive
-    execution does not fold a small input into one task that would then
-    write every hour folder alone.
+    size is bounded by ``max_records_per_file``.  Adaptive execution sizes the
+    tasks from the shuffled bytes; ``partitions`` fixes their number instead.
     """
     parted = with_partitions(events, time_col)
     keys = [F.col(time_col), F.col("event_id")]
-    n = partitions or int(events.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    parted = parted.repartitionByRange(n, *keys)
+    parted = parted.repartitionByRange(partitions, *keys) if partitions else parted.repartitionByRange(*keys)
     (parted.write.mode(mode)
      .option("maxRecordsPerFile", max_records_per_file)
      .partitionBy(*LAKE_PARTITIONS)

@@ -10,7 +10,7 @@ from eventlens.functions.contract import DEVICE_FIELDS
 from eventlens.functions.text import routing_key
 from eventlens.functions.time import iso_utc
 
-PRODUCER_OPTIONS = {  # durable, compressed, short linger
+PRODUCER_OPTIONS = {  # fixed values of the specification: durable, compressed, short linger
     "kafka.acks": "all",
     "kafka.compression.type": "snappy",
     "kafka.linger.ms": "5",

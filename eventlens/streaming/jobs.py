@@ -175,20 +175,21 @@ def run_to_table(spark: SparkSession, build: Callable[[DataFrame], DataFrame],
 
 def ingest_streams(messages: DataFrame, lake_root: str, quarantine_root: str, checkpoint_root: str,
                    time_col: str = "arrival_ts", available_now: bool = False,
-                   interval: str = "60 seconds") -> tuple[StreamingQuery, StreamingQuery]:
+                   interval: str = "60 seconds",
+                   position_cols: Sequence[str] = ()) -> tuple[StreamingQuery, StreamingQuery]:
     """The batch layer: message text -> lake archive + quarantine.
 
     ``messages`` has ``value`` (JSON text) and ``arrival_ts`` (broker record
     time), e.g. :func:`eventlens.sources.kafka.read_topic`.  Every message that
-    parses as a JSON object is archived under its arrival hour, valid or not
-    (the archive applies no contract); malformed text and bare scalars go to
-    the quarantine with their reasons.  Both are file sinks with their own
+    parses as a JSON object is archived whole under its arrival hour, valid or
+    not (the archive applies no contract); malformed text and bare scalars go
+    to the quarantine with their reasons.  Both are file sinks with their own
     checkpoints, so each output is exactly-once; each re-parses the text.
     """
     from eventlens.operators.validate import MALFORMED, NOT_OBJECT, archivable, validate_json
     from eventlens.sinks.archive import archive_stream
 
-    validated = validate_json(messages, "value", arrival_col="arrival_ts")
+    validated = validate_json(messages, "value", arrival_col="arrival_ts", position_cols=position_cols)
     lake_q = archive_stream(archivable(validated), lake_root, f"{checkpoint_root}/lake", time_col,
                             available_now=available_now)
     bad = (validated
