@@ -53,4 +53,5 @@ def records_to_messages(records: DataFrame) -> DataFrame:
     """Broker records to message text plus the record time (the speed clock)."""
     return records.select(F.col("value").cast("string").alias("value"),
                           F.col("timestamp").alias("arrival_ts"),
-                          F.col("key").cast("string").alias("key"), "partition", "offset")
+                          F.col("key").cast("string").alias("key"),
+                          *(c for c in ("partition", "offset") if c in records.columns))

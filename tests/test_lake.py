@@ -48,7 +48,7 @@ def test_partition_pruning_and_full_projection(spark, tmp_dir):
     assert day4.count() == 2  # the 4th of every month
     plan = day4._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(day" in plan and "(day#" in plan
-    assert len(day4.columns) == 17
+    assert len(day4.columns) == 19
 
 
 def test_inventory_counts_files_rows_bytes(spark, tmp_dir):

@@ -1,5 +1,7 @@
 """Scratch-folder rules: the session's checkpoint dir wins; a local one only when unset."""
 
+import pytest
+
 from eventlens import session
 
 
@@ -17,8 +19,8 @@ class _Conf:
 
 
 class _Context:
-    def __init__(self, ckpt=None):
-        self.ckpt = ckpt
+    def __init__(self, ckpt=None, master="local[2]"):
+        self.ckpt, self.master = ckpt, master
 
     def getCheckpointDir(self):
         return self.ckpt
@@ -50,6 +52,12 @@ def test_local_fallback_only_when_unset_even_if_conf_is_read_only():
     assert session.ensure_checkpoint_dir(_Session(_Conf(None, read_only=True), _Context())) == root
 
 
+@pytest.mark.parametrize("master", ["yarn", "spark://h:7077", "local-cluster[2,1,1024]", "k8s://h"])
+def test_no_machine_local_folder_on_a_cluster(master):
+    with pytest.raises(RuntimeError, match="share"):
+        session.ensure_checkpoint_dir(_Session(_Conf(None), _Context(master=master)))
+
+
 def test_scratch_paths_are_unique_under_the_root():
     s = _Session(_Conf("s3a://shared/ckpt"), _Context())
     a, b = session.scratch_path(s, "lake"), session.scratch_path(s, "lake")

@@ -43,7 +43,7 @@ def test_a1_tumbling_60s_epoch_aligned_with_default_product(ev):
 def test_a1_served_types(ev):
     served = windows.serving_projection(windows.product_window_counts(ev))
     assert served.columns == ["event_type", "window_end", "product_id", "event_count"]
-    assert dict(served.dtypes)["event_count"] == "int"
+    assert dict(served.dtypes)["event_count"] == "bigint"
 
 
 def test_w10_rolling_each_event_in_size_over_slide_windows(ev):
