@@ -3,9 +3,11 @@
 Every page becomes one WARC/1.1 record.  Of records with equal payloads of at
 least ``least_bytes`` bytes, the one with the largest id is a ``response`` and
 the others are ``revisit`` records that refer to it; all else is ``response``.
-A dictionary is trained on a bounded sample of payloads (``SAMPLE`` records of
-at most ``SAMPLE_BYTES``, by hash).  Each archive (``part-NNNNN.warc.zst``)
-starts with a skippable frame that holds the (compressed) dictionary, and each
+A dictionary is trained on a bounded sample of payloads (about ``SAMPLE``
+records of at most ``SAMPLE_BYTES``, by a hash of the id).  A task writes its
+rows to archives of about ``FILE_BYTES`` of payload
+(``part-NNNNN-NNN.warc.zst``); payloads are shuffled once, to meet their equals.
+Each archive starts with a skippable frame that holds the (compressed) dictionary, and each
 record is a frame of its own, so it can be read alone.
 
 Payloads that very many rows share are found by the heavy-hitter summaries of
@@ -39,7 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventlens.llm import exact_dedup
-from eventlens.llm.common import cut_lineage
+from eventlens.llm.common import SLICE_BYTES, cut_lineage
 from eventlens.session import scratch_path
 
 #: Payload bytes of an archive, about.
@@ -156,14 +158,15 @@ def with_response(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
     heavy, _, rest = exact_dedup.split_groups(small)
     shared = rest.filter("group_size > 1").select("__digest", "keep_id").distinct()
     none = F.lit(None).cast(pages.schema["id"].dataType)
+    names = ["id", "url", "payload", "keep_id", "shared"]
     alone = rows.filter(F.col("size") < least_bytes).withColumn("keep_id", none).withColumn("shared", F.lit(False))
     rows = rows.filter(F.col("size") >= least_bytes)
     hot = rows.join(F.broadcast(heavy.select("__digest", "keep_id")), "__digest").withColumn("shared", F.lit(True))
     cold = (rows.join(F.broadcast(heavy), "__digest", "left_anti")
             .join(shared.withColumn("shared", F.lit(True)), "__digest", "left")
             .withColumn("shared", F.coalesce("shared", F.lit(False))))
-    names = ["id", "url", "payload", "keep_id", "shared"]
-    return hot.select(*names).unionByName(cold.select(*names)).unionByName(alone.select(*names))
+    out = hot.select(*names).unionByName(cold.select(*names))
+    return out.unionByName(alone.select(*names)) if least_bytes > 0 else out
 
 
 def write(pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html",
@@ -171,46 +174,59 @@ def write(pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str =
     """Write archives to ``folder``; (file, records, bytes) of each."""
     base = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"),
                         F.encode(F.coalesce(F.col(payload_col), F.lit("")), "UTF-8").alias("payload"))
-    total = base.agg(F.sum(F.length("payload").cast("long"))).first()[0] or 0
-    sample = (base.filter(F.length("payload").between(1, SAMPLE_BYTES)).select("payload")
-              .orderBy(F.xxhash64("payload"), "payload").limit(SAMPLE).toArrow())
-    dictionary = train(sample.column("payload").to_pylist())
-    rows = (with_response(base, least_bytes).repartition(max(1, -(-total // FILE_BYTES)), F.xxhash64("id", "payload"))
-            .sortWithinPartitions("id", "url"))
+    rows = base.count()
+    sample = []
+    if rows:  # about SAMPLE records by a hash of the id, whatever the table's size
+        below = int(min(1.0, SAMPLE / rows) * ((1 << 62) - 1))
+        sample = [r.payload for r in base.filter(
+            F.length("payload").between(1, SAMPLE_BYTES) & (F.xxhash64("id").bitwiseAND(F.lit((1 << 62) - 1)) <= below)
+        ).select("payload").limit(2 * SAMPLE).toLocalIterator()]
+    dictionary = train([bytes(x) for x in sample])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         files, root = _open(folder)
         task = TaskContext.get()
-        name = f"part-{task.partitionId():05d}.warc.zst"
-        own = posixpath.join(root, f"_{name}.{task.taskAttemptId()}")
         packer = zstandard.ZstdCompressor(level=LEVEL, dict_data=_dictionary(dictionary))
-        out, n = None, 0
+        out, n, held, part = None, 0, 0, 0
+
+        def done() -> pa.RecordBatch:
+            size = out.tell()
+            out.close()
+            files.move(own, posixpath.join(root, name))
+            return pa.RecordBatch.from_pydict({"file": [posixpath.join(folder, name)], "records": [n], "bytes": [size]})
+
         for batch in batches:
-            for row in zip(*(c for c in batch.columns), strict=True):
+            for row in zip(*batch.columns, strict=True):
                 page, url, payload, keep, shared = (x.as_py() for x in row)
                 if out is None:
+                    name = f"part-{task.partitionId():05d}-{part:03d}.warc.zst"
+                    own = posixpath.join(root, f"_{name}.{task.taskAttemptId()}")
                     files.create_dir(root, recursive=True)
                     out = files.open_output_stream(own, compression=None)
                     out.write(leading_frame(dictionary))
                 out.write(packer.compress(record(page, url, payload, keep, shared and page != keep)))
-                n += 1
+                n, held = n + 1, held + len(payload)
+                if held >= FILE_BYTES:
+                    yield done()
+                    out, n, held, part = None, 0, 0, part + 1
         if out is not None:
-            size = out.tell()
-            out.close()
-            files.move(own, posixpath.join(root, name))
-            yield pa.RecordBatch.from_pydict({"file": [posixpath.join(folder, name)], "records": [n], "bytes": [size]})
+            yield done()
 
-    return cut_lineage(rows.mapInArrow(run, "file string, records long, bytes long"))
+    return cut_lineage(with_response(base, least_bytes).mapInArrow(run, "file string, records long, bytes long"))
 
 
 def read(archives: DataFrame, id_type: str = "long") -> DataFrame:
     """Per record of the archives in (file): id, url, payload_bytes, payload_digest, record_type, refers_to, payload."""
     kind = pa.int64() if id_type in ("long", "bigint") else pa.string()
+    schema = pa.schema([("id", kind), ("url", pa.string()), ("payload_bytes", pa.int64()),
+                        ("payload_digest", pa.string()), ("record_type", pa.string()), ("refers_to", kind),
+                        ("payload", pa.binary())])
 
     def number(x: str | None):
         return x if x is None or kind == pa.string() else int(x)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows, held = [], 0
         for batch in batches:
             for file in batch.column(0).to_pylist():
                 files, path = _open(file)
@@ -218,24 +234,29 @@ def read(archives: DataFrame, id_type: str = "long") -> DataFrame:
                     for raw in frames(stream):
                         r = parse(raw)
                         f = r["fields"]
-                        yield pa.RecordBatch.from_arrays([
-                            pa.array([number(f.get("Page-ID"))], kind), pa.array([f.get("WARC-Target-URI")], pa.string()),
-                            pa.array([r["payload_bytes"]], pa.int64()),
-                            pa.array([f["WARC-Payload-Digest"].partition(":")[2]], pa.string()),
-                            pa.array([f["WARC-Type"]], pa.string()),
-                            pa.array([number(f.get("Refers-To-Page-ID"))], kind),
-                            pa.array([r["payload"] if f["WARC-Type"] == "response" else None], pa.binary())],
-                            names=["id", "url", "payload_bytes", "payload_digest", "record_type", "refers_to", "payload"])
+                        rows.append((number(f.get("Page-ID")), f.get("WARC-Target-URI"), r["payload_bytes"],
+                                     f["WARC-Payload-Digest"].partition(":")[2], f["WARC-Type"],
+                                     number(f.get("Refers-To-Page-ID")),
+                                     r["payload"] if f["WARC-Type"] == "response" else None))
+                        held += len(raw)
+                        if held >= SLICE_BYTES:
+                            yield pa.RecordBatch.from_arrays(
+                                [pa.array(c, t) for c, t in zip(zip(*rows), schema.types, strict=True)], schema=schema)
+                            rows, held = [], 0
+        if rows:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, t) for c, t in zip(zip(*rows), schema.types, strict=True)], schema=schema)
 
     what = "long" if kind == pa.int64() else "string"
-    return archives.select("file").mapInArrow(
+    # one task an archive
+    return archives.select("file").repartition(max(1, archives.count())).mapInArrow(
         run, f"id {what}, url string, payload_bytes long, payload_digest string, record_type string, "
              f"refers_to {what}, payload binary")
 
 
 def op7_warc(spark, sf_dir: str) -> DataFrame:
     archives = write(spark.read.parquet(f"{sf_dir}/pages.parquet"), scratch_path(spark, "warc"))
-    return read(archives.repartition("file")).select(
+    return read(archives).select(
         F.col("id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
