@@ -15,8 +15,9 @@ at most ``sample_chars`` characters); every document is scored whole.  Scores
 depend on the text alone.
 
 Defined cases: null, empty and wordless texts get the score of a text without
-signs, and no spans; with no usable labels, or none toxic, every score is the
-sample's rate of toxic documents (0 if none); rows that repeat an id are
+signs, and no spans; where the sample shows no signs (no usable labels, all or
+none of them toxic), every score is the sample's rate of toxic documents, 0.49
+at most, so none is called toxic; rows that repeat an id are
 scored each; columns beside id and text are ignored or, by `drop_toxic`, kept.
 """
 
@@ -160,9 +161,8 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> np.ndarray:
 def fit_block(offsets: np.ndarray, data: np.ndarray, toxic: np.ndarray) -> Model:
     """Fit on the texts of a sample; every fourth document serves the logistic curve only."""
     n = len(toxic)
-    rate = (toxic.sum() + 0.5) / (n + 1) if n else 0.0
-    flat = Model(None, (math.log(rate / (1 - rate)) if toxic.any() and not toxic.all() else
-                        (-30.0 if not toxic.any() else 30.0), 0.0, 0.0))
+    rate = min(max(float(toxic.mean()) if n else 0.0, 1e-9), 0.49)  # without signs nothing is called toxic
+    flat = Model(None, (math.log(rate / (1 - rate)), 0.0, 0.0))
     if not n or not toxic.any() or toxic.all():
         return flat
     tokens = C.tokenize_slices(offsets, data)

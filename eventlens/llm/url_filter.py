@@ -38,8 +38,8 @@ RULES = (
     ("com", "/fr/", "allow"),
     ("com", "/de/", "block"),
 )
-LONGEST = 5
-BUCKETS = 1 << 17
+LONGEST = 4
+BUCKETS = 1 << 18
 #: Weight, in counts, of the next lower order's estimate.
 SMOOTH = 2.0
 BIN = 0.005
