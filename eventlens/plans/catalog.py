@@ -17,7 +17,7 @@ from eventlens.functions.contract import CONTRACT_COLUMNS
 from eventlens.operators import funnel, metrics, windows
 from eventlens.operators.dedup import dedup_events
 from eventlens.operators.normalize import normalize_export
-from eventlens.operators.validate import validate_json
+from eventlens.operators.validate import accepted, validate_json
 from eventlens.plans import derived
 from eventlens.session import ensure_checkpoint_dir, ensure_utc, scratch_path
 from eventlens.sinks.serving import ServingTable
@@ -39,6 +39,7 @@ REPLAY_DELAY = "1 hour"
 # State partitions of a replay; a stream keeps the number it first starts with.
 STATE_PARTITIONS = 8
 CART_IDLE = "1 day"
+MESSAGE_SCHEMA = "value string, arrival_ts timestamp, position bigint"
 
 
 def ntz(df: DataFrame) -> DataFrame:
@@ -207,6 +208,24 @@ def lake_inventory_q(spark, sf_dir):
     return lake_inventory(spark, root).select("year", "month", "day", "hour", "n_rows")
 
 
+def archive_payload(spark, sf_dir):
+    """What the typed columns can't hold comes back from the archived message."""
+    _prepare(spark)
+    sent = read_lake(spark, derived.archive_root(spark, sf_dir)).select(
+        *[F.get_json_object("raw", f"$.{p}").alias(n) for n, p in
+          (("email", "email"), ("screen", "device.screen"), ("user_sent", "user_id"))],
+        F.col("event_id").isNull().alias("id_lost"), (F.size("reasons") > 0).alias("rejected"))
+    return sent.groupBy(*sent.columns).agg(F.count(F.lit(1)).alias("messages"))
+
+
+def lake_dedup(spark, sf_dir):
+    """W8 over the archive: numeric ids are null there, absent ones derived, every 7th event came twice."""
+    _prepare(spark)
+    unique = dedup_events(read_lake(spark, derived.archive_root(spark, sf_dir)))
+    return unique.groupBy("event_type", F.to_date("timestamp").alias("day")).agg(
+        F.count(F.lit(1)).alias("event_count"), F.count_distinct("event_id").alias("ids"))
+
+
 # -- streams: S7 W2 W7 W8 W9 --------------------------------------------------------
 
 def _stream(build, keys, duplicates=False):
@@ -249,6 +268,28 @@ stream_dedup_counts = _stream(lambda s: jobs.dedup_speed_layer(s, REPLAY_DELAY,
                               jobs.PRODUCT_COUNT_KEYS, duplicates=True)
 
 
+def stream_event_rollup_view(spark, sf_dir):
+    """A2 over the stream-served A1 table."""
+    return windows.event_window_rollup(_stream_product_counts("60s")(spark, sf_dir))
+
+
+def stream_trending(spark, sf_dir):
+    """K1 over the stream-served A4 table."""
+    return metrics.trending_products(stream_product_views(spark, sf_dir), TOP_K)
+
+
+def stream_json_product_counts(spark, sf_dir):
+    """JSON topic text to served counts: strict validation and A1 in one stream."""
+    _prepare(spark)
+    messages = (spark.readStream.schema(MESSAGE_SCHEMA).option("maxFilesPerTrigger", 2)
+                .parquet(derived.messages_path(spark, sf_dir)))
+    valid = accepted(validate_json(messages, "value", arrival_col="arrival_ts", position_cols=["position"]))
+    table = ServingTable(scratch_path(spark, "serving"), jobs.PRODUCT_COUNT_KEYS)
+    jobs.drain(jobs.serve(jobs.speed_layer(valid, REPLAY_DELAY, WINDOWS["60s"]), table,
+                          scratch_path(spark, "checkpoint"), state_partitions=STATE_PARTITIONS))
+    return ntz(table.read(spark))
+
+
 _ingested: dict[tuple, tuple[str, str]] = {}
 
 
@@ -261,14 +302,10 @@ def _ingest(spark, sf_dir):
         return _ingested[key]
     src = derived.messages_path(spark, sf_dir)
     lake, quarantine = scratch_path(spark, "lake"), scratch_path(spark, "quarantine")
-    stream = (spark.readStream.schema("value string, arrival_ts timestamp, position bigint")
-              .option("maxFilesPerTrigger", 16).parquet(src))
+    stream = spark.readStream.schema(MESSAGE_SCHEMA).option("maxFilesPerTrigger", 2).parquet(src)
     queries = jobs.ingest_streams(stream, lake, quarantine, scratch_path(spark, "checkpoint"),
                                   available_now=True, position_cols=["position"])
-    for q in queries:
-        q.awaitTermination()
-        if q.exception() is not None:
-            raise RuntimeError(str(q.exception()))
+    jobs.drain(*queries)
     _ingested[key] = (lake, quarantine)
     return lake, quarantine
 
@@ -317,6 +354,11 @@ for _s in WINDOWS:
     QUERIES[f"stream_product_counts_{_s}"] = _stream_product_counts(_s)
 for _s in WINDOWS:
     QUERIES[f"stream_event_stats_{_s}"] = _stream_event_stats(_s)
+QUERIES["archive_payload"] = archive_payload
+QUERIES["lake_dedup"] = lake_dedup
+QUERIES["stream_json_product_counts"] = stream_json_product_counts
+QUERIES["stream_event_rollup_view"] = stream_event_rollup_view
+QUERIES["stream_trending"] = stream_trending
 QUERIES["stream_product_views"] = stream_product_views
 QUERIES["stream_dedup_counts"] = stream_dedup_counts
 QUERIES["stream_ingest_lake"] = stream_ingest_lake

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventlens.functions.contract import CONTRACT_COLUMNS
+from eventlens.operators.validate import archivable, validate_json
 from eventlens.session import scratch_path
 from eventlens.sinks.archive import write_lake
 from eventlens.sources.replay import contract_events, read_table
@@ -34,6 +35,9 @@ FAULTS = {
     7: "properties null",
     8: "event_id absent (accepted, defaulted)",
     9: "bare JSON 42",
+    10: "event_id as a number",
+    11: "white space before the object (accepted)",
+    12: "price text with a type suffix",
 }
 
 
@@ -100,6 +104,9 @@ def json_messages(view: DataFrame) -> DataFrame:
              .when(m == 7, variant(properties=F.lit(None).cast("string")))
              .when(m == 8, variant(event_id=None))
              .when(m == 9, F.lit("42"))
+             .when(m == 10, variant(event_id=F.col("raw_event_id")))
+             .when(m == 11, F.concat(F.lit("\n\t"), F.col("_normal")))
+             .when(m == 12, variant(price=F.concat(F.col("price").cast("string"), F.lit("d"))))
              .otherwise(F.col("_normal")))
     return (view.withColumn("_normal", normal)
             .select(value.alias("value"), F.col("arrival_ts"), F.col("raw_event_id")))
@@ -126,9 +133,8 @@ def csv_export_frame(view: DataFrame) -> DataFrame:
         .otherwise(F.col("session_id")).alias("user_session"))
 
 
-# Rows of a replay slice, of a message file, and of a task that writes the lake.
+# Rows of a replay slice, and of a task that writes the lake.
 REPLAY_ROWS = 12_500
-MESSAGE_ROWS = 2_500
 LAKE_TASK_ROWS = 12_500
 
 
@@ -205,22 +211,33 @@ def replay_path(spark: SparkSession, sf_dir: str, duplicates: bool = False, rows
         view = events_view(spark, sf_dir)
         if duplicates:
             view = with_duplicates(view)
-        view = view.select(*CONTRACT_COLUMNS)
-        for low, high in time_slices(view, "arrival_ts", rows):
-            part = view.filter(F.col("arrival_ts") > low) if low is not None else view
-            part = part.filter(F.col("arrival_ts") <= high) if high is not None else part
-            part.coalesce(1).write.mode("append").parquet(p)
+        _write_slices(view.select(*CONTRACT_COLUMNS), p, rows)
     kind = "replay-dups" if duplicates else "replay"
     return _materialise(spark, kind, sf_dir, build)
 
 
+def _write_slices(rows: DataFrame, path: str, size: int) -> None:
+    for low, high in time_slices(rows, "arrival_ts", size):
+        part = rows.filter(F.col("arrival_ts") > low) if low is not None else rows
+        part = part.filter(F.col("arrival_ts") <= high) if high is not None else part
+        part.coalesce(1).write.mode("append").parquet(path)
+
+
 def messages_path(spark: SparkSession, sf_dir: str) -> str:
     """The fault-injected JSON messages at rest (value, arrival_ts, position), as
-    a topic would hold them, in files of about ``MESSAGE_ROWS`` rows that each
-    hold a contiguous range of arrivals; the streaming ingest input."""
+    a topic would hold them, in time-ordered files like `replay_path`; the
+    input of the JSON streams."""
     def build(p):
-        view = events_view(spark, sf_dir)
-        files = max(1, -(-view.count() // MESSAGE_ROWS))
-        (json_messages(view).select("value", "arrival_ts", F.col("raw_event_id").alias("position"))
-         .repartitionByRange(files, "arrival_ts", "position").write.parquet(p))
+        messages = json_messages(events_view(spark, sf_dir)).select(
+            "value", "arrival_ts", F.col("raw_event_id").alias("position"))
+        _write_slices(messages, p, REPLAY_ROWS)
     return _materialise(spark, "messages", sf_dir, build)
+
+
+def archive_root(spark: SparkSession, sf_dir: str) -> str:
+    """The messages, every 7th delivered twice, archived whole to a lake."""
+    def build(p):
+        messages = json_messages(with_duplicates(events_view(spark, sf_dir)))
+        kept = archivable(validate_json(messages, "value", "arrival_ts", position_cols=["raw_event_id"]))
+        write_lake(kept, p, partitions=max(1, -(-messages.count() // LAKE_TASK_ROWS)))
+    return _materialise(spark, "archive", sf_dir, build)

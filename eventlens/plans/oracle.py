@@ -38,6 +38,8 @@ evp AS (
          '{DEFAULT_PAGE_URL_PREFIX}' || coalesce(nullif(product_id, ''), 'PROD_GENERAL') AS page_url
   FROM ev)"""
 
+_BAD = f"(raw_event_id % 50 IN (0, 1, 2, 3, 7, 9, 10, 12) OR event_type NOT IN ({_ENUM}))"
+
 FLAT = ('event_id, "timestamp", user_id, anonymous_id, session_id, event_type, page_url, '
         'price, product_id, properties')
 
@@ -167,7 +169,7 @@ SELECT CASE WHEN raw_event_id % 50 = 8 THEN NULL ELSE event_id END AS event_id,
        '{DEVICE_AGENT}' AS device_user_agent,
        price, product_id, CAST(json(properties) AS VARCHAR) AS properties
 FROM evp
-WHERE raw_event_id % 50 NOT IN (0, 1, 2, 3, 7, 9) AND event_type IN ({_ENUM})"""
+WHERE NOT {_BAD}"""
 
 _REASONS = f"""WITH {EV},
 r AS (
@@ -176,6 +178,8 @@ r AS (
   UNION ALL SELECT 'session_id:missing' FROM evp WHERE raw_event_id % 50 = 1
   UNION ALL SELECT 'page_url:null' FROM evp WHERE raw_event_id % 50 = 2
   UNION ALL SELECT 'user_id:not_a_string' FROM evp WHERE raw_event_id % 50 = 3
+  UNION ALL SELECT 'event_id:not_a_string' FROM evp WHERE raw_event_id % 50 = 10
+  UNION ALL SELECT 'price:not_a_number' FROM evp WHERE raw_event_id % 50 = 12
   UNION ALL SELECT 'properties:null' FROM evp WHERE raw_event_id % 50 = 7
   UNION ALL SELECT 'event_type:not_allowed' FROM evp
             WHERE raw_event_id % 50 NOT IN (0, 9) AND event_type NOT IN ({_ENUM}))"""
@@ -186,7 +190,7 @@ SELECT reason, count(*) AS rejected_events FROM r GROUP BY 1"""
 INGEST_QUALITY = f"""WITH {EV},
 flags AS (
   SELECT raw_event_id % 50 IN (0, 9) AS malformed,
-         raw_event_id % 50 IN (0, 1, 2, 3, 7, 9) OR event_type NOT IN ({_ENUM}) AS bad
+         {_BAD} AS bad
   FROM evp),
 c AS (
   SELECT count(*) AS total_events, count(*) FILTER (WHERE NOT bad) AS accepted_events,
@@ -287,6 +291,28 @@ SELECT CASE WHEN raw_event_id % 50 = 0 THEN 'malformed_json' ELSE 'not_an_object
 FROM evp WHERE raw_event_id % 50 IN (0, 9) GROUP BY 1"""
 
 
+ARCHIVE_PAYLOAD = f"""WITH {EV},
+twice AS (SELECT * FROM evp UNION ALL SELECT * FROM evp WHERE raw_event_id % 7 = 0)
+SELECT CASE WHEN raw_event_id % 50 = 6 THEN 'someone@example.com' END AS email, '1920x1080' AS screen,
+       CASE WHEN raw_event_id % 50 = 3 THEN CAST(raw_user_id AS VARCHAR) ELSE user_id END AS user_sent,
+       raw_event_id % 50 = 10 AS id_lost, {_BAD} AS rejected, count(*) AS messages
+FROM twice WHERE raw_event_id % 50 NOT IN (0, 9) GROUP BY ALL"""
+
+LAKE_DEDUP = f"""WITH {EV}
+SELECT event_type, CAST("timestamp" AS DATE) AS day,
+       CAST(sum(CASE WHEN raw_event_id % 50 = 10 AND raw_event_id % 7 = 0 THEN 2 ELSE 1 END) AS BIGINT) AS event_count,
+       count(DISTINCT CASE WHEN raw_event_id % 50 <> 10 THEN raw_event_id END) AS ids
+FROM evp WHERE raw_event_id % 50 NOT IN (0, 9) GROUP BY ALL"""
+
+
+def stream_json_product_counts(size: str) -> str:
+    s = _SECONDS[size]
+    return f"""WITH {EV}
+SELECT event_type, {_bucket(s)} + INTERVAL {s} SECOND AS window_end, product_key AS product_id,
+       count(*) AS event_count
+FROM evp WHERE NOT {_BAD} GROUP BY 1, 2, 3"""
+
+
 def stream_event_stats(size: str) -> str:
     return event_window_stats(size)
 
@@ -315,6 +341,11 @@ ORACLE.update({
     "canonical_messages": CANONICAL_MESSAGES,
     "export_normalized": EXPORT_NORMALIZED,
     "dedup_events": DEDUP_EVENTS,
+    "archive_payload": ARCHIVE_PAYLOAD,
+    "lake_dedup": LAKE_DEDUP,
+    "stream_json_product_counts": stream_json_product_counts("60s"),
+    "stream_event_rollup_view": event_window_rollup("60s"),
+    "stream_trending": TRENDING,
     "lake_day_slice": LAKE_DAY_SLICE,
     "lake_preview": LAKE_PREVIEW,
     "lake_inventory": LAKE_INVENTORY,

@@ -151,6 +151,11 @@ def run_to_tables(spark: SparkSession, source_path: str,
         stream = file_event_stream(spark, source_path, max_files_per_trigger)
         queries.append(serve(build(stream), table, checkpoint, available_now=True,
                              state_partitions=state_partitions))
+    drain(*queries)
+
+
+def drain(*queries: StreamingQuery) -> None:
+    """Wait for drains to end; raise what one of them failed with."""
     for q in queries:
         q.awaitTermination()
     for q in queries:
@@ -166,10 +171,7 @@ def run_to_table(spark: SparkSession, build: Callable[[DataFrame], DataFrame],
     the table's current contents as a batch DataFrame."""
     stream = file_event_stream(spark, source_path, max_files_per_trigger)
     table = ServingTable(serving_root, keys)
-    q = serve(build(stream), table, checkpoint, available_now=True, state_partitions=state_partitions)
-    q.awaitTermination()
-    if q.exception() is not None:
-        raise RuntimeError(str(q.exception()))
+    drain(serve(build(stream), table, checkpoint, available_now=True, state_partitions=state_partitions))
     return table.read(spark)
 
 
