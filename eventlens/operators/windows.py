@@ -13,6 +13,23 @@ from pyspark.sql import functions as F
 
 from eventlens.functions.contract import SPEED_WINDOW
 from eventlens.functions.text import default_product
+from eventlens.operators.dedup import STREAM_DEDUP_SALTS
+
+
+_SECONDS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400, "week": 604800}
+
+
+def _panes(window: str, slide: str) -> int:
+    """How many slides make a window; 1 if they don't or the durations have another form than ``N unit``."""
+    found = []
+    for text in (window, slide):
+        number, _, unit = text.strip().partition(" ")
+        size = _SECONDS.get(unit.strip().rstrip("s"))
+        if not number.isdigit() or size is None:
+            return 1
+        found.append(int(number) * size)
+    length, step = found
+    return length // step if step and length % step == 0 else 1
 
 
 def _window(time_col: str, duration: str, slide: str | None) -> Column:
@@ -30,6 +47,18 @@ def product_window_counts(events: DataFrame, window: str = SPEED_WINDOW,
     product_id, window_start, window_end, event_count (BIGINT).
     """
     keyed = events.withColumn("product_id", default_product("product_id"))
+    panes = _panes(window, slide) if slide and not events.isStreaming else 1
+    if panes > 1:
+        # count once per slide, then let each pane's count enter the windows that hold it
+        keys = ["event_type", "product_id"]
+        pane = (keyed.groupBy(F.window(F.col(time_col), slide).alias("pane"), *keys)
+                .agg(F.count(F.lit(1)).alias("event_count")))
+        back = F.explode(F.transform(F.sequence(F.lit(0), F.lit(panes - 1)),
+                                     lambda i: F.col("pane.start") - i * F.expr(f"INTERVAL {slide}")))
+        return (pane.withColumn("window_start", back)
+                .groupBy(*keys, "window_start").agg(F.sum("event_count").alias("event_count"))
+                .select(*keys, "window_start",
+                        (F.col("window_start") + F.expr(f"INTERVAL {window}")).alias("window_end"), "event_count"))
     return (keyed
             .groupBy(_window(time_col, window, slide).alias("window"),
                      F.col("event_type"), F.col("product_id"))
@@ -120,10 +149,15 @@ def window_users(events: DataFrame, window: str = SPEED_WINDOW, time_col: str =
     Same late-data rule as :func:`event_window_counts`.
     """
     keyed = (with_window_bounds(events.filter(F.col(user_col).isNotNull()), window, time_col)
-             .select("window_start", "window_end", "event_type", F.col(user_col).alias("_user")))
+             .select("window_start", "window_end", "event_type", F.col(user_col).alias("_user"),
+                     F.col(time_col).alias("_at")))
     keys = ["window_start", "window_end", "event_type", "_user"]
     if events.isStreaming:
-        firsts = keyed.withWatermark("window_end", _need(delay)).dropDuplicatesWithinWatermark(keys)
+        # twice, first under a salt, so that one user's storm of events is spread over tasks (see dedup_events)
+        salt = F.pmod(F.xxhash64(F.spark_partition_id(), F.col("_at")), F.lit(STREAM_DEDUP_SALTS))
+        firsts = (keyed.withWatermark("window_end", _need(delay)).withColumn("_salt", salt)
+                  .dropDuplicatesWithinWatermark([*keys, "_salt"]).drop("_salt", "_at")
+                  .dropDuplicatesWithinWatermark(keys))
     else:
         firsts = keyed.dropDuplicates(keys)
     return (firsts.groupBy("event_type", "window_start", "window_end")

@@ -73,10 +73,16 @@ def tap(df: DataFrame, name: str, time_col: str = "arrival_ts") -> DataFrame:
     return df.observe(name,
                       F.count(F.lit(1)).alias("rows"),
                       F.count_if(F.col("product_id").isNull() | (F.col("product_id") == "")).alias("no_product"),
+                      F.count_if(F.col(time_col).isNull()).alias("no_time"),  # these enter no window
                       F.min(time_col).alias("min_time"),
                       F.max(time_col).alias("max_time"))
 
 
+def late_rows(query: StreamingQuery) -> int:
+    """Rows that the query's stateful operators dropped as older than the watermark."""
+    return sum(op.get("numRowsDroppedByWatermark", 0) for p in query.recentProgress for op in p["stateOperators"])
+
+
 def ingest_rate(query: StreamingQuery) -> dict[str, float]:
     """A8's duration and throughput, from the query's progress reports."""
     reports = [p for p in query.recentProgress if p.get("numInputRows", 0) > 0]

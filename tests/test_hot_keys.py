@@ -1,0 +1,75 @@
+"""Plans and streams that a hot key or late rows must not spoil."""
+
+import datetime as dt
+import os
+import time
+
+from pyspark.sql import functions as F
+
+from eventlens.operators import windows
+from eventlens.plans.catalog import events
+from eventlens.sinks.serving import ServingTable
+from eventlens.streaming import jobs
+
+SF = "/root/testdata/sf0.001"
+
+
+def test_rolling_counts_expand_after_the_partial_aggregate(spark):
+    view = events(spark, SF)
+    out = windows.product_window_counts(view, "1 day", slide="6 hours")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("Generate") < plan.rindex("HashAggregate")  # printed from the top: counted below, expanded above
+    plain = (view.withColumn("product_id", windows.default_product("product_id"))
+             .groupBy(F.window("arrival_ts", "1 day", "6 hours").alias("w"), "event_type", "product_id").count()
+             .select("event_type", "product_id", "w.start", "w.end", "count"))
+    assert sorted(map(tuple, out.collect())) == sorted(map(tuple, plain.collect()))
+
+
+def test_panes_of_durations():
+    assert windows._panes("60 seconds", "30 seconds") == 2 and windows._panes("1 day", "6 hours") == 4
+    assert windows._panes("1 day", "7 hours") == 1 and windows._panes("1 month", "1 day") == 1
+
+
+def test_batch_plans_shuffle_once(spark):
+    from eventlens.plans.catalog import QUERIES
+    plan = QUERIES["events_by_type"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "RoundRobin" not in plan
+
+
+def _write(spark, folder, rows):
+    df = spark.createDataFrame(rows, "event_id string, timestamp timestamp, user_id string, anonymous_id string, "
+                               "session_id string, event_type string, page_url string, referrer_url string, "
+                               "device struct<os:string,browser:string,ip_address:string,user_agent:string>, "
+                               "price double, product_id string, properties string, arrival_ts timestamp")
+    df.coalesce(1).write.mode("append").parquet(folder)
+    time.sleep(0.05)
+
+
+def _event(i, at, user):
+    return (f"e{i}", at, user, "a", "s", "purchase", "u", None, None, 1.0, "p", "{}", at)
+
+
+def test_one_user_with_a_third_of_all_rows(spark, tmp_dir):
+    day = dt.datetime(2024, 1, 1)
+    rows = [_event(i, day + dt.timedelta(seconds=i), "robot" if i % 3 == 0 else f"u{i % 50}") for i in range(900)]
+    src = os.path.join(tmp_dir, "src")
+    for k in range(3):
+        _write(spark, src, rows[k * 300:(k + 1) * 300])
+    out = jobs.run_to_table(spark, lambda s: windows.window_users(s, "1 day", delay="1 hour"), src,
+                            jobs.EVENT_STATS_KEYS, os.path.join(tmp_dir, "t"), os.path.join(tmp_dir, "c"),
+                            max_files_per_trigger=1, state_partitions=2)
+    assert [r.unique_users for r in out.collect()] == [len({r[2] for r in rows})]
+
+
+def test_late_rows_are_counted(spark, tmp_dir):
+    src = os.path.join(tmp_dir, "src")
+    days = [dt.datetime(2024, 1, d) for d in (1, 10, 12, 2)]
+    for k, d in enumerate(days):
+        _write(spark, src, [_event(10 * k + i, d + dt.timedelta(hours=i), f"u{i}") for i in range(5)])
+    table = ServingTable(os.path.join(tmp_dir, "t"), jobs.PRODUCT_COUNT_KEYS)
+    stream = jobs.file_event_stream(spark, src, 1)
+    q = jobs.serve(jobs.speed_layer(stream, "1 hour", "60 seconds"), table, os.path.join(tmp_dir, "c"),
+                   state_partitions=2)
+    jobs.drain(q)
+    assert jobs.late_rows(q) == 5
+    assert table.read(spark).agg(F.sum("event_count")).first()[0] == 15
