@@ -79,7 +79,6 @@ def prints(texts: list[bytes]) -> Prints:
     rolled ^= rolled >> np.uint32(15)
     rolled *= np.uint32(0x2C1B3C6D)
     rolled ^= rolled >> np.uint32(12)
-    inside = np.zeros(len(data), bool)
     np.add.at(marks := np.zeros(len(data) + 1, np.int32), begin, 1)
     np.add.at(marks, begin + size, -1)
     inside = np.cumsum(marks[:-1]) > 0
@@ -87,7 +86,6 @@ def prints(texts: list[bytes]) -> Prints:
     hit = rolled[at] | np.uint32(1 << 30)
     level = np.bitwise_count((hit & (~hit + np.uint32(1))) - np.uint32(1)).astype(np.int64)
     doc = np.searchsorted(begin, at, "right") - 1
-    # a text's empty neighbours begin at the same place; the last of them isn't the owner
     at_end = at == begin[doc] + size[doc] - 1
     by_level = np.bincount(doc * 32 + level, minlength=32 * n).reshape(n, 32)[:, ::-1].cumsum(axis=1)[:, ::-1]
     tail = np.ones((n, 32), np.int64)
