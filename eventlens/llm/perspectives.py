@@ -11,8 +11,9 @@ segments in order of ``start`` gives its text.
 Messages are ordered by turn (null first), then by the MD5 of speaker and text.
 Places are prefix sums in four levels (within a turn's hash range, within the
 turn, within ``BLOCK`` turns, within the conversation), so no window holds a
-long conversation or a crowded turn whole, and equal messages are summed up
-before.  Messages meet their conversation's participants under ``SALTS`` salts.
+long conversation or a crowded turn whole; equal messages are summed up before.
+All that works on lengths; the texts are shuffled once, to join their places.
+Messages meet their conversation's participants under ``SALTS`` salts.
 
 Defined cases: a null role is the speaker ``unknown``; a null text is empty;
 equal rows are messages of their own, one after the other; a conversation with
@@ -27,6 +28,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from eventlens.llm.common import cut_lineage
+
 CONTEXT = "system"
 BLOCK = 256
 SALTS = 16
@@ -56,26 +59,29 @@ def _matched(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:
 def rotate(messages: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role",
            text_col: str = "text", context: str = CONTEXT) -> DataFrame:
     """conv id, perspective, turn, speaker, role, segment, start, stop, mask_start, mask_stop."""
+    message = ["conv", "turn", "speaker", "h"]
     m = (messages.select(F.col(conv_col).alias("conv"), F.col(turn_col).alias("turn"),
                          F.coalesce(role_col, F.lit("unknown")).alias("speaker"),
                          F.coalesce(text_col, F.lit("")).alias("content"))
-         .groupBy("conv", "turn", "speaker", "content").agg(F.count("*").alias("copies"))
-         .withColumn("h", F.md5(F.concat_ws("\n", "speaker", "content")))
-         .withColumn("salt", F.pmod(F.xxhash64("turn", "h"), F.lit(SALTS)).cast("int")))
-    people = (m.filter(F.col("speaker") != context).select("conv", F.col("speaker").alias("perspective")).distinct()
+         .withColumn("h", F.md5(F.concat_ws("\n", "speaker", "content"))))
+    # places need lengths only; the texts join them at the end
+    slim = cut_lineage(m.groupBy(*message).agg(
+        F.count("*").alias("copies"), F.max(F.char_length(_plain(F.col("content")))).alias("length"))
+        .withColumn("salt", F.pmod(F.xxhash64("turn", "h"), F.lit(SALTS)).cast("int")))
+    people = (slim.filter(F.col("speaker") != context).select("conv", F.col("speaker").alias("perspective")).distinct()
               .withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))))
-    rows = _matched(m, people, ["conv", "salt"]).drop("salt")
+    rows = _matched(slim, people, ["conv", "salt"]).drop("salt")
 
     own = F.col("speaker") == F.col("perspective")
     role = F.when(own, "assistant").when(F.col("speaker") == context, context).otherwise("user")
     head = F.concat(F.lit(_BEGIN), F.col("role"), F.when(
         F.col("role") == "user", F.concat(F.lit(" name="), _plain(F.col("speaker")))).otherwise(""), F.lit("\n"))
-    rows = (rows.withColumn("role", role).withColumn("head", head)
-            .withColumn("segment", F.concat("head", _plain(F.col("content")), F.lit(f"{_END}\n")))
-            .withColumn("size", F.char_length("segment").cast("long"))
-            .withColumn("total", F.col("size") * F.col("copies"))
-            .withColumn("slot", F.substring("h", 1, 2))
-            .withColumn("block", F.floor(F.coalesce("turn", F.lit(0)) / BLOCK)))
+    rows = cut_lineage(
+        rows.withColumn("role", role).withColumn("head", head)
+        .withColumn("size", (F.char_length("head") + F.col("length") + len(_END) + 1).cast("long"))
+        .withColumn("total", F.col("size") * F.col("copies"))
+        .withColumn("slot", F.substring("h", 1, 2))
+        .withColumn("block", F.floor(F.coalesce("turn", F.lit(0)) / BLOCK)).drop("length"))
 
     talk = ["conv", "perspective"]
     levels = [("slot", [*talk, "block", "turn", "slot"]), ("turn", [*talk, "block", "turn"]), ("block", [*talk, "block"])]
@@ -89,7 +95,10 @@ def rotate(messages: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn
         inner = _before(sums[0] if name == "slot" else sums[1], upper, [name], "total", "inner").drop("total")
         place = _matched(inner, place, upper).withColumn("place", F.col("place") + F.col("inner")).drop("inner")
     slot = levels[0][1]
-    rows = _matched(_before(rows, slot, ["h", "speaker", "content"], "total", "inner"), place, slot)
+    rows = _matched(_before(rows, slot, ["h", "speaker"], "total", "inner"), place, slot)
+    texts = m.dropDuplicates(message).select(
+        *message, F.concat(_plain(F.col("content")), F.lit(f"{_END}\n")).alias("said"))
+    rows = _matched(rows, texts, message).withColumn("segment", F.concat("head", "said"))
     rows = rows.withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)))
     start = F.col("place") + F.col("inner") + F.col("copy") * F.col("size")
     trained = F.col("role") == "assistant"
