@@ -22,7 +22,7 @@ SPACE = "▁"
 #: character, so BPE treats segments independently.
 _SEGMENT = re.compile(" *[^ ]+| +$")
 #: Segments that a process remembers; the older half goes when the newer is full.
-MEMORY = 250_000
+MEMORY = 100_000
 
 
 class Pieces:
@@ -162,27 +162,27 @@ class Pieces:
         return np.array([exits(self.walk(s, a if x is None else x[1], x and s[x[0]:x[1]], b, not last), 0.0)
                          for x in enter]).reshape(len(enter), len(leave))
 
-    def path(self, s: str, a: int, b: int, first: bool, last: bool, enter: int, leave: int) -> list[int]:
+    def path(self, s: str, a: int, b: int, first: bool, last: bool, enter: int, leave: int) -> np.ndarray:
         """Ids of the tokens that start in the chunk, given its entry and exit state."""
         x = None if first else self.states(s, a)[enter]
         end = (None, b) if last else self.states(s, b)[leave]
 
-        def trace(reached: dict, stop: tuple) -> list[int]:
+        def trace(reached: dict, stop: tuple) -> np.ndarray:
             at = stop if stop[0] is not None else max(
                 (t for t in reached if t[1] == stop[1]), key=lambda t: reached[t][0])
             back = []
             while at is not None:
                 back.append(at)
                 at = reached[at][1]
-            return [k for i, j in reversed(back) for k in self.ids_of(s[i:j])]
+            return np.array([k for i, j in reversed(back) for k in self.ids_of(s[i:j])], np.int32)
 
         begin, before = (a, None) if x is None else (x[1], s[x[0]:x[1]])
         words = self.word_starts(s, a, b)
         if not words:
             return trace(self.walk(s, begin, before, b, not last), end)
-        head = [] if begin == words[0] else trace(self.walk(s, begin, before, words[0], False), (None, words[0]))
-        middle = self.encode_spaced(s[words[0]:words[1]].replace(SPACE, " ")).tolist()
-        return head + middle + trace(self.walk(s, words[1], None, b, not last), end)
+        head = np.zeros(0, np.int32) if begin == words[0] else trace(self.walk(s, begin, before, words[0], False), (None, words[0]))
+        middle = self.encode_spaced(s[words[0]:words[1]].replace(SPACE, " "))
+        return np.concatenate([head, middle, trace(self.walk(s, words[1], None, b, not last), end)])
 
 
 def product(left: np.ndarray, right: np.ndarray) -> np.ndarray:

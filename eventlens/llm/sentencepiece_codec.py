@@ -120,14 +120,23 @@ def _matrix(row) -> np.ndarray:
 
 def transfers(parts: DataFrame, model: bytes) -> DataFrame:
     """(uid, chunk, rows, cells): the transfer matrix of every chunk."""
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p = pieces(model)
-        for pdf in batches:
-            mats = [p.transfer(r.s, r.lo, r.hi, r.chunk == 0, r.last) for r in pdf.itertuples()]
-            yield pd.DataFrame({"uid": pdf["uid"], "chunk": pdf["chunk"], "rows": [m.shape[0] for m in mats],
-                                "cells": [m.ravel() for m in mats]})
+        for uid, k, lo, hi, last, s in _rows(batches):
+            m = p.transfer(s, lo, hi, k == 0, last)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([uid]), pa.array([k], pa.int32()), pa.array([m.shape[0]], pa.int32()),
+                 pa.ListArray.from_arrays(pa.array([0, m.size], pa.int32()), pa.array(m.ravel()))],
+                names=["uid", "chunk", "rows", "cells"])
+
+    return parts.mapInArrow(run, _MATRIX)
+
 
-    return parts.mapInPandas(run, _MATRIX)
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    """The rows of some batches, one by one."""
+    for batch in batches:
+        for row in zip(*batch.columns, strict=True):
+            yield tuple(x.as_py() for x in row)
 
 
 def _in_order(rows: DataFrame, keys: list[str], fn, schema: str) -> DataFrame:
@@ -176,13 +185,16 @@ def encode_giant(rows: DataFrame, model: bytes, chunk: int) -> DataFrame:
     parts = cut_lineage(chunks(rows, model, chunk).repartition("uid", "chunk"))
     mats = cut_lineage(transfers(parts, model))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p = pieces(model)
-        for pdf in batches:
-            yield pd.DataFrame({"uid": pdf["uid"], "chunk": pdf["chunk"], "ids": [
-                p.path(r.s, r.lo, r.hi, r.chunk == 0, r.last, r.enter, r.leave) for r in pdf.itertuples()]})
-
-    ids = parts.join(boundary_states(mats), ["uid", "chunk"]).mapInPandas(run, "uid long, chunk int, ids array<int>")
+        for uid, k, lo, hi, last, s, enter, leave in _rows(batches):
+            ids = p.path(s, lo, hi, k == 0, last, enter, leave)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([uid]), pa.array([k], pa.int32()),
+                 pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), pa.array(ids))], names=["uid", "chunk", "ids"])
+
+    ids = parts.join(boundary_states(mats), ["uid", "chunk"]).select(
+        *parts.columns, "enter", "leave").mapInArrow(run, "uid long, chunk int, ids array<int>")
     return ids.groupBy("uid").agg(F.flatten(F.transform(
         F.sort_array(F.collect_list(F.struct("chunk", "ids"))), lambda x: x["ids"])).alias("token_ids"))
 

@@ -24,7 +24,7 @@ def by_chunks(text, size):
         o = max(0, a - p.longest)
         parts.append((s[o:b + p.longest], a - o, b - o, a == 0, b == len(s)))
     states = B.chain([p.transfer(*x) for x in parts], 0, 0)
-    return [i for x, e, f in zip(parts, states, states[1:]) for i in p.path(*x, e, f)]
+    return [i for x, e, f in zip(parts, states, states[1:]) for i in p.path(*x, e, f).tolist()]
 
 
 @settings(max_examples=60, deadline=None)
