@@ -92,25 +92,35 @@ def encode_short(rows: DataFrame, model: bytes) -> DataFrame:
     return map_arrow(rows, run, schema)
 
 
+_CHUNK = pa.schema([("uid", pa.int64()), ("chunk", pa.int32()), ("lo", pa.int32()), ("hi", pa.int32()),
+                    ("last", pa.bool_()), ("s", pa.string())])
+
+
 def chunks(rows: DataFrame, model: bytes, chunk: int) -> DataFrame:
-    """(uid, chunk, lo, hi, last, s): each chunk of the texts in (uid, text), with context on both sides."""
+    """(uid, chunk, lo, hi, last, s) and the other columns of ``rows`` (uid, text, ...): each chunk of the texts
+    with context on both sides; the other columns stand on a document's first chunk."""
+    others = [c for c in rows.columns if c not in ("uid", "text")]
+
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         longest = pieces(model).longest
         for batch in batches:
-            for uid, raw in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            for i, (uid, raw) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1), strict=True)):
                 s = B.SPACE + raw.as_py().replace(" ", B.SPACE)
                 at = B.cuts(len(s), chunk, longest)
                 for k, (a, b) in enumerate(zip(at, at[1:], strict=False)):
                     o = max(0, a - longest)
-                    yield pa.RecordBatch.from_pydict({"uid": [uid], "chunk": [k], "lo": [a - o], "hi": [b - o],
+                    one = pa.RecordBatch.from_pydict({"uid": [uid], "chunk": [k], "lo": [a - o], "hi": [b - o],
                                                       "last": [b == len(s)], "s": [s[o:b + longest]]}, _CHUNK)
+                    own = [c.slice(i, 1) if k == 0 else pa.nulls(1, c.type) for c in batch.columns[2:]]
+                    yield pa.RecordBatch.from_arrays([*one.columns, *own], names=[*_CHUNK.names, *others])
 
-    return rows.select("uid", "text").mapInArrow(
-        split, "uid long, chunk int, lo int, hi int, last boolean, s string")
+    schema = T.StructType([T.StructField("uid", T.LongType()), T.StructField("chunk", T.IntegerType()),
+                           T.StructField("lo", T.IntegerType()), T.StructField("hi", T.IntegerType()),
+                           T.StructField("last", T.BooleanType()), T.StructField("s", T.StringType()),
+                           *(T.StructField(f.name, f.dataType) for f in rows.select(*others).schema)])
+    return rows.select("uid", "text", *others).mapInArrow(split, schema)
 
 
-_CHUNK = pa.schema([("uid", pa.int64()), ("chunk", pa.int32()), ("lo", pa.int32()), ("hi", pa.int32()),
-                    ("last", pa.bool_()), ("s", pa.string())])
 _MATRIX = "uid long, chunk int, rows int, cells array<double>"
 
 
@@ -181,8 +191,11 @@ def boundary_states(mats: DataFrame) -> DataFrame:
 
 
 def encode_giant(rows: DataFrame, model: bytes, chunk: int) -> DataFrame:
-    """(uid, token_ids) of the texts in (uid, text)."""
-    parts = cut_lineage(chunks(rows, model, chunk).repartition("uid", "chunk"))
+    """``rows`` (text and other columns) with token_ids in place of ``text``."""
+    others = [c for c in rows.columns if c != "text"]
+    # written once, which fixes the numbers of the documents; only the join below spreads the chunks over tasks
+    all_parts = cut_lineage(chunks(rows.withColumn("uid", F.monotonically_increasing_id()), model, chunk))
+    parts = all_parts.select(*_CHUNK.names)
     mats = cut_lineage(transfers(parts, model))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -195,8 +208,9 @@ def encode_giant(rows: DataFrame, model: bytes, chunk: int) -> DataFrame:
 
     ids = parts.join(boundary_states(mats), ["uid", "chunk"]).select(
         *parts.columns, "enter", "leave").mapInArrow(run, "uid long, chunk int, ids array<int>")
-    return ids.groupBy("uid").agg(F.flatten(F.transform(
+    whole = ids.groupBy("uid").agg(F.flatten(F.transform(
         F.sort_array(F.collect_list(F.struct("chunk", "ids"))), lambda x: x["ids"])).alias("token_ids"))
+    return all_parts.filter("chunk = 0").select("uid", *others).join(whole, "uid").select(*others, "token_ids")
 
 
 def encode(docs: DataFrame, text_col: str = "text", model: bytes | None = None, chunk: int = CHUNK) -> DataFrame:
@@ -206,11 +220,8 @@ def encode(docs: DataFrame, text_col: str = "text", model: bytes | None = None,
     own = [c for c in rows.columns if c != "text" and c != f"c{docs.columns.index(text_col)}"]
     names = [docs.columns[int(c[1:])] for c in own]
     rows = rows.select(*own, "text")
-    giant_rows = cut_lineage(rows.filter(F.length("text") > chunk).withColumn(
-        "uid", F.monotonically_increasing_id()))  # fixed from here on
-    giant = giant_rows.drop("text").join(
-        encode_giant(giant_rows.select("uid", F.replace("text", F.lit(B.SPACE), F.lit(" ")).alias("text")), model, chunk),
-        "uid").select(*own, "token_ids")
+    giant = encode_giant(rows.filter(F.length("text") > chunk).withColumn(
+        "text", F.replace("text", F.lit(B.SPACE), F.lit(" "))), model, chunk)
     out = encode_short(rows.filter(F.length("text") <= chunk), model).unionByName(giant)
     clash = {"token_ids"} & set(names)
     return out.select(*(F.col(c).alias(n) for c, n in zip(own, names, strict=True) if n not in clash), "token_ids")
