@@ -118,12 +118,14 @@ def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     full = with_digest(docs.toDF(*names), text_name)
     dg = cut_lineage(full.select(F.col(id_name).alias("id"), _DIGEST))
     heavy, hot, rest = split_groups(dg, k)
+    # plain keys for join and dedup alike, so that the texts are shuffled once
+    key = lambda c: F.coalesce(F.concat(F.lit("i"), F.col(c).cast("string")), F.lit("n")).alias("__id")
     won = (hot.unionByName(rest).filter(F.col("id").eqNullSafe(F.col("keep_id")))
-           .select(F.col(_DIGEST).alias("won"), F.col("id").alias("won_id")).distinct())
+           .select(_DIGEST, key("id")).distinct())
     light = full.join(F.broadcast(heavy.select(_DIGEST, F.col("keep_id").alias("heavy_id"))), _DIGEST, "left").filter(
         F.col("heavy_id").isNull() | (F.col(id_name) == F.col("heavy_id"))).drop("heavy_id")
-    kept = light.join(won, (F.col(_DIGEST) == F.col("won")) & F.col(id_name).eqNullSafe(F.col("won_id")), "left_semi")
-    return kept.dropDuplicates([id_name, _DIGEST]).drop(_DIGEST).toDF(*docs.columns)
+    kept = light.withColumn("__id", key(id_name)).join(won, [_DIGEST, "__id"], "left_semi")
+    return kept.dropDuplicates([_DIGEST, "__id"]).select(*names).toDF(*docs.columns)
 
 
 def op9_exact_dedup(spark, sf_dir: str) -> DataFrame:
