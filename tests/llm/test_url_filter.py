@@ -108,3 +108,21 @@ def test_without_both_kinds_the_rest_is_allowed(spark, urls):
     df = spark.createDataFrame([(i, u) for i, u in enumerate(urls)], "page_id long, url string")
     got = U.judge(df).collect()
     assert len(got) == len(urls) and all(r.verdict == "allow" for r in got)
+
+
+def test_scores_are_exact_however_many_ngrams(spark):
+    """Random bytes fill any table of fixed size; a host holds a third of the rows."""
+    rng = np.random.default_rng(7)
+    urls = ["http://hot.org/" + "a" * (i % 9) for i in range(400)]
+    urls += [f"http://{'ab'[i % 2]}.org/" + "".join(map(chr, rng.integers(33, 1500, 400))) for i in range(800)]
+    kinds = [(u, i % 2 == 0, i % 5 == 0) for i, u in enumerate(urls)]
+    df = spark.createDataFrame(kinds, "url string, accepted boolean, spare boolean").repartition(3)
+    trial, models = U.counted(df)
+    judged = urls[::37] + [None, "", "http://new.org/\u4e2d"]
+    rows = spark.createDataFrame([(i, u) for i, u in enumerate(judged)], "at long, url string")
+    for got_of, kept in ((trial, [k for k in kinds if not k[2]]), (models, kinds)):
+        slow = [Slow(u for u, a, _ in kept if a == x) for x in (False, True)]
+        want = [(slow[1].likely(u) - slow[0].likely(u)) / (len((u or "").encode()) + 1) for u in judged]
+        for frequent in (50, U.FREQUENT):  # most n-grams are joined; all are broadcast
+            got = U.scored(rows, got_of, frequent=frequent).orderBy("at").collect()
+            assert np.abs(np.array([r.score for r in got]) - want).max() < 1e-8
