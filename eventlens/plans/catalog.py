@@ -268,6 +268,15 @@ stream_dedup_counts = _stream(lambda s: jobs.dedup_speed_layer(s, REPLAY_DELAY,
                               jobs.PRODUCT_COUNT_KEYS, duplicates=True)
 
 
+def stream_late_counts(spark, sf_dir):
+    """Rows and late rows of a replay whose last file is a late second delivery."""
+    _prepare(spark)
+    table = ServingTable(scratch_path(spark, "serving"), jobs.LATE_KEYS)
+    stream = jobs.file_event_stream(spark, derived.late_path(spark, sf_dir), 1)
+    jobs.drain(jobs.late_counts(stream, table, scratch_path(spark, "checkpoint"), REPLAY_DELAY, WINDOWS["60s"]))
+    return table.read(spark).agg(F.sum("rows").alias("rows"), F.sum("late").alias("late"))
+
+
 def stream_event_rollup_view(spark, sf_dir):
     """A2 over the stream-served A1 table."""
     return windows.event_window_rollup(_stream_product_counts("60s")(spark, sf_dir))
@@ -361,5 +370,6 @@ QUERIES["stream_event_rollup_view"] = stream_event_rollup_view
 QUERIES["stream_trending"] = stream_trending
 QUERIES["stream_product_views"] = stream_product_views
 QUERIES["stream_dedup_counts"] = stream_dedup_counts
+QUERIES["stream_late_counts"] = stream_late_counts
 QUERIES["stream_ingest_lake"] = stream_ingest_lake
 QUERIES["stream_ingest_quarantine"] = stream_ingest_quarantine

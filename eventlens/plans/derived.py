@@ -216,6 +216,19 @@ def replay_path(spark: SparkSession, sf_dir: str, duplicates: bool = False, rows
     return _materialise(spark, kind, sf_dir, build)
 
 
+def late_path(spark: SparkSession, sf_dir: str) -> str:
+    """The replay, then the events of the latest time again, then every 7th event again: the input of the late
+    counts, one file (slice) a batch, whose last one is read under a watermark of the latest time."""
+    def build(p):
+        view = events_view(spark, sf_dir)
+        _write_slices(view.select(*CONTRACT_COLUMNS), p, REPLAY_ROWS)
+        latest = view.agg(F.max("arrival_ts").alias("latest"))
+        for again in (view.join(F.broadcast(latest), F.col("arrival_ts") == F.col("latest")),
+                      view.filter(F.col("raw_event_id") % 7 == 0)):
+            again.select(*CONTRACT_COLUMNS).coalesce(1).write.mode("append").parquet(p)
+    return _materialise(spark, "replay-late", sf_dir, build)
+
+
 def _write_slices(rows: DataFrame, path: str, size: int) -> None:
     for low, high in time_slices(rows, "arrival_ts", size):
         part = rows.filter(F.col("arrival_ts") > low) if low is not None else rows

@@ -317,6 +317,15 @@ def stream_event_stats(size: str) -> str:
     return event_window_stats(size)
 
 
+STREAM_LATE_COUNTS = f"""WITH {EV},
+last AS (SELECT max("timestamp") AS latest FROM evp),
+again AS (SELECT "timestamp" FROM evp WHERE raw_event_id % 7 = 0)
+SELECT CAST((SELECT count(*) FROM evp) + (SELECT count(*) FROM evp, last WHERE "timestamp" = latest)
+            + (SELECT count(*) FROM again) AS BIGINT) AS rows,
+       (SELECT count(*) FROM again, last
+        WHERE {_bucket(60)} + INTERVAL 60 SECOND
+              <= date_trunc('milliseconds', latest) - INTERVAL 1 HOUR) AS late"""
+
 ORACLE: dict[str, str] = {}
 for _s in _SECONDS:
     ORACLE[f"product_window_counts_{_s}"] = product_window_counts(_s)
@@ -351,6 +360,7 @@ ORACLE.update({
     "lake_inventory": LAKE_INVENTORY,
     "stream_product_views": PRODUCT_VIEWS,
     "stream_dedup_counts": served_product_counts("60s"),
+    "stream_late_counts": STREAM_LATE_COUNTS,
     "stream_ingest_lake": STREAM_INGEST_LAKE,
     "stream_ingest_quarantine": STREAM_INGEST_QUARANTINE,
 })

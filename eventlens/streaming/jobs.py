@@ -36,8 +36,9 @@ def file_event_stream(spark: SparkSession, path: str,
 
 def serve(result: DataFrame, table: ServingTable, checkpoint: str, *,
           available_now: bool = True, interval: str = "1 second",
-          query_name: str | None = None, state_partitions: int | None = None) -> StreamingQuery:
-    """Run ``result`` in update mode into ``table`` via foreachBatch.
+          query_name: str | None = None, state_partitions: int | None = None,
+          write: Callable[[DataFrame, int], None] | None = None) -> StreamingQuery:
+    """Run ``result`` in update mode into ``table`` via foreachBatch (``write``, if not its upsert).
 
     A stateful query takes its number of state partitions from
     ``spark.sql.shuffle.partitions`` when it first starts (the checkpoint keeps
@@ -45,7 +46,7 @@ def serve(result: DataFrame, table: ServingTable, checkpoint: str, *,
     session's value is restored once the query has started.
     """
     writer = (result.writeStream.outputMode("update")
-              .foreachBatch(table.upsert)
+              .foreachBatch(write or table.upsert)
               .option("checkpointLocation", checkpoint))
     if query_name:
         writer = writer.queryName(query_name)
@@ -79,10 +80,42 @@ def tap(df: DataFrame, name: str, time_col: str = "arrival_ts") -> DataFrame:
 
 
 def late_rows(query: StreamingQuery) -> int:
-    """Rows that the query's stateful operators dropped as older than the watermark."""
+    """Rows that the query's stateful operators dropped as older than the watermark, after their partial aggregation
+    and within the progress reports that Spark keeps (100 by default): at most the late events. :func:`late_counts`
+    counts all of them."""
     return sum(op.get("numRowsDroppedByWatermark", 0) for p in query.recentProgress for op in p["stateOperators"])
 
 
+def late_counts(events: DataFrame, table: ServingTable, checkpoint: str, delay: str, window: str = SPEED_WINDOW,
+                time_col: str = "arrival_ts", **how) -> StreamingQuery:
+    """Each micro-batch's late events, counted before any aggregation, into ``table`` (key: ``LATE_KEYS``).
+
+    An event is late when its window has ended at the watermark in force.  As in Spark's windowed aggregation that
+    is the latest time of the batches before the previous one (to the millisecond, not before 1970) less ``delay``.
+    The times come from the table itself, so a restart goes on with them and a retried batch counts the same.
+    The batches are those of this query: Spark's own count may differ by a batch where another query's differ.
+    """
+    def count(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        try:
+            before = table.read(spark).filter(F.col("batch") < batch_id - 1)
+            latest = before.agg(F.unix_millis(F.max("max_time"))).first()[0]
+        except FileNotFoundError:  # the first batch
+            latest = None
+        epoch = F.timestamp_millis(F.lit(0))
+        mark = epoch if latest is None else F.greatest(
+            epoch, F.timestamp_millis(F.lit(latest)) - F.expr(f"interval {delay}"))
+        timed = batch.filter(F.col(time_col).isNotNull())  # window() drops the others
+        late = timed.select(F.window(time_col, window).end.alias("end")).agg(F.count_if(F.col("end") <= mark).alias("late"))
+        rows = batch.agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col(time_col).isNull()).alias("no_time"),
+                         F.max(time_col).alias("max_time"))
+        table.upsert(rows.crossJoin(late).select(
+            F.lit(int(batch_id)).cast("long").alias("batch"), "rows", "no_time", "late", mark.alias("watermark"),
+            "max_time"), batch_id)
+
+    return serve(events, table, checkpoint, write=count, **how)
+
+
 def ingest_rate(query: StreamingQuery) -> dict[str, float]:
     """A8's duration and throughput, from the query's progress reports."""
     reports = [p for p in query.recentProgress if p.get("numInputRows", 0) > 0]
@@ -97,6 +130,7 @@ def ingest_rate(query: StreamingQuery) -> dict[str, float]:
 PRODUCT_COUNT_KEYS = ("event_type", "window_end", "product_id")
 EVENT_STATS_KEYS = ("event_type", "window_start", "window_end")
 PRODUCT_VIEW_KEYS = ("product_id",)
+LATE_KEYS = ("batch",)
 
 
 def speed_layer(events: DataFrame, delay: str, window: str = SPEED_WINDOW,
