@@ -232,7 +232,9 @@ def late_path(spark: SparkSession, sf_dir: str) -> str:
 def _write_slices(rows: DataFrame, path: str, size: int) -> None:
     for low, high in time_slices(rows, "arrival_ts", size):
         part = rows.filter(F.col("arrival_ts") > low) if low is not None else rows
-        part = part.filter(F.col("arrival_ts") <= high) if high is not None else part
+        if high is not None:  # rows without a time come first
+            upto = F.col("arrival_ts") <= high
+            part = part.filter(upto if low is not None else upto | F.col("arrival_ts").isNull())
         part.coalesce(1).write.mode("append").parquet(path)
 
 

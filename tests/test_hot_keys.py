@@ -7,6 +7,7 @@ import time
 from pyspark.sql import functions as F
 
 from eventlens.operators import windows
+from eventlens.plans import derived
 from eventlens.plans.catalog import events
 from eventlens.sinks.serving import ServingTable
 from eventlens.streaming import jobs
@@ -101,3 +102,17 @@ def test_late_events_of_one_key_are_counted_one_by_one(spark, tmp_dir):
     assert jobs.late_rows(speed) < 88
     served = counts.read(spark).agg(F.sum("event_count")).first()[0]
     assert served == sum(map(len, batches)) - 1 - 88  # what Spark's aggregation really dropped
+
+
+def _timed(spark, n, same=False):
+    second = F.lit(5) if same else F.col("id")
+    return spark.range(n).select("id", F.when((F.col("id") % 10 != 0) | F.lit(same), F.timestamp_seconds(second))
+                                 .alias("arrival_ts"))
+
+
+def test_replay_keeps_rows_without_a_time_at_any_size(spark, tmp_dir):
+    for n in (100, 101):  # just below and above one slice
+        out = os.path.join(tmp_dir, f"replay{n}")
+        derived._write_slices(_timed(spark, n), out, 100)
+        got = spark.read.parquet(out)
+        assert got.count() == n and got.filter("arrival_ts is null").count() == len(range(0, n, 10))
