@@ -138,15 +138,6 @@ REPLAY_ROWS = 12_500
 LAKE_TASK_ROWS = 12_500
 
 
-def time_slices(view: DataFrame, time_col: str, rows: int) -> list[tuple]:
-    """Bounds (after, up to) of consecutive time ranges with about ``rows`` rows each."""
-    n = max(1, -(-view.count() // rows))
-    at = F.percentile_approx(F.unix_micros(time_col), [i / n for i in range(1, n)], 10_000) if n > 1 else None
-    cuts = sorted(set(view.agg(at.alias("q")).first()[0] or [])) if n > 1 else []
-    bounds = [None, *(F.timestamp_micros(F.lit(c)) for c in cuts), None]
-    return list(zip(bounds, bounds[1:], strict=False))
-
-
 EXPORT_COLUMNS = ["event_time", "event_type", "product_id", "category_id", "category_code",
                   "brand", "price", "user_id", "user_session"]
 
@@ -230,12 +221,16 @@ def late_path(spark: SparkSession, sf_dir: str) -> str:
 
 
 def _write_slices(rows: DataFrame, path: str, size: int) -> None:
-    for low, high in time_slices(rows, "arrival_ts", size):
-        part = rows.filter(F.col("arrival_ts") > low) if low is not None else rows
-        if high is not None:  # rows without a time come first
-            upto = F.col("arrival_ts") <= high
-            part = part.filter(upto if low is not None else upto | F.col("arrival_ts").isNull())
-        part.coalesce(1).write.mode("append").parquet(path)
+    """Append consecutive time ranges of about ``size`` rows to ``path``, one after the other, rows without a time
+    first.  The table is dealt out once by (time, row), so equal times spread over slices too, and each slice is
+    read from its own folder."""
+    n = max(1, -(-rows.count() // size))
+    staged = scratch_path(rows.sparkSession, "slices")
+    (rows.withColumn("_row", F.monotonically_increasing_id()).repartitionByRange(n, F.asc_nulls_first("arrival_ts"), "_row")
+     .drop("_row").withColumn("_slice", F.spark_partition_id()).write.partitionBy("_slice").parquet(staged))
+    for k in range(n):
+        if exists(rows.sparkSession, f"{staged}/_slice={k}"):  # the range bounds are sampled: a slice may be empty
+            rows.sparkSession.read.schema(rows.schema).parquet(f"{staged}/_slice={k}").write.mode("append").parquet(path)
 
 
 def messages_path(spark: SparkSession, sf_dir: str) -> str:

@@ -116,3 +116,16 @@ def test_replay_keeps_rows_without_a_time_at_any_size(spark, tmp_dir):
         derived._write_slices(_timed(spark, n), out, 100)
         got = spark.read.parquet(out)
         assert got.count() == n and got.filter("arrival_ts is null").count() == len(range(0, n, 10))
+
+
+def test_replay_slices_share_out_one_arrival_time(spark, tmp_dir):
+    out = os.path.join(tmp_dir, "replay")
+    derived._write_slices(_timed(spark, 400, same=True), out, 10)
+    sizes = spark.read.parquet(out).groupBy(F.input_file_name()).count().agg(F.sum("count"), F.max("count")).first()
+    assert sizes[0] == 400 and sizes[1] <= 100
+    again = os.path.join(tmp_dir, "again")
+    derived._write_slices(_timed(spark, 300), again, 50)
+    files = sorted((os.path.getmtime(f"{again}/{f}"), f) for f in os.listdir(again) if f.startswith("part-"))
+    found = [spark.read.parquet(f"{again}/{f}").agg(F.min("arrival_ts"), F.max("arrival_ts"), F.count("id")).first() for _, f in files]
+    assert sum(r[2] for r in found) == 300
+    assert all(a[1] < b[0] for a, b in zip(found, found[1:]) if a[1])  # nulls, if any, are in the first
