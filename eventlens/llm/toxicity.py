@@ -10,13 +10,14 @@ score (strongest word and expected number of toxic words, through a logistic
 curve fitted on sample documents that the CRF hasn't seen) and into offending
 offsets (runs of words with marginal >= 0.5, in code points).
 
-Only the fit is bounded (``sample_docs`` rows, by hash of the id, with texts of
-at most ``sample_chars`` characters); every document is scored whole.  Scores
-depend on the text alone.
+Only the fit is bounded (``sample_docs`` rows with texts of at most
+``sample_chars`` characters, by hash of the id: toxic ones up to half of them,
+clean ones for the rest); the curve's intercept is set right by the labels' own
+rate.  Every document is scored whole.  Scores depend on the text alone.
 
 Defined cases: null, empty and wordless texts get the score of a text without
 signs, and no spans; where the sample shows no signs (no usable labels, all or
-none of them toxic), every score is the sample's rate of toxic documents, 0.49
+none of them toxic), every score is the labels' rate of toxic documents, 0.49
 at most, so none is called toxic; rows that repeat an id are
 scored each; columns beside id and text are ignored or, by `drop_toxic`, kept.
 """
@@ -33,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventlens.llm import crf as C
-from eventlens.llm.common import as_bytes, buffers, map_arrow, slices
+from eventlens.llm.common import as_bytes, buffers, cut_lineage, map_arrow, slices
 
 SAMPLE_DOCS = 3000
 SAMPLE_CHARS = 20_000
@@ -158,10 +159,12 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> np.ndarray:
     return w
 
 
-def fit_block(offsets: np.ndarray, data: np.ndarray, toxic: np.ndarray) -> Model:
-    """Fit on the texts of a sample; every fourth document serves the logistic curve only."""
+def fit_block(offsets: np.ndarray, data: np.ndarray, toxic: np.ndarray, rate: float | None = None) -> Model:
+    """Fit on the texts of a sample; every fourth document serves the logistic curve only.  ``rate`` of the documents
+    are toxic where the sample was drawn (the sample's own rate if not given)."""
     n = len(toxic)
-    rate = min(max(float(toxic.mean()) if n else 0.0, 1e-9), 0.49)  # without signs nothing is called toxic
+    true_rate = rate if rate is not None else float(toxic.mean()) if n else 0.0
+    rate = min(max(true_rate, 1e-9), 0.49)  # without signs nothing is called toxic
     flat = Model(None, (math.log(rate / (1 - rate)), 0.0, 0.0))
     if not n or not toxic.any() or toxic.all():
         return flat
@@ -184,24 +187,36 @@ def fit_block(offsets: np.ndarray, data: np.ndarray, toxic: np.ndarray) -> Model
     model = C.train(part, gold[own])
     top, total = signs(tokens, C.marginals(model, tokens), n)
     curve = logistic(np.column_stack([top, total])[spare], toxic[spare].astype(float))
+    if 0 < toxic[spare].sum() < spare.sum():  # the curve saw this rate
+        curve[0] += _logit(min(max(true_rate, 1e-9), 1 - 1e-9)) - _logit(float(toxic[spare].mean()))
     return Model(model, tuple(curve.tolist()))
 
 
+def _logit(p: float) -> float:
+    return math.log(p / (1 - p))
+
+
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         label_col: str = "toxic", sample_docs: int = SAMPLE_DOCS, sample_chars: int = SAMPLE_CHARS) -> Model:
-    """Fit on at most ``sample_docs`` labelled documents outside the held-out fold."""
+    """Fit on at most ``sample_docs`` labelled documents outside the held-out fold, up to half of them toxic."""
     known = (labels.select(F.col(id_col).alias("label_id"), F.col(label_col).alias("label"))
              .filter(F.col("label").isNotNull() & F.col("label_id").isNotNull() & (fold(F.col("label_id")) != 0))
-             .groupBy("label_id").agg(F.max("label").alias("label"))
-             .orderBy(F.xxhash64("label_id"), "label_id").limit(sample_docs))
+             .groupBy("label_id").agg(F.max("label").alias("label")))
     two = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).filter(
         F.length("text") <= sample_chars)
-    rows = two.join(F.broadcast(known), F.col("id") == F.col("label_id")).select("id", "text", "label")
+    usable = cut_lineage(known.join(two.select("id").distinct(), F.col("id") == F.col("label_id")).select(
+        "label_id", "label", (F.col("label") > 0).alias("bad")))
+    count = {r.bad: r["count"] for r in usable.groupBy("bad").count().collect()}
+    some = min(count.get(True, 0), max(sample_docs // 2, sample_docs - count.get(False, 0)))
+    first = [usable.filter(F.col("bad") == F.lit(bad)).orderBy(F.xxhash64("label_id"), "label_id").limit(size)
+             for bad, size in ((True, some), (False, sample_docs - some))]
+    rows = two.join(F.broadcast(first[0].unionByName(first[1])), F.col("id") == F.col("label_id")).select(
+        "id", "text", "label")
     got = rows.orderBy(F.xxhash64("id"), "id", "text").limit(sample_docs).toArrow().combine_chunks()
     if not got.num_rows:
         return fit_block(np.zeros(1, np.int64), np.zeros(0, np.uint8), np.zeros(0, bool))
     offsets, data = buffers(as_bytes(got.column("text")))
-    return fit_block(offsets, data, got.column("label").to_numpy() > 0)
+    return fit_block(offsets, data, got.column("label").to_numpy() > 0, count.get(True, 0) / sum(count.values()))
 
 
 SPAN = pa.struct([("start", pa.int32()), ("stop", pa.int32()), ("probability", pa.float64())])

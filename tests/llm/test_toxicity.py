@@ -84,3 +84,16 @@ def test_dropping_keeps_columns_and_clean_rows(spark):
 def test_fold_is_crc32_of_the_id(spark):
     df = spark.range(50).select(F.col("id").alias("i"), toxicity.fold(F.col("id")).alias("f"))
     assert all(r.f == zlib.crc32(str(r.i).encode()) % 5 for r in df.collect())
+
+
+def test_rare_toxic_documents_are_all_learned_from(spark):
+    """A uniform sample of 200 of these labels would hold one or two toxic documents."""
+    rng = np.random.default_rng(1)
+    texts = [" ".join([*(f"w{x}" for x in rng.integers(0, 400, 12)), *(["idiot"] if i % 80 == 0 else [])])
+             for i in range(4000)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    labels = df.select("doc_id", F.col("text").contains("idiot").cast("int").alias("toxic"))
+    few = labels.filter("toxic = 0 or doc_id % 160 = 0")  # 25 toxic labels
+    model = toxicity.fit(df, few, sample_docs=200)
+    called = {r.doc_id for r in toxicity.score(df, model).filter("score >= 0.5").collect()}
+    assert called == set(range(0, 4000, 80))
