@@ -73,15 +73,28 @@ def row_fingerprint(df: DataFrame) -> Column:
         F.coalesce(F.concat(F.char_length(c).cast("string"), F.lit(":"), c), F.lit("-")) for c in cells)))
 
 
-def numbered_copies(raw: DataFrame, name: str = "_copy") -> DataFrame:
+#: Copies of a row that one task writes out again.
+COPY_BLOCK = 10_000
+
+
+def numbered_copies(raw: DataFrame, name: str = "_copy", block: int = COPY_BLOCK) -> DataFrame:
     """``raw`` with the number of each row among its equals (0, 1, ...).
 
     Equal rows are counted (map-side first) and written out again, so the
     numbers are the same on every replay and no task sorts a group of copies.
+    Groups of more than ``block`` rows are dealt out by blocks of copies first.
     """
     cells = [F.col(f"`{c}`") for c in raw.columns]
     counted = raw.groupBy(*cells).agg(F.count(F.lit(1)).alias("_copies"))
-    return counted.select(*cells, F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_copies") - 1)).alias(name))
+    zero = F.lit(0).cast("bigint")
+    few = counted.filter(F.col("_copies") <= block).select(
+        *cells, F.explode(F.sequence(zero, F.col("_copies") - 1)).alias(name))
+    parts = (counted.filter(F.col("_copies") > block)
+             .select(*cells, "_copies", F.explode(F.sequence(zero, F.floor((F.col("_copies") - 1) / block))).alias("_block"))
+             .repartition(*cells, "_block"))
+    first = F.col("_block") * block
+    many = parts.select(*cells, F.explode(F.sequence(first, F.least(first + block, F.col("_copies")) - 1)).alias(name))
+    return few.unionByName(many)
 
 
 def normalize_export(raw: DataFrame, ingest_ts: Column | None = None,

@@ -6,7 +6,7 @@ import time
 
 from pyspark.sql import functions as F
 
-from eventlens.operators import windows
+from eventlens.operators import normalize, windows
 from eventlens.plans import derived
 from eventlens.plans.catalog import events
 from eventlens.sinks.serving import ServingTable
@@ -129,3 +129,18 @@ def test_replay_slices_share_out_one_arrival_time(spark, tmp_dir):
     found = [spark.read.parquet(f"{again}/{f}").agg(F.min("arrival_ts"), F.max("arrival_ts"), F.count("id")).first() for _, f in files]
     assert sum(r[2] for r in found) == 300
     assert all(a[1] < b[0] for a, b in zip(found, found[1:]) if a[1])  # nulls, if any, are in the first
+
+
+def test_copies_of_one_row_are_dealt_out_by_blocks(spark):
+    rows = spark.range(2500).select(F.lit("same").alias("a"), F.lit(None).cast("string").alias("b")).unionByName(
+        spark.createDataFrame([("x", "y"), ("x", "y"), ("z", None)], "a string, b string"))
+    merge = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(merge)
+    spark.conf.set(merge, "false")
+    try:
+        got = normalize.numbered_copies(rows, block=100).withColumn("task", F.spark_partition_id()).collect()
+    finally:
+        spark.conf.set(merge, before)
+    same = [r for r in got if r.a == "same"]
+    assert sorted(r._copy for r in same) == list(range(2500)) and len({r.task for r in same}) > 1
+    assert sorted((r.a, r._copy) for r in got if r.a != "same") == [("x", 0), ("x", 1), ("z", 0)]
