@@ -199,16 +199,19 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
                      max_bits: int = MAX_BITS, blocks: int = BLOCKS) -> DataFrame:
     """The rows of ``docs`` whose id is the smallest of its component, all columns unchanged.
 
-    Rows that repeat such an id all stay if their texts do (exact
-    deduplication is another operator's task).
+    An id that repeats with other texts, or a null id (which comes after the
+    others), stays with the text of the smallest digest; rows that repeat both id
+    and text all stay (exact deduplication is another operator's task).
     """
     names = [f"c{i}" for i in range(len(docs.columns))]
     id_name, text_name = (names[docs.columns.index(c)] for c in (id_col, text_col))
-    plain = docs.toDF(*names)
-    groups = near_groups(plain, id_name, text_name, shingle, max_bits, blocks)
-    kept = groups.filter(F.col(id_name).eqNullSafe(F.col("component_id"))).select(
-        F.col(id_name).alias("kept_id")).distinct()
-    return plain.join(kept, F.col(id_name).eqNullSafe(F.col("kept_id")), "left_semi").toDF(*docs.columns)
+    plain = docs.toDF(*names).withColumn("digest", F.unhex(F.md5(F.col(text_name).cast("binary"))))
+    own = F.struct(F.col(id_name).isNull().alias("no_id"), F.col(id_name).alias("id"), F.col("digest"))
+    groups = near_groups(plain.select(own.alias("own"), text_name), "own", text_name, shingle, max_bits, blocks)
+    kept = groups.select(F.col("component_id.id").alias("kept_id"), F.col("component_id.digest").alias("kept_digest")
+                         ).distinct()
+    same = F.col(id_name).eqNullSafe(F.col("kept_id")) & F.col("digest").eqNullSafe(F.col("kept_digest"))
+    return plain.join(kept, same, "left_semi").drop("digest").toDF(*docs.columns)
 
 
 def op8_simhash_near_dedup(spark, sf_dir: str) -> DataFrame:

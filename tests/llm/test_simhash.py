@@ -97,3 +97,14 @@ def test_dropping_keeps_columns(spark):
 def test_empty_table(spark):
     df = spark.createDataFrame([], DOCS)
     assert simhash.near_groups(df).count() == 0 and simhash.drop_near_copies(df).count() == 0
+
+
+def test_dropping_with_null_and_repeated_ids(spark):
+    """Case changes the text, not the fingerprint."""
+    rows = [(None, "a b c d e"), (None, "A b c d e"), (1, "other words stand here"), (None, "Other words stand here"),
+            (2, "Other words Stand here"), (2, "something else entirely again"), (3, "Something else entirely again"),
+            (4, "one more text of words"), (4, "One more text of words"), (None, None), (None, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [(r.doc_id, (r.text or "").lower()) for r in simhash.drop_near_copies(df).collect()]
+    assert sorted(got, key=str) == sorted([(None, "a b c d e"), (1, rows[2][1]), (2, rows[5][1]), (4, rows[7][1]),
+                                           (None, "")], key=str)
