@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from eventlens.llm import exact_dedup, mixing, perspectives, piecewise_hash, sentencepiece_codec, simhash, token_attribution, toxicity, url_filter, warc
+from eventlens.llm import (
+    exact_dedup, mixing, periodic_runs, perspectives, piecewise_hash, sentencepiece_codec, simhash, token_attribution,
+    token_store, toxicity, url_filter, vector_codes, warc,
+)
 
 QUERIES = {
     "op1_token_attribution": token_attribution.op1_token_attribution,
@@ -15,6 +18,9 @@ QUERIES = {
     "op8_simhash_near_dedup": simhash.op8_simhash_near_dedup,
     "op9_exact_dedup": exact_dedup.op9_exact_dedup,
     "op10_url_filter": url_filter.op10_url_filter,
+    "op11_token_store": token_store.op11_token_store,
+    "op12_vector_codes": vector_codes.op12_vector_codes,
+    "op13_periodic_runs": periodic_runs.op13_periodic_runs,
 }
 
 ORACLE = {
@@ -22,4 +28,5 @@ ORACLE = {
     "op6_mixing": mixing.ORACLE,
     "op7_warc": warc.ORACLE,
     "op9_exact_dedup": exact_dedup.ORACLE,
+    "op12_vector_codes": vector_codes.ORACLE,
 }
