@@ -25,7 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventlens.llm.common import as_bytes, buffers, map_arrow, slices
@@ -167,21 +167,23 @@ def collapse(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
                      ).withColumnRenamed("id", id_col)
 
 
-def with_planted_runs(doc_id: Column, text: Column) -> Column:
-    """The text, in one of ten documents (by crc32 of the id, none without one) periodic from some word on."""
-    h = F.crc32(doc_id.cast("string").cast("binary"))
-    w = F.filter(F.split(text, r"[\x20\x09-\x0D]+"), lambda x: x != "")
-    n, g = F.size(w).cast("long"), F.floor(h / 10)
-    a = g % n
-    p = F.floor((n - a) / (g % 8 + 3)) + 1
-    planted = F.array_join(F.transform(w, lambda x, i: F.when(i < a, x).otherwise(
-        F.get(w, (a + (i - a) % p).cast("int")))), " ")
-    return F.when((h % 10 == 0) & (n > 0), planted).otherwise(text)
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """(doc_id, text): one of ten documents (by crc32 of the id, none without one) is periodic from some word on."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda x: x != "")
+    # the words are a column of their own: inside the lambda below they would be split anew for every word
+    cut = docs.select("doc_id", "text", F.floor(h / 10).alias("g"), F.when(h % 10 == 0, words).alias("words"))
+    n, a, p = F.size("words").cast("long"), F.col("a"), F.col("p")
+    cut = cut.withColumn("a", F.when(n > 0, F.col("g") % n)).withColumn(
+        "p", F.when(n > 0, F.floor((n - a) / (F.col("g") % 8 + 3)) + 1))
+    planted = F.array_join(F.transform("words", lambda x, i: F.when(i < a, x).otherwise(
+        F.get("words", (a + (i - a) % p).cast("int")))), " ")
+    return cut.select("doc_id", F.when(F.col("a").isNotNull(), planted).otherwise(F.col("text")).alias("text"))
 
 
 def op13_periodic_runs(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    found = collapse(docs.select("doc_id", with_planted_runs(F.col("doc_id"), F.col("text")).alias("text")))
+    found = collapse(with_planted_runs(docs.select("doc_id", "text")))
     best = F.element_at(F.sort_array(F.transform("runs", lambda r: F.struct(
         -r["length"], r["start"], r["period"]))), 1)
     top = found.withColumn("best", F.when(F.size("runs") > 0, best)).withColumn("length", -F.col("best.col1"))
