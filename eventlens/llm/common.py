@@ -38,7 +38,7 @@ def map_arrow(df: DataFrame, fn, schema: str) -> DataFrame:
     return df.mapInArrow(run if rows > BATCH_ROWS else (lambda b: (x for y in b for x in fn(y))), schema)
 
 
-def tasks_by_bytes(df: DataFrame, text_col: str, each: int = 128 << 20, most: int = 20_000) -> int:
+def tasks_by_bytes(df: DataFrame, text_col: str, each: int = 32 << 20, most: int = 20_000) -> int:
     """Tasks to deal the texts out to: about ``each`` bytes a task, two for every core at least, ``most`` at most."""
     size = df.agg(F.sum(F.octet_length(text_col).cast("long"))).first()[0] or 0
     return min(most, max(2 * df.sparkSession.sparkContext.defaultParallelism, -(-size // each)))

@@ -50,9 +50,9 @@ END_ID = 2
 STRIPE_BYTES = 16 << 20
 ROWS_IN_GROUP = 1000
 #: Text bytes that a task encodes together.
-TOGETHER = 8 << 20
+TOGETHER = 4 << 20
 #: Distinct pre-tokens whose ids a task remembers, about.
-REMEMBERED = 500_000
+REMEMBERED = 300_000
 #: Pre-tokens that are encoded as one text.
 JOINED = 100
 #: Words whose pre-tokens are told by these classes, and the pre-tokens of such words in lower case.
