@@ -3,24 +3,26 @@
 Every page becomes one WARC/1.1 record.  Of records with equal payloads of at
 least ``least_bytes`` bytes, the one with the largest id is a ``response`` and
 the others are ``revisit`` records that refer to it; all else is ``response``.
-A dictionary is trained on a bounded sample of payloads (about ``SAMPLE``
-records of at most ``SAMPLE_BYTES``, by a hash of the id).  A task writes its
-rows to archives of about ``FILE_BYTES`` of payload
+A dictionary is trained on a bounded sample of finished records, responses and
+revisits, with their heads (about ``SAMPLE`` records by a hash of the id; of a
+payload over ``SAMPLE_BYTES`` a stretch of that length, at a place by the hash).
+A task writes its rows to archives of about ``FILE_BYTES`` of payload
 (``part-NNNNN-NNN.warc.zst``); payloads are shuffled once, to meet their equals.
 Each archive starts with a skippable frame that holds the (compressed) dictionary, and each
 record is a frame of its own, so it can be read alone.
 
 Payloads that very many rows share are found by the heavy-hitter summaries of
-exact deduplication and joined by broadcast; others take an ordinary shuffle.
-A task writes its archive under a name of its own attempt and renames it, so a
-task that runs again replaces a whole file by an equal one.  The archives lie in
-a shared folder, reached by pyarrow's file systems (file, hdfs, s3, gs).
+exact deduplication, joined by broadcast and spread by their ids; others meet in
+the shuffle.  A task has its rows in a fixed order, writes an archive under a name
+of its own attempt and renames it, so a task that runs again replaces whole files
+by equal ones.  The archives lie in a shared folder, reached by pyarrow's file
+systems (file, hdfs, s3, gs); a path without scheme is on Spark's default one.
 
 Defined cases: a null payload is empty; a null url leaves out the target; an
 empty table gives no archives; rows that repeat an id and payload are a response
 (or revisits) each and refer to that id; a null id is smaller than any other;
-without a usable sample the dictionary is empty and records are compressed
-without one; control characters of a url are percent-encoded; extra columns are
+where the sample is too small to train on (some dozens of records) the dictionary
+is empty and records are compressed without one; control characters of a url are percent-encoded; extra columns are
 ignored.
 """
 
@@ -37,7 +39,7 @@ import pyarrow as pa
 import zstandard
 from pyarrow import fs
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventlens.llm import exact_dedup
@@ -148,40 +150,60 @@ def frames(stream, chunk: int = 1 << 20) -> Iterator[bytes]:
 
 
 def _open(uri: str) -> tuple[fs.FileSystem, str]:
-    return fs.FileSystem.from_uri(uri) if "://" in uri or uri.startswith("file:") else (fs.LocalFileSystem(), uri)
+    return fs.FileSystem.from_uri(uri)
 
 
-def with_response(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
-    """(id, url, payload) with keep_id and n: the response of each payload that several rows share."""
-    rows = pages.withColumn("size", F.length("payload")).withColumn("__digest", F.unhex(F.sha2("payload", 256)))
+def qualified(spark: SparkSession, folder: str) -> str:
+    """``folder`` with the scheme that Spark gives it."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    found = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(path).toString()
+    return "file://" + found.removeprefix("file:") if found.startswith("file:/") and not found.startswith("file://") else found
+
+
+def groups(rows: DataFrame, least_bytes: int) -> tuple[DataFrame, DataFrame]:
+    """(digest, keep_id) of the payloads that several rows share: of very many rows (few digests), of others."""
     small = cut_lineage(rows.filter(F.col("size") >= least_bytes).select("id", "__digest"))
     heavy, _, rest = exact_dedup.split_groups(small)
-    shared = rest.filter("group_size > 1").select("__digest", "keep_id").distinct()
-    none = F.lit(None).cast(pages.schema["id"].dataType)
-    names = ["id", "url", "payload", "keep_id", "shared"]
-    alone = rows.filter(F.col("size") < least_bytes).withColumn("keep_id", none).withColumn("shared", F.lit(False))
-    rows = rows.filter(F.col("size") >= least_bytes)
-    hot = rows.join(F.broadcast(heavy.select("__digest", "keep_id")), "__digest").withColumn("shared", F.lit(True))
-    cold = (rows.join(F.broadcast(heavy), "__digest", "left_anti")
-            .join(shared.withColumn("shared", F.lit(True)), "__digest", "left")
-            .withColumn("shared", F.coalesce("shared", F.lit(False))))
-    out = hot.select(*names).unionByName(cold.select(*names))
-    return out.unionByName(alone.select(*names)) if least_bytes > 0 else out
+    return heavy.select("__digest", "keep_id"), rest.filter("group_size > 1").select("__digest", "keep_id").distinct()
+
+
+def with_response(rows: DataFrame, heavy: DataFrame, shared: DataFrame, least_bytes: int = 0) -> DataFrame:
+    """(id, url, payload, keep_id, shared) in a fixed order within the tasks; payloads are shuffled once."""
+    found = (rows.join(F.broadcast(heavy.withColumnRenamed("keep_id", "heavy_id").withColumn("hot", F.lit(True))),
+                       "__digest", "left").withColumn("hot", F.col("hot").isNotNull() & (F.col("size") >= least_bytes)))
+    # rows that have no equals to meet are spread by a key of their own
+    apart = F.col("hot") | (F.col("size") < least_bytes)
+    found = found.withColumn("key", F.when(apart, F.concat(F.lit("-"), F.xxhash64("id", "url").cast("string")).cast("binary"))
+                             .otherwise(F.col("__digest")))
+    met = found.join(shared.select(F.col("__digest").alias("key"), F.col("keep_id"), F.lit(True).alias("met")), "key", "left")
+    return met.sortWithinPartitions("key", "id", "url").select(
+        "id", "url", "payload", F.when(F.col("hot"), F.col("heavy_id")).otherwise(F.col("keep_id")).alias("keep_id"),
+        (F.col("hot") | F.col("met").isNotNull()).alias("shared"))
+
+
+def _samples(rows: DataFrame, heavy: DataFrame, shared: DataFrame, n: int) -> list[bytes]:
+    """About ``SAMPLE`` of ``n`` records (twice as many at most), by a hash of the id; of long payloads a stretch."""
+    below = int(min(1.0, SAMPLE / n) * ((1 << 62) - 1))
+    h = F.xxhash64("id", "url").bitwiseAND(F.lit((1 << 62) - 1))
+    at = F.when(F.col("size") > SAMPLE_BYTES, h % (F.col("size") - SAMPLE_BYTES + 1)).otherwise(0).cast("int") + 1
+    some = rows.filter(h <= below).limit(2 * SAMPLE).select(
+        "id", "url", "__digest", F.substring("payload", at, F.lit(SAMPLE_BYTES)).alias("payload"))
+    got = some.join(heavy.unionByName(shared).withColumn("shared", F.lit(True)), "__digest", "left").select(
+        "id", "url", "payload", "keep_id", "shared").toLocalIterator()
+    found = (record(r.id, r.url, bytes(r.payload), r.keep_id, bool(r.shared) and r.id != r.keep_id) for r in got)
+    return sorted(found, key=lambda x: hashlib.sha1(x).digest())  # the trainer minds the order
 
 
 def write(pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html",
           least_bytes: int = 0) -> DataFrame:
     """Write archives to ``folder``; (file, records, bytes) of each."""
+    folder = qualified(pages.sparkSession, folder)
     base = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"),
                         F.encode(F.coalesce(F.col(payload_col), F.lit("")), "UTF-8").alias("payload"))
-    rows = base.count()
-    sample = []
-    if rows:  # about SAMPLE records by a hash of the id, whatever the table's size
-        below = int(min(1.0, SAMPLE / rows) * ((1 << 62) - 1))
-        sample = [r.payload for r in base.filter(
-            F.length("payload").between(1, SAMPLE_BYTES) & (F.xxhash64("id").bitwiseAND(F.lit((1 << 62) - 1)) <= below)
-        ).select("payload").limit(2 * SAMPLE).toLocalIterator()]
-    dictionary = train([bytes(x) for x in sample])
+    base = base.withColumn("size", F.length("payload")).withColumn("__digest", F.unhex(F.sha2("payload", 256)))
+    heavy, shared = (cut_lineage(x) for x in groups(base, least_bytes))
+    rows = pages.count()
+    dictionary = train(_samples(base, heavy, shared, rows)) if rows else b""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         files, root = _open(folder)
@@ -212,7 +234,8 @@ def write(pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str =
         if out is not None:
             yield done()
 
-    return cut_lineage(with_response(base, least_bytes).mapInArrow(run, "file string, records long, bytes long"))
+    return cut_lineage(with_response(base, heavy, shared, least_bytes).mapInArrow(
+        run, "file string, records long, bytes long"))
 
 
 def read(archives: DataFrame, id_type: str = "long") -> DataFrame:

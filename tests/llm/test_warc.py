@@ -1,4 +1,5 @@
 import io
+import os
 import struct
 import uuid
 
@@ -27,7 +28,7 @@ def test_matches_sql_and_every_record_can_be_read_alone(spark, tables, duck, tmp
     assert archives.agg({"records": "sum"}).first()[0] == len(rows)
     payloads = {}
     for a in archives.collect():
-        with open(a.file, "rb") as f:
+        with open(a.file.removeprefix("file://"), "rb") as f:
             raw = f.read()
         assert len(raw) == a.bytes
         magic, n = struct.unpack("<II", raw[:8])
@@ -71,3 +72,57 @@ def test_empty_table(spark, tmp_path):
     df = spark.createDataFrame([], "page_id long, url string, html string")
     archives = warc.write(df, str(tmp_path / "none"))
     assert archives.count() == 0 and warc.read(archives).count() == 0
+
+
+def _archives(folder):
+    return {f: open(os.path.join(folder, f), "rb").read() for f in os.listdir(folder) if f.endswith(".zst")}
+
+
+def test_a_task_that_runs_again_writes_the_same_files(spark, tmp_path, monkeypatch):
+    """Rows reach a task in another order, as after a lost executor: files are the same, byte for byte."""
+    monkeypatch.setattr(warc, "FILE_BYTES", 2000)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # tasks by the data's layout
+    rows = [(i, f"http://h/{i}", f"<html>page {i % 40} of some text</html>" * 3) for i in range(400)]
+    out = []
+    for k, order in enumerate((rows, rows[::-1])):
+        folder = str(tmp_path / f"w{k}")
+        df = spark.createDataFrame(order, "page_id long, url string, html string").repartition(3, "page_id")
+        archives = warc.write(df, folder)
+        assert sorted(a.file.rpartition("/")[2] for a in archives.collect()) == sorted(_archives(folder))
+        out.append(_archives(folder))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    heads = [{f: raw[:8] for f, raw in x.items()} for x in out]
+    assert heads[0] == heads[1] and out[0] == out[1]
+
+
+def test_the_dictionary_knows_records_and_long_payloads(spark, tmp_path):
+    """Heads of records are learned, also where every page is longer than a sample."""
+    text = "".join(chr(97 + (i * i * 7 + i // 3) % 26) for i in range(3 * warc.SAMPLE_BYTES))
+    rows = [(i, f"http://host.example/{i}", text[i % 100:] if i % 2 else text) for i in range(300)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    archives = warc.write(df, str(tmp_path / "long"))
+    file = archives.first().file.removeprefix("file://")
+    with open(file, "rb") as f:
+        _, n = struct.unpack("<II", f.read(8))
+        dictionary = zstandard.ZstdDecompressor().decompress(f.read(n))
+    assert b"HTTP/1.1 200 OK" in dictionary
+    small = warc.record(1, "http://host.example/1", b"x" * 10, 9, True)
+    packed = [len(zstandard.ZstdCompressor(level=3, dict_data=d).compress(small))
+              for d in (warc._dictionary(dictionary), None)]
+    assert packed[0] < 0.6 * packed[1]
+
+
+def test_a_folder_without_scheme_is_where_spark_puts_it(spark, tmp_path):
+    assert warc.qualified(spark, str(tmp_path)) == f"file://{tmp_path}"
+    assert warc.qualified(spark, f"file://{tmp_path}") == f"file://{tmp_path}"
+
+
+def test_hot_payloads_are_spread(spark, tmp_path, monkeypatch):
+    """A third of all rows share one payload: they reach many tasks."""
+    rows = [(i, f"u{i}", "hot" if i % 3 == 0 else f"page {i}") for i in range(3000)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    archives = warc.write(df, str(tmp_path / "hot"))
+    most = archives.agg({"records": "max"}).first()[0]
+    assert archives.agg({"records": "sum"}).first()[0] == 3000 and most < 1000
+    got = warc.read(archives).filter("record_type = 'revisit'")
+    assert got.count() == 999 and {r.refers_to for r in got.collect()} == {2997}
