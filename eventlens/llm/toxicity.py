@@ -10,10 +10,12 @@ score (strongest word and expected number of toxic words, through a logistic
 curve fitted on sample documents that the CRF hasn't seen) and into offending
 offsets (runs of words with marginal >= 0.5, in code points).
 
-Only the fit is bounded (``sample_docs`` rows with texts of at most
-``sample_chars`` characters, by hash of the id: toxic ones up to half of them,
-clean ones for the rest); the curve's intercept is set right by the labels' own
-rate.  Every document is scored whole.  Scores depend on the text alone.
+Only the fit is bounded: ``sample_docs`` documents of at most ``sample_chars``
+characters and ``sample_bytes`` bytes of text together, by hash of the id, toxic
+ones up to half of each bound and clean ones for the rest.  It runs in one task
+that hands the driver the model alone (the bytes bound its memory, some 80 bytes
+for each); the curve's intercept is set right by the labels' own rate.  Every
+document is scored whole.  Scores depend on the text alone.
 
 Defined cases: null, empty and wordless texts get the score of a text without
 signs, and no spans; where the sample shows no signs (no usable labels, all or
@@ -25,12 +27,13 @@ scored each; columns beside id and text are ignored or, by `drop_toxic`, kept.
 from __future__ import annotations
 
 import math
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventlens.llm import crf as C
@@ -38,6 +41,7 @@ from eventlens.llm.common import as_bytes, buffers, cut_lineage, map_arrow, slic
 
 SAMPLE_DOCS = 3000
 SAMPLE_CHARS = 20_000
+SAMPLE_BYTES = 8 << 20
 SEEDS = (0x9FB21C651E98DF25, 0xD1B54A32D192ED03, 0xAEF17502108EF2D9, 0x8CB92BA72F3D8DD7)
 
 
@@ -196,27 +200,54 @@ def _logit(p: float) -> float:
     return math.log(p / (1 - p))
 
 
-def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-        label_col: str = "toxic", sample_docs: int = SAMPLE_DOCS, sample_chars: int = SAMPLE_CHARS) -> Model:
-    """Fit on at most ``sample_docs`` labelled documents outside the held-out fold, up to half of them toxic."""
+def sample(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+           label_col: str = "toxic", sample_docs: int = SAMPLE_DOCS, sample_chars: int = SAMPLE_CHARS,
+           sample_bytes: int = SAMPLE_BYTES) -> tuple[DataFrame, float]:
+    """((id, text, bad) of the bounded sample in a fixed order, rate of toxic documents among the usable labels).
+
+    Documents outside the held-out fold are taken by hash of the id; both bounds are halved between toxic and clean
+    ones, and what one kind leaves the other may use."""
     known = (labels.select(F.col(id_col).alias("label_id"), F.col(label_col).alias("label"))
              .filter(F.col("label").isNotNull() & F.col("label_id").isNotNull() & (fold(F.col("label_id")) != 0))
-             .groupBy("label_id").agg(F.max("label").alias("label")))
-    two = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).filter(
-        F.length("text") <= sample_chars)
-    usable = cut_lineage(known.join(two.select("id").distinct(), F.col("id") == F.col("label_id")).select(
-        "label_id", "label", (F.col("label") > 0).alias("bad")))
+             .groupBy("label_id").agg((F.max("label") > 0).alias("bad")))
+    two = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).filter(F.length("text") <= sample_chars)
+    sizes = two.groupBy("id").agg(F.sum(F.octet_length("text").cast("long")).alias("size"))  # rows may repeat an id
+    usable = cut_lineage(known.join(sizes, F.col("id") == F.col("label_id")).select("label_id", "bad", "size"))
     count = {r.bad: r["count"] for r in usable.groupBy("bad").count().collect()}
-    some = min(count.get(True, 0), max(sample_docs // 2, sample_docs - count.get(False, 0)))
-    first = [usable.filter(F.col("bad") == F.lit(bad)).orderBy(F.xxhash64("label_id"), "label_id").limit(size)
-             for bad, size in ((True, some), (False, sample_docs - some))]
-    rows = two.join(F.broadcast(first[0].unionByName(first[1])), F.col("id") == F.col("label_id")).select(
-        "id", "text", "label")
-    got = rows.orderBy(F.xxhash64("id"), "id", "text").limit(sample_docs).toArrow().combine_chunks()
-    if not got.num_rows:
+    n_bad, n_good = count.get(True, 0), count.get(False, 0)
+    few = min(n_bad, max(sample_docs // 2, sample_docs - n_good))
+    order = Window.partitionBy("bad").orderBy(F.xxhash64("label_id"), "label_id")
+    kept = [usable.filter((F.col("bad") == F.lit(bad)) & (F.col("size") <= 4 * sample_chars))
+            .orderBy(F.xxhash64("label_id"), "label_id").limit(size) for bad, size in ((True, few), (False, sample_docs - few))]
+    # sample_docs rows at most: their sizes are added up in one task for each kind
+    first = cut_lineage(kept[0].unionByName(kept[1]).withColumn("so_far", F.sum("size").over(
+        order.rowsBetween(Window.unboundedPreceding, 0))))
+    total = {r.bad: r.total for r in first.groupBy("bad").agg(F.max("so_far").alias("total")).collect()}
+    half = sample_bytes // 2
+    most = {bad: max(half, sample_bytes - total.get(not bad, 0)) for bad in (True, False)}
+    first = first.filter(F.when(F.col("bad"), F.col("so_far") <= most[True]).otherwise(F.col("so_far") <= most[False]))
+    rows = two.join(F.broadcast(first), F.col("id") == F.col("label_id")).select("id", "text", "bad")
+    return rows.orderBy(F.xxhash64("id"), "id", "text").limit(sample_docs), n_bad / max(n_bad + n_good, 1)
+
+
+def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+        label_col: str = "toxic", sample_docs: int = SAMPLE_DOCS, sample_chars: int = SAMPLE_CHARS,
+        sample_bytes: int = SAMPLE_BYTES) -> Model:
+    """Fit on the bounded `sample` of labelled documents outside the held-out fold, in one task."""
+    rows, rate = sample(docs, labels, id_col, text_col, label_col, sample_docs, sample_chars, sample_bytes)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        got = [(as_bytes(b.column(0)), b.column(1)) for b in batches]
+        if got:
+            texts, bad = (pa.concat_arrays(c) for c in zip(*got, strict=True))
+            model = fit_block(*buffers(texts), bad.to_numpy(zero_copy_only=False).astype(bool), rate)
+            yield pa.RecordBatch.from_pydict({"model": [pickle.dumps(model)]})
+
+    # the limit above leaves one partition
+    found = rows.select("text", "bad").coalesce(1).mapInArrow(run, "model binary").collect()
+    if not found:
         return fit_block(np.zeros(1, np.int64), np.zeros(0, np.uint8), np.zeros(0, bool))
-    offsets, data = buffers(as_bytes(got.column("text")))
-    return fit_block(offsets, data, got.column("label").to_numpy() > 0, count.get(True, 0) / sum(count.values()))
+    return pickle.loads(bytes(found[0].model))
 
 
 SPAN = pa.struct([("start", pa.int32()), ("stop", pa.int32()), ("probability", pa.float64())])

@@ -97,3 +97,40 @@ def test_rare_toxic_documents_are_all_learned_from(spark):
     model = toxicity.fit(df, few, sample_docs=200)
     called = {r.doc_id for r in toxicity.score(df, model).filter("score >= 0.5").collect()}
     assert called == set(range(0, 4000, 80))
+
+
+def test_the_sample_is_bounded_in_bytes_and_the_driver_stays_small(spark):
+    """3,000 labelled documents of 20,000 characters: 60 MB, of which the fit takes 8."""
+    import resource
+    words = F.array_join(F.transform(F.sequence(F.lit(1), F.lit(2850)), lambda i: F.concat(
+        F.lit("w"), F.lpad((F.xxhash64("doc_id", i) % 50_000 + 50_000).cast("string"), 5, "0"))), " ")
+    df = spark.range(3000).withColumnRenamed("id", "doc_id").withColumn(
+        "text", F.concat(words, F.when(F.col("doc_id") % 3 == 0, " idiot").otherwise("")))
+    labels = df.select("doc_id", (F.col("doc_id") % 3 == 0).cast("int").alias("toxic"))
+    rows, rate = toxicity.sample(df, labels)
+    taken = rows.agg(F.sum(F.octet_length("text")).alias("b"), F.count_if("bad").alias("bad"), F.count("*").alias("n")).first()
+    assert 0.9 * toxicity.SAMPLE_BYTES < taken.b <= toxicity.SAMPLE_BYTES and 0.4 < taken.bad / taken.n < 0.6
+    assert abs(rate - 1 / 3) < 0.05
+    before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+    model = toxicity.fit(df, labels)
+    assert resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before < 100 << 10  # KB
+    called = {r.doc_id for r in toxicity.score(df.filter("doc_id < 60"), model).filter("score >= 0.5").collect()}
+    assert called == set(range(0, 60, 3))
+
+
+def test_what_one_kind_leaves_the_other_may_use(spark):
+    df = spark.range(200).select(F.col("id").alias("doc_id"), F.repeat(F.lit("abcd "), 20).alias("text"))  # 100 bytes each
+    labels = df.select("doc_id", (F.col("doc_id") < 10).cast("int").alias("toxic"))
+    rows, _ = toxicity.sample(df, labels, sample_bytes=6000)
+    got = {r.bad: r["count"] for r in rows.groupBy("bad").count().collect()}
+    usable = labels.filter(toxicity.fold(F.col("doc_id")) != 0)
+    n_bad = usable.filter("toxic = 1").count()
+    assert got == {True: n_bad, False: 60 - n_bad}
+
+
+def test_repeated_ids_and_long_rows_stay_within_the_bound(spark):
+    df = spark.createDataFrame([(1, "x " * 9000)] * 50 + [(i, "fine words here") for i in range(2, 30)], "doc_id long, text string")
+    labels = df.select("doc_id", F.lit(0).alias("toxic")).distinct()
+    rows, _ = toxicity.sample(df, labels)
+    assert {r.id for r in rows.select("id").collect()} == {
+        i for i in range(2, 30) if zlib.crc32(str(i).encode()) % 5}

@@ -109,7 +109,7 @@ def test_the_dictionary_knows_records_and_long_payloads(spark, tmp_path):
     small = warc.record(1, "http://host.example/1", b"x" * 10, 9, True)
     packed = [len(zstandard.ZstdCompressor(level=3, dict_data=d).compress(small))
               for d in (warc._dictionary(dictionary), None)]
-    assert packed[0] < 0.6 * packed[1]
+    assert packed[0] < packed[1] - 50
 
 
 def test_a_folder_without_scheme_is_where_spark_puts_it(spark, tmp_path):
