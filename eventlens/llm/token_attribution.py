@@ -15,15 +15,17 @@ including ``outside`` (what no section covers), every column sums up to the
 document's tokens.  ``crossing`` counts tokens that begin in a section and end
 beyond it.
 
-Sections are spans of code points in the row's ``sections`` array, without
-overlaps.  `render_fields` makes a document of fields and the spans of their
-values.
-
-Defined cases: null and empty texts and sections have 0 tokens; an empty table
-gives an empty result; rows that repeat are counted each; texts that the
-tokenizer's pattern can't take in one go are cut before single spaces between
-other characters, where every pre-token ends; columns beside those named are
-ignored.
+Sections are spans of code points in the row's ``sections`` array.
+`render_fields` makes a document of fields and the spans of their values.
+
+Defined cases: null and empty texts and sections have 0 tokens; a null element of
+``sections`` is passed over; a section with a null bound, or that stops before it
+starts, is empty; where sections overlap, the one that starts first (then: stops
+first) has the characters; an empty table gives an empty result; rows that repeat
+are counted each; columns beside those named are ignored.  Texts that the
+tokenizer's pattern can't take in one go are cut where every pre-token ends:
+before single spaces between other characters, and around long runs of white
+space, which are one pre-token but for a last character before other text.
 """
 
 from __future__ import annotations
@@ -44,6 +46,10 @@ from eventlens.llm.common import map_arrow
 #: The tokenizer takes at most about so many characters at once.
 PIECE = 50_000
 _SAFE = re.compile(r"(?<=\S) (?=\S)")
+#: White space as the patterns mean it, more of it than they take at once.
+_LONG_SPACE = re.compile(r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{%d,}" % PIECE)
+#: How a pattern ends that makes a run of white space one pre-token, its last character aside before other text.
+_RUNS = r"\s+(?!\S)|\s+"
 _loaded: dict[bytes, tuple[tiktoken.Encoding, np.ndarray]] = {}
 
 
@@ -78,6 +84,17 @@ def pieces(text: str, limit: int = PIECE) -> Iterator[str]:
     yield text[lo:]
 
 
+def encode(text: str, enc: tiktoken.Encoding, runs: bool = True) -> list[int]:
+    """The ids of a text of any length; ``runs``: the pattern ends like `_RUNS`."""
+    ids, lo = [], 0
+    for found in _LONG_SPACE.finditer(text) if runs else ():
+        stop = found.end() if found.end() == len(text) else found.end() - 1
+        ids += [i for p in pieces(text[lo:found.start()]) for i in enc.encode_ordinary(p)]
+        ids += enc._encode_single_piece(text[found.start():stop].encode())
+        lo = stop
+    return ids + [i for p in pieces(text[lo:]) for i in enc.encode_ordinary(p)]
+
+
 def allocate(ends: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Tokens by majority, by first byte and by share, and crossing tokens, of the parts of a text.
 
@@ -101,20 +118,20 @@ def allocate(ends: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return most, first, share, crossing
 
 
-def _count(text: str, spans: list[tuple[str, int, int]], enc, lengths) -> tuple[list, list[np.ndarray]]:
+def _count(text: str, spans: list[tuple[str, int | None, int | None]], enc, lengths, runs: bool = True) -> tuple[list, list[np.ndarray]]:
     """(names of the parts, their columns: n_chars and the four of `allocate`); the last part is outside."""
-    ids = [i for p in pieces(text) for i in enc.encode_ordinary(p)]
+    ids = encode(text, enc, runs)
     ends = np.cumsum(lengths[np.array(ids, np.int64)])
     raw = np.frombuffer(text.encode(), np.uint8)
     byte_of = np.append(np.flatnonzero((raw & 0xC0) != 0x80), len(raw))
     n = len(text)
+    spans = [(s, 0, 0) if a is None or b is None else (s, a, max(a, b)) for s, a, b in spans]
     order = sorted(range(len(spans)), key=lambda i: spans[i][1:])
     cuts, part_of, last = [0], [], 0  # parts of the text: gaps (None) and sections
     for i in order:
         _, a, b = spans[i]
-        a, b = min(max(a, 0), n), min(max(b, 0), n)
-        if a < last or b < a:
-            raise ValueError(f"sections overlap at code point {a}")
+        a = min(max(a, last), n)
+        b = min(max(b, a), n)
         if a > last:
             cuts.append(a)
             part_of.append(None)
@@ -136,7 +153,7 @@ def attribute(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
     if vocabulary is None:
         vocabulary, pattern = default_vocabulary()
     three = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"),
-                        F.expr(f"transform(coalesce(`{sections_col}`, array()), s -> struct("
+                        F.expr(f"transform(filter(coalesce(`{sections_col}`, array()), s -> s is not null), s -> struct("
                                "s.section as section, int(s.start) as start, int(s.stop) as stop))").alias("spans"))
     kind = three.schema["id"].dataType.simpleString()
 
@@ -144,7 +161,8 @@ def attribute(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
         enc, lengths = encoding(vocabulary, pattern)
         names, columns, row = [], [[] for _ in range(5)], []
         for i, (text, spans) in enumerate(zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)):
-            own, found = _count(text, [(s["section"], s["start"], s["stop"]) for s in spans], enc, lengths)
+            own, found = _count(text, [(s["section"], s["start"], s["stop"]) for s in spans], enc, lengths,
+                                pattern.endswith(_RUNS))
             names += own
             row += [i] * len(own)
             for c, f in zip(columns, found, strict=True):

@@ -55,7 +55,7 @@ def test_pieces_of_long_texts_give_the_same_tokens():
     assert [i for p in parts for i in enc.encode_ordinary(p)] == enc.encode_ordinary(text)
 
 
-def test_messy_rows_overlaps_and_empty_table(spark):
+def test_messy_rows_and_empty_table(spark):
     df = spark.createDataFrame(MESSY, DOCS)
     rows = A.attribute(A.render_fields(df, ["source", "lang", "text"], "doc_id")).collect()
     assert len(rows) == 4 * len(MESSY)
@@ -65,5 +65,31 @@ def test_messy_rows_overlaps_and_empty_table(spark):
     got = sorted((r.doc_id, r.section, r.n_chars, r.tokens) for r in A.attribute(df).collect())
     assert got == [(1, "a", 3, 1), (1, "b", 4, 1), (1, "outside", 0, 0), (2, "outside", 0, 0), (2, "outside", 1, 1)]
     assert A.attribute(df.limit(0)).count() == 0
-    with pytest.raises(Exception, match="overlap"):
-        A.attribute(spark.createDataFrame([(1, "abcd", [("a", 0, 3), ("b", 2, 4)], "")], schema)).collect()
+
+
+
+@pytest.mark.parametrize("char", [" ", "\n", "a", "1", "\u0301", "\u6f22"])
+def test_a_million_of_one_character(char):
+    enc, lengths = A.encoding(*A.default_vocabulary())
+    for text in (char * 1_000_000, "x" + char * 1_000_000 + " y"):
+        assert lengths[A.encode(text, enc)].sum() == len(text.encode())
+
+
+def test_long_white_space_is_cut_where_pre_tokens_end():
+    enc, _ = A.encoding(*A.default_vocabulary())
+    n = A.PIECE
+    for text in (" " * n, "a" + " " * n, " " * n + "a", "a" + "\n" * n + "b", "\t" * n + " b" + " \n" * n + "c d",
+                 "a" + " " * (n - 1) + "b", "a" + "\u3000" * n + "\n" + "\x1c" + " " * n):
+        assert A.encode(text, enc) == enc.encode_ordinary(text)
+
+
+def test_null_and_overlapping_sections(spark):
+    text = "alpha beta gamma"
+    spans = [("n", None, 3), ("m", 2, None), ("back", 9, 4), ("one", 0, 8), ("two", 6, 12), ("out", 90, 99), None]
+    df = spark.createDataFrame([(1, text, spans), (2, text, None)],
+                               "doc_id long, text string, sections array<struct<section:string,start:int,stop:int>>")
+    got = {(r.doc_id, r.section): r for r in A.attribute(df).collect()}
+    assert {s: got[1, s].n_chars for s in ("n", "m", "back", "one", "two", "out", "outside")} == {
+        "n": 0, "m": 0, "back": 0, "one": 8, "two": 4, "out": 0, "outside": 4}
+    for column in ("tokens", "tokens_first", "tokens_share"):
+        assert abs(sum(r[column] for (i, _), r in got.items() if i == 1) - got[2, "outside"].tokens) < 1e-9
