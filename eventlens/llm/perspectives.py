@@ -13,7 +13,8 @@ Places are prefix sums in four levels (within a turn's hash range, within the
 turn, within ``BLOCK`` turns, within the conversation), so no window holds a
 long conversation or a crowded turn whole; equal messages are summed up before.
 All that works on lengths; the texts are shuffled once, to join their places.
-Messages meet their conversation's participants under ``SALTS`` salts.
+Messages meet their conversation's participants under ``SALTS`` salts; copies of a
+message are written out by blocks of ``COPIES``, each with a copy of the text.
 
 Defined cases: a null role is the speaker ``unknown``; a null text is empty;
 equal rows are messages of their own, one after the other; a conversation with
@@ -33,6 +34,7 @@ from eventlens.llm.common import cut_lineage
 CONTEXT = "system"
 BLOCK = 256
 SALTS = 16
+COPIES = 10_000
 _BEGIN, _END = "<|im_start|>", "<|im_end|>"
 
 
@@ -96,10 +98,13 @@ def rotate(messages: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn
         place = _matched(inner, place, upper).withColumn("place", F.col("place") + F.col("inner")).drop("inner")
     slot = levels[0][1]
     rows = _matched(_before(rows, slot, ["h", "speaker"], "total", "inner"), place, slot)
-    texts = m.dropDuplicates(message).select(
-        *message, F.concat(_plain(F.col("content")), F.lit(f"{_END}\n")).alias("said"))
-    rows = _matched(rows, texts, message).withColumn("segment", F.concat("head", "said"))
-    rows = rows.withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)))
+    zero = F.lit(0).cast("long")
+    deal = F.explode(F.sequence(zero, F.floor((F.col("copies") - 1) / COPIES)))
+    texts = (m.groupBy(*message).agg(F.first("content").alias("content"), F.count("*").alias("copies"))
+             .select(*message, F.concat(_plain(F.col("content")), F.lit(f"{_END}\n")).alias("said"), deal.alias("deal")))
+    rows = _matched(rows.withColumn("deal", deal), texts, [*message, "deal"]).withColumn("segment", F.concat("head", "said"))
+    first = F.col("deal") * COPIES
+    rows = rows.withColumn("copy", F.explode(F.sequence(first, F.least(first + COPIES, F.col("copies")) - 1)))
     start = F.col("place") + F.col("inner") + F.col("copy") * F.col("size")
     trained = F.col("role") == "assistant"
     return rows.withColumn("start", start).select(

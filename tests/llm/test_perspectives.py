@@ -36,3 +36,22 @@ def test_empty_table_and_plan(spark):
     assert df.count() == 0
     plan = df._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan and "NestedLoop" not in plan
+
+
+def test_copies_of_a_message_are_dealt_out(spark, tables, duck, monkeypatch):
+    """A third of all rows are one message: its copies leave from several tasks, none left out."""
+    monkeypatch.setattr(perspectives, "COPIES", 50)
+    rows = [(1, 2, "user", "again", "")] * 1001 + [(i, 1, "user", f"t{i}", "") for i in range(2000)]
+    folder = tables(conversations=spark.createDataFrame(rows, TALK))
+    out = perspectives.op3_perspectives(spark, folder)
+    same_rows(out, *duck(perspectives.ORACLE, folder))
+    coalesce = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        hot = perspectives.op3_perspectives(spark, folder).filter("segment like '%again%'")
+        held = [len(p) for p in hot.rdd.glom().collect()]
+        assert sum(held) == 1001 and max(held) < 600
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", coalesce)
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
