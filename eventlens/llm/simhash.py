@@ -9,7 +9,10 @@ Search: fingerprints link at ``max_bits`` or fewer differing bits.  Equal ones
 are merged first.  The 64 bits are cut into ``blocks`` blocks; linked
 fingerprints agree in at least ``blocks - max_bits`` of them, so each choice of
 that many blocks is a table of buckets, and no link is missed.  A bucket of more
-than ``BUCKET_ROWS`` rows is dealt out to tasks as pairs of its parts.  Inside a
+than ``REFINE`` times ``BUCKET_ROWS`` rows is split in the same way by the bits that
+its rows needn't share: cut into twice ``max_bits`` blocks, linked rows agree in half
+of them.  What is still larger than ``BUCKET_ROWS`` is dealt out to tasks as pairs of
+its parts.  Inside a
 bucket, rows are sorted by their distance to the first pivot; pairs are
 discarded when any of the ``PIVOTS`` precomputed distances differ by more than
 ``max_bits`` (triangle inequality), and the survivors' bits are compared.  A
@@ -29,7 +32,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventlens.llm.common import as_bytes, cut_lineage, map_arrow, slices
@@ -41,6 +44,8 @@ BLOCKS = 5
 PIVOTS = 16
 #: A larger bucket is split into parts of about half as many rows.
 BUCKET_ROWS = 1024
+#: A bucket so many times larger is split by further bits first: pairs of its parts would be more copies of a row.
+REFINE = 10
 _PIVOTS = np.array([xxhash.xxh64_intdigest(str(i), 42) for i in range(PIVOTS)], np.uint64)
 
 
@@ -103,6 +108,15 @@ def masks(blocks: int, max_bits: int) -> list[int]:
     return [m - (1 << 64) if m >> 63 else m for m in chosen]
 
 
+def finer(mask: int, max_bits: int) -> list[int]:
+    """``mask`` with each choice of half of the blocks that its other bits are cut into (signed)."""
+    free = [i for i in range(64) if not mask >> i & 1]
+    n = 2 * max_bits
+    block = [sum(1 << b for b in free[len(free) * i // n:len(free) * (i + 1) // n]) for i in range(n)]
+    chosen = [(mask | sum(c)) % (1 << 64) for c in itertools.combinations(block, n - max_bits)]
+    return [m - (1 << 64) if m >> 63 else m for m in chosen]
+
+
 def bucket_links(keys: np.ndarray, fps: np.ndarray, max_bits: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Spanning forests of the links within each run of equal keys."""
     near = np.bitwise_count(fps[:, None] ^ _PIVOTS[None, :]).astype(np.int8)
@@ -148,12 +162,27 @@ def bucket_links(keys: np.ndarray, fps: np.ndarray, max_bits: int) -> Iterator[t
 
 def links(distinct: DataFrame, max_bits: int = MAX_BITS, blocks: int = BLOCKS) -> DataFrame:
     """(a, b): links that connect the distinct fingerprints ``fp`` like all links within ``max_bits`` bits."""
-    rows = distinct.select("fp", F.explode(F.array(*(
-        F.struct(F.lit(t).alias("t"), F.col("fp").bitwiseAND(F.lit(m)).alias("k"))
-        for t, m in enumerate(masks(blocks, max_bits))))).alias("b")).select("fp", "b.t", "b.k")
-    sizes = rows.groupBy("t", "k").agg(F.count("*").alias("n")).filter("n > 1")
+    tables = masks(blocks, max_bits)
+
+    def buckets(rows: DataFrame, choices: Column) -> DataFrame:
+        """(fp, t, k, n) in the buckets of the tables (t, mask) of ``choices`` that hold several rows."""
+        rows = rows.select("fp", F.explode(choices).alias("b")).select(
+            "fp", "b.t", F.col("fp").bitwiseAND(F.col("b.m")).alias("k"))
+        return rows.join(rows.groupBy("t", "k").agg(F.count("*").alias("n")).filter("n > 1"), ["t", "k"])
+
+    def several(numbered) -> Column:
+        return F.array(*(F.struct(F.lit(t).alias("t"), F.lit(m).cast("long").alias("m")) for t, m in numbered))
+
+    rows = buckets(distinct, several(enumerate(tables)))
+    if max_bits:
+        rows = cut_lineage(rows)
+        each = [finer(m, max_bits) for m in tables]
+        within = F.element_at(F.array(*(several(enumerate(f, len(tables) + i * len(f))) for i, f in enumerate(each))),
+                              F.col("t") + 1)
+        large = F.col("n") > REFINE * BUCKET_ROWS
+        rows = rows.filter(~large).unionByName(buckets(rows.filter(large), within))
     part = F.pmod(F.xxhash64("fp"), F.col("parts"))
-    rows = (rows.join(sizes, ["t", "k"])
+    rows = (rows
             .withColumn("parts", F.when(F.col("n") > BUCKET_ROWS, F.ceil(F.col("n") * 2 / BUCKET_ROWS)).otherwise(1))
             .withColumn("p", part)
             .withColumn("o", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))

@@ -48,10 +48,12 @@ def test_blocks_of_hashes_cut_documents_anywhere():
     assert [int(p) for p in simhash.fingerprint_block(texts)] == [slow_print(t.decode()) for t in texts]
 
 
-@pytest.mark.parametrize("rows", [simhash.BUCKET_ROWS, 8])
-def test_links_of_clusters_lose_nothing(spark, monkeypatch, rows):
-    """A dense ball, chains, and loners; with tiny buckets the parts of a hot bucket meet in pairs."""
+@pytest.mark.parametrize("rows, refine", [(simhash.BUCKET_ROWS, 10), (8, 10), (8, 1), (2, 0)])
+def test_links_of_clusters_lose_nothing(spark, monkeypatch, rows, refine):
+    """A dense ball, chains, and loners; with tiny buckets a hot bucket is split by further bits, or its parts meet in
+    pairs."""
     monkeypatch.setattr(simhash, "BUCKET_ROWS", rows)
+    monkeypatch.setattr(simhash, "REFINE", refine)
     rng = np.random.default_rng(5)
     prints = {int(x) for x in rng.integers(0, 1 << 63, 60)}
     center = int(rng.integers(0, 1 << 63))
@@ -81,6 +83,16 @@ def test_every_link_shares_a_bucket():
         assert any(flips & m == 0 for m in masks)
 
 
+def test_every_link_of_a_large_bucket_shares_a_finer_one():
+    rng = np.random.default_rng(1)
+    for m in simhash.masks(5, 3):
+        free = [i for i in range(64) if not m >> i & 1]
+        for _ in range(50):
+            flips = sum(1 << int(b) for b in rng.choice(free, 3, replace=False))
+            finer = [f % (1 << 64) for f in simhash.finer(m, 3)]
+            assert any(flips & f == 0 for f in finer) and all(f & m % (1 << 64) == m % (1 << 64) for f in finer)
+
+
 def test_long_chain_of_components(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(200)] + [(1000, 1001), (5, 5)], "a long, b long")
     root = {r.node: r.root for r in components(edges).collect()}
