@@ -244,10 +244,11 @@ def judge(pages: DataFrame, rules=RULES, id_col: str = "page_id", url_col: str =
         least = threshold(scored(known.filter("spare"), trial).select("score", "accepted"))
     else:
         least = -np.inf
-    decided = F.coalesce("by_rule", F.when(F.col("score") >= float(least), "allow").otherwise("block"))
-    return scored(rows, models).select(
-        F.col("id").alias(id_col), "host", "path", "rule", decided.alias("verdict"),
-        F.when(F.col("by_rule").isNull(), F.col("score")).alias("score"))
+    told = F.when(F.col("score") >= float(least), "allow").otherwise("block")
+    by_model = scored(rows.filter("by_rule is null"), models).select("id", "host", "path", "rule", told.alias("verdict"), "score")
+    by_rule = rows.filter("by_rule is not null").select(
+        "id", "host", "path", "rule", F.col("by_rule").alias("verdict"), F.lit(None).cast("double").alias("score"))
+    return by_model.unionByName(by_rule).withColumnRenamed("id", id_col)
 
 
 def op10_url_filter(spark, sf_dir: str) -> DataFrame:
