@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from eventlens.llm.common import as_bytes, cut_lineage, slices
+from eventlens.llm.common import as_bytes, cut_lineage, slices, tasks_by_bytes
 
 WINDOW = 7
 LEAST = 2
@@ -186,11 +186,9 @@ def compare(texts: list[bytes]) -> list[pa.Array]:
 
 def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per document: id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next."""
-    spark = docs.sparkSession
-    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     two = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     tie = F.xxhash64("text").alias("tie")
-    dealt = (two.withColumn("tie", tie).repartitionByRange(tasks, "id", "tie").sortWithinPartitions("id", "tie")
+    dealt = (two.withColumn("tie", tie).repartitionByRange(tasks_by_bytes(two, "text"), "id", "tie").sortWithinPartitions("id", "tie")
              .select("id", "text", F.spark_partition_id().alias("part")))
     kind = two.schema["id"].dataType
     names = ["id", *(c.split()[0] for c in _RESULT.split(", ")), "part", "edge", "text"]
