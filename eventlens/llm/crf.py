@@ -10,6 +10,7 @@ boundary states follow, and all blocks are filled in side by side.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -78,15 +79,22 @@ def tokenize(offsets: np.ndarray, data: np.ndarray) -> Tokens:
     return Tokens(starts, ends, doc, first, hashes)
 
 
+def ranges(offsets: np.ndarray, limit: int = 1 << 20) -> Iterator[tuple[int, int]]:
+    """Ranges of documents with at most ``limit`` bytes, or one longer document."""
+    lo, n = 0, len(offsets) - 1
+    while lo < n:
+        hi = max(lo + 1, int(np.searchsorted(offsets, offsets[lo] + limit, "right")) - 1)
+        yield lo, min(hi, n)
+        lo = min(hi, n)
+
+
 def tokenize_slices(offsets: np.ndarray, data: np.ndarray, limit: int = 1 << 20) -> Tokens:
     """`tokenize` some documents at a time, so that byte-wise arrays stay small."""
-    parts, lo, n = [], 0, len(offsets) - 1
-    while lo < n or not parts:
-        hi = max(min(lo + 1, n), int(np.searchsorted(offsets, offsets[lo] + limit, "right")) - 1)
+    parts = []
+    for lo, hi in list(ranges(offsets, limit)) or [(0, 0)]:
         part = tokenize(offsets[lo:hi + 1] - offsets[lo], data[offsets[lo]:offsets[hi]])
         part.starts, part.ends, part.doc = part.starts + offsets[lo], part.ends + offsets[lo], part.doc + lo
         parts.append(part)
-        lo = hi
     join = {f: np.concatenate([getattr(p, f) for p in parts]) for f in ("starts", "ends", "doc", "first")}
     return Tokens(**join, hashes={k: np.concatenate([p.hashes.pop(k) for p in parts]) for k in KINDS})
 
@@ -178,18 +186,26 @@ def marginals(crf: Crf, tokens: Tokens) -> np.ndarray:
 
 def train(tokens: Tokens, gold: np.ndarray, rounds: int = 100, rate: float = 0.5, decay: float = 1e-3,
           min_count: int = 3) -> Crf:
-    """Maximum likelihood by adaptive gradient steps; features on fewer than ``min_count`` words are left out."""
-    n = len(tokens)
-    names, at = [], []
-    for h in tokens.hashes.values():  # features that no word labelled 1 has are told by the bias
-        here = np.flatnonzero((h != 0) & np.isin(h, np.unique(h[gold > 0])))
-        names.append(h[here])
-        at.append(here)
-    keys, index, count = np.unique(np.concatenate(names), return_inverse=True, return_counts=True)
-    useful = count >= min_count
-    ok = useful[index]
-    index, where = (np.cumsum(useful) - 1)[index[ok]], np.concatenate(at)[ok]
-    keys = keys[useful]
+    """Maximum likelihood by adaptive gradient steps; features on fewer than ``min_count`` words are left out.
+
+    The tokens' hashes are used up: each kind is let go when its features are numbered."""
+    n, size = len(tokens), 0
+    keys, index, where = [], [], []
+    for kind in list(tokens.hashes):  # features that no word labelled 1 has are told by the bias
+        h = tokens.hashes.pop(kind)
+        here = np.flatnonzero((h != 0) & np.isin(h, np.unique(h[gold > 0]))).astype(np.int32)
+        names, at, count = np.unique(h[here], return_inverse=True, return_counts=True)
+        useful = count >= min_count
+        ok = useful[at]
+        keys.append(names[useful])
+        index.append((np.cumsum(useful) - 1 + size)[at[ok]].astype(np.int32))
+        where.append(here[ok])
+        size += len(keys[-1])
+    keys, index, where = np.concatenate(keys), np.concatenate(index), np.concatenate(where)
+    order = np.argsort(keys)
+    rank = np.empty(len(keys), np.int32)
+    rank[order] = np.arange(len(keys), dtype=np.int32)
+    keys, index = keys[order], rank[index]
     crf = Crf(keys, np.zeros(len(keys)), bias=float(np.log((gold.sum() + 1) / (n + 2))))
     inner = np.flatnonzero(~tokens.first)
     pair = (2 * gold[inner - 1] + gold[inner]).astype(np.int64)

@@ -13,7 +13,7 @@ offsets (runs of words with marginal >= 0.5, in code points).
 Only the fit is bounded: ``sample_docs`` documents of at most ``sample_chars``
 characters and ``sample_bytes`` bytes of text together, by hash of the id, toxic
 ones up to half of each bound and clean ones for the rest.  It runs in one task
-that hands the driver the model alone (the bytes bound its memory, some 80 bytes
+that hands the driver the model alone (the bytes bound its memory, some 50 bytes
 for each); the curve's intercept is set right by the labels' own rate.  Every
 document is scored whole.  Scores depend on the text alone.
 
@@ -105,10 +105,11 @@ def toxic_signs(tokens: C.Tokens, toxic: np.ndarray) -> np.ndarray:
     rate = min(max(float(toxic[keep].mean()), 1e-3), 0.999)
     sets: list[tuple[np.uint64, np.ndarray, int]] = []  # sign, documents, toxic ones among them
     for kind in C.KINDS[:-2]:
-        pairs, docs = tokens.hashes[kind][use], tokens.doc[use]
-        docs, pairs = docs[pairs != 0], pairs[pairs != 0]
-        order = np.lexsort((docs, pairs))
+        here = use & (tokens.hashes[kind] != 0)
+        pairs, docs = tokens.hashes[kind][here], tokens.doc[here].astype(np.int32)
+        order = np.argsort(pairs, kind="stable")  # documents are in order already
         pairs, docs = pairs[order], docs[order]
+        del order
         new = np.r_[True, (pairs[1:] != pairs[:-1]) | (docs[1:] != docs[:-1])][:len(pairs)]
         often = np.diff(np.r_[np.flatnonzero(new), len(pairs)])
         pairs, docs = pairs[new], docs[new]
@@ -184,12 +185,18 @@ def fit_block(offsets: np.ndarray, data: np.ndarray, toxic: np.ndarray, rate: fl
     chosen[clean[: 2 * int(marked.sum()) + 50]] = True
     chosen = (chosen | marked) & ~spare
     own = chosen[tokens.doc]
-    if not gold[own].any():
+    gold = gold[own]
+    if not gold.any():
         return flat
     part = C.Tokens(tokens.starts[own], tokens.ends[own], tokens.doc[own], tokens.first[own],
-                    {k: h[own] for k, h in tokens.hashes.items()})
-    model = C.train(part, gold[own])
-    top, total = signs(tokens, C.marginals(model, tokens), n)
+                    {k: tokens.hashes.pop(k)[own] for k in list(tokens.hashes)})
+    del tokens, own
+    model = C.train(part, gold)
+    found = []
+    for lo, hi in C.ranges(offsets):  # some documents at a time, as in scoring
+        tokens = C.tokenize(offsets[lo:hi + 1] - offsets[lo], data[offsets[lo]:offsets[hi]])
+        found.append(signs(tokens, C.marginals(model, tokens), hi - lo))
+    top, total = (np.concatenate(x) for x in zip(*found, strict=True))
     curve = logistic(np.column_stack([top, total])[spare], toxic[spare].astype(float))
     if 0 < toxic[spare].sum() < spare.sum():  # the curve saw this rate
         curve[0] += _logit(min(max(true_rate, 1e-9), 1 - 1e-9)) - _logit(float(toxic[spare].mean()))
