@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from eventlens.functions.contract import CONTRACT_COLUMNS
-from eventlens.operators import funnel, metrics, windows
+from eventlens.operators import funnel, metrics, ordered, windows
 from eventlens.operators.dedup import dedup_events
 from eventlens.operators.normalize import normalize_export
 from eventlens.operators.validate import accepted, validate_json
@@ -25,6 +25,7 @@ from eventlens.sinks.topic import canonical_message
 from eventlens.sources.csv_export import read_export
 from eventlens.sources.lake import lake_inventory, lake_slice, read_lake
 from eventlens.streaming import jobs
+from eventlens.streaming.corrections import Corrections
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -36,8 +37,6 @@ LAKE_DAY = 4
 # Watermark delay of the stream replays: their files come in time order, so it
 # only covers the disorder within a slice, whatever the table's span.
 REPLAY_DELAY = "1 hour"
-# State partitions of a replay; a stream keeps the number it first starts with.
-STATE_PARTITIONS = 8
 CART_IDLE = "1 day"
 MESSAGE_SCHEMA = "value string, arrival_ts timestamp, position bigint"
 
@@ -49,6 +48,12 @@ def ntz(df: DataFrame) -> DataFrame:
                        for f in df.schema.fields])
 
 
+def state_partitions(spark: SparkSession) -> int:
+    """State partitions of a replay: one for each core that the session has.  A stream keeps the number it first
+    starts with."""
+    return spark.sparkContext.defaultParallelism
+
+
 def _prepare(spark: SparkSession) -> None:
     ensure_utc(spark)
     ensure_checkpoint_dir(spark)
@@ -119,6 +124,10 @@ def conversion_funnel(spark, sf_dir):
     return funnel.conversion_funnel(events(spark, sf_dir))
 
 
+def funnel_ordered(spark, sf_dir):
+    return ordered.funnel_ordered(events(spark, sf_dir))
+
+
 def abandoned_carts(spark, sf_dir):
     view = events(spark, sf_dir)
     last = view.agg(F.max("timestamp")).first()[0]  # idle as of the newest event
@@ -133,10 +142,8 @@ def traffic_by_referrer(spark, sf_dir):
 
 def _validated(spark, sf_dir):
     _prepare(spark)
-    msgs = derived.json_messages(derived.events_view(spark, sf_dir))
-    # building and parsing JSON is the work here, and the scan may be a single task
-    msgs = msgs.repartition(spark.sparkContext.defaultParallelism)
-    return validate_json(msgs, "value", arrival_col="arrival_ts", position_cols=["raw_event_id"])
+    msgs = spark.read.parquet(derived.messages_path(spark, sf_dir))
+    return validate_json(msgs, "value", arrival_col="arrival_ts", position_cols=["position"])
 
 
 def strict_accepted(spark, sf_dir):
@@ -236,7 +243,7 @@ def _stream(build, keys, duplicates=False):
                                 serving_root=scratch_path(spark, "serving"),
                                 checkpoint=scratch_path(spark, "checkpoint"),
                                 max_files_per_trigger=2,
-                                state_partitions=STATE_PARTITIONS)
+                                state_partitions=state_partitions(spark))
         return ntz(out)
     return q
 
@@ -258,7 +265,7 @@ def _stream_event_stats(size):
              scratch_path(spark, "checkpoint")),
             (lambda s: jobs.stats_users_layer(s, REPLAY_DELAY, WINDOWS[size]), users,
              scratch_path(spark, "checkpoint")),
-        ], max_files_per_trigger=2, state_partitions=STATE_PARTITIONS)
+        ], max_files_per_trigger=2, state_partitions=state_partitions(spark))
         return ntz(jobs.read_stats(spark, counts, users))
     return q
 
@@ -277,6 +284,18 @@ def stream_late_counts(spark, sf_dir):
     return table.read(spark).agg(F.sum("rows").alias("rows"), F.sum("late").alias("late"))
 
 
+def stream_late_corrected(spark, sf_dir):
+    """A1 served from a replay with late second deliveries, the windows they touch counted again."""
+    _prepare(spark)
+    src = derived.late_path(spark, sf_dir)
+    served = ServingTable(scratch_path(spark, "serving"), jobs.PRODUCT_COUNT_KEYS)
+    fixed = Corrections(scratch_path(spark, "corrections"), WINDOWS["60s"])
+    speed = jobs.speed_layer(jobs.file_event_stream(spark, src, 1), REPLAY_DELAY, WINDOWS["60s"])
+    jobs.drain(jobs.serve(speed, served, scratch_path(spark, "checkpoint"), state_partitions=state_partitions(spark)),
+               fixed.start(jobs.file_event_stream(spark, src, 1), scratch_path(spark, "checkpoint")))
+    return ntz(fixed.read(spark, served))
+
+
 def stream_event_rollup_view(spark, sf_dir):
     """A2 over the stream-served A1 table."""
     return windows.event_window_rollup(_stream_product_counts("60s")(spark, sf_dir))
@@ -295,7 +314,7 @@ def stream_json_product_counts(spark, sf_dir):
     valid = accepted(validate_json(messages, "value", arrival_col="arrival_ts", position_cols=["position"]))
     table = ServingTable(scratch_path(spark, "serving"), jobs.PRODUCT_COUNT_KEYS)
     jobs.drain(jobs.serve(jobs.speed_layer(valid, REPLAY_DELAY, WINDOWS["60s"]), table,
-                          scratch_path(spark, "checkpoint"), state_partitions=STATE_PARTITIONS))
+                          scratch_path(spark, "checkpoint"), state_partitions=state_partitions(spark)))
     return ntz(table.read(spark))
 
 
@@ -346,6 +365,7 @@ QUERIES.update({
     "unique_users_sessions": unique_users_sessions,
     "daily_trend": daily_trend,
     "conversion_funnel": conversion_funnel,
+    "funnel_ordered": funnel_ordered,
     "abandoned_carts": abandoned_carts,
     "traffic_by_referrer": traffic_by_referrer,
     "strict_accepted": strict_accepted,
@@ -371,5 +391,6 @@ QUERIES["stream_trending"] = stream_trending
 QUERIES["stream_product_views"] = stream_product_views
 QUERIES["stream_dedup_counts"] = stream_dedup_counts
 QUERIES["stream_late_counts"] = stream_late_counts
+QUERIES["stream_late_corrected"] = stream_late_corrected
 QUERIES["stream_ingest_lake"] = stream_ingest_lake
 QUERIES["stream_ingest_quarantine"] = stream_ingest_quarantine

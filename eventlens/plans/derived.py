@@ -133,9 +133,11 @@ def csv_export_frame(view: DataFrame) -> DataFrame:
         .otherwise(F.col("session_id")).alias("user_session"))
 
 
-# Rows of a replay slice, and of a task that writes the lake.
+# A replay has some slices where it is large enough for slices of so many rows, and more only where one (a file,
+# written by one task) would exceed the largest size; so jobs don't grow with rows below millions of them.
+REPLAY_SLICES = 8
 REPLAY_ROWS = 12_500
-LAKE_TASK_ROWS = 12_500
+REPLAY_ROWS_MOST = 500_000
 
 
 EXPORT_COLUMNS = ["event_time", "event_type", "product_id", "category_id", "category_code",
@@ -151,7 +153,7 @@ def with_duplicates(view: DataFrame) -> DataFrame:
 # -- shared materialisations (one per session and scale) -----------------------
 
 _cache: dict[tuple, str] = {}
-_lock = threading.Lock()
+_lock = threading.RLock()  # a materialisation may need another one
 
 
 def exists(spark: SparkSession, path: str) -> bool:
@@ -179,8 +181,7 @@ def _materialise(spark: SparkSession, kind: str, sf_dir: str, build) -> str:
 def lake_root(spark: SparkSession, sf_dir: str) -> str:
     """The contract events archived to a partitioned lake (S5 + P15)."""
     def build(p):
-        view = events_view(spark, sf_dir).select(*CONTRACT_COLUMNS)
-        write_lake(view, p, partitions=max(1, -(-view.count() // LAKE_TASK_ROWS)))
+        write_lake(events_view(spark, sf_dir).select(*CONTRACT_COLUMNS), p)
     return _materialise(spark, "lake", sf_dir, build)
 
 
@@ -192,8 +193,8 @@ def export_path(spark: SparkSession, sf_dir: str) -> str:
 
 
 def replay_path(spark: SparkSession, sf_dir: str, duplicates: bool = False, rows: int = REPLAY_ROWS) -> str:
-    """Contract events as time-ordered Parquet files of about ``rows`` rows, the
-    input of the file-stream replays.
+    """Contract events as time-ordered Parquet files of at least about ``rows`` rows
+    (`slice_count`), the input of the file-stream replays.
 
     A file stream takes files by modification time, so the slices are written
     one after the other, in time order: arrival order is event order.
@@ -216,21 +217,25 @@ def late_path(spark: SparkSession, sf_dir: str) -> str:
         latest = view.agg(F.max("arrival_ts").alias("latest"))
         for again in (view.join(F.broadcast(latest), F.col("arrival_ts") == F.col("latest")),
                       view.filter(F.col("raw_event_id") % 7 == 0)):
-            again.select(*CONTRACT_COLUMNS).coalesce(1).write.mode("append").parquet(p)
+            again.select(*CONTRACT_COLUMNS).write.mode("append").parquet(p)
     return _materialise(spark, "replay-late", sf_dir, build)
 
 
+def slice_count(rows: int, size: int = REPLAY_ROWS, most: int = REPLAY_ROWS_MOST) -> int:
+    return max(1, min(REPLAY_SLICES, -(-rows // size)), -(-rows // most))
+
+
 def _write_slices(rows: DataFrame, path: str, size: int) -> None:
-    """Append consecutive time ranges of about ``size`` rows to ``path``, one after the other, rows without a time
+    """Append consecutive time ranges (`slice_count`) to ``path``, a file each, one after the other, rows without a time
     first.  The table is dealt out once by (time, row), so equal times spread over slices too, and each slice is
     read from its own folder."""
-    n = max(1, -(-rows.count() // size))
+    n = slice_count(rows.count(), size)
     staged = scratch_path(rows.sparkSession, "slices")
     (rows.withColumn("_row", F.monotonically_increasing_id()).repartitionByRange(n, F.asc_nulls_first("arrival_ts"), "_row")
      .drop("_row").withColumn("_slice", F.spark_partition_id()).write.partitionBy("_slice").parquet(staged))
     for k in range(n):
         if exists(rows.sparkSession, f"{staged}/_slice={k}"):  # the range bounds are sampled: a slice may be empty
-            rows.sparkSession.read.schema(rows.schema).parquet(f"{staged}/_slice={k}").write.mode("append").parquet(path)
+            rows.sparkSession.read.schema(rows.schema).parquet(f"{staged}/_slice={k}").coalesce(1).write.mode("append").parquet(path)
 
 
 def messages_path(spark: SparkSession, sf_dir: str) -> str:
@@ -247,7 +252,11 @@ def messages_path(spark: SparkSession, sf_dir: str) -> str:
 def archive_root(spark: SparkSession, sf_dir: str) -> str:
     """The messages, every 7th delivered twice, archived whole to a lake."""
     def build(p):
-        messages = json_messages(with_duplicates(events_view(spark, sf_dir)))
-        kept = archivable(validate_json(messages, "value", "arrival_ts", position_cols=["raw_event_id"]))
-        write_lake(kept, p, partitions=max(1, -(-messages.count() // LAKE_TASK_ROWS)))
+        sent = spark.read.parquet(messages_path(spark, sf_dir))
+        again = sent.filter(F.col("position") % 7 == 0)
+        kept = archivable(validate_json(sent.unionByName(again), "value", "arrival_ts", position_cols=["position"]))
+        # validated once: the ranges of the write are sampled from what lies in files
+        staged = scratch_path(spark, "validated")
+        kept.write.parquet(staged)
+        write_lake(spark.read.parquet(staged), p)
     return _materialise(spark, "archive", sf_dir, build)

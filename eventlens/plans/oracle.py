@@ -140,6 +140,23 @@ UNION ALL SELECT 2, 'add_to_cart', s2 FROM c
 UNION ALL SELECT 3, 'checkout', s3 FROM c
 UNION ALL SELECT 4, 'purchase', s4 FROM c"""
 
+def _step(n: int, types: str) -> str:
+    """The first time of a step at or after that of the step before."""
+    return f"""t{n} AS (
+  SELECT e.session_id, min(e."timestamp") AS t FROM evp AS e JOIN t{n - 1} AS p ON e.session_id = p.session_id
+  WHERE e.event_type IN ({types}) AND e."timestamp" >= p.t GROUP BY 1)"""
+
+
+FUNNEL_ORDERED = f"""WITH {EV},
+t1 AS (SELECT session_id, min("timestamp") AS t FROM evp WHERE event_type IN ('view_item', 'product_view') GROUP BY 1),
+{_step(2, "'add_to_cart'")},
+{_step(3, "'checkout'")},
+{_step(4, "'purchase'")}
+SELECT 1 AS step_no, 'view' AS step, count(*) AS sessions FROM t1
+UNION ALL SELECT 2, 'add_to_cart', count(*) FROM t2
+UNION ALL SELECT 3, 'checkout', count(*) FROM t3
+UNION ALL SELECT 4, 'purchase', count(*) FROM t4"""
+
 ABANDONED_CARTS = f"""WITH {EV},
 s AS (
   SELECT session_id,
@@ -326,6 +343,15 @@ SELECT CAST((SELECT count(*) FROM evp) + (SELECT count(*) FROM evp, last WHERE "
         WHERE {_bucket(60)} + INTERVAL 60 SECOND
               <= date_trunc('milliseconds', latest) - INTERVAL 1 HOUR) AS late"""
 
+STREAM_LATE_CORRECTED = f"""WITH {EV},
+a AS (
+  SELECT * FROM evp
+  UNION ALL SELECT * FROM evp WHERE "timestamp" = (SELECT max("timestamp") FROM evp)
+  UNION ALL SELECT * FROM evp WHERE raw_event_id % 7 = 0)
+SELECT event_type, {_bucket(60)} + INTERVAL 60 SECOND AS window_end, product_key AS product_id,
+       count(*) AS event_count
+FROM a GROUP BY 1, 2, 3"""
+
 ORACLE: dict[str, str] = {}
 for _s in _SECONDS:
     ORACLE[f"product_window_counts_{_s}"] = product_window_counts(_s)
@@ -341,6 +367,7 @@ ORACLE.update({
     "unique_users_sessions": UNIQUE_USERS_SESSIONS,
     "daily_trend": DAILY_TREND,
     "conversion_funnel": CONVERSION_FUNNEL,
+    "funnel_ordered": FUNNEL_ORDERED,
     "abandoned_carts": ABANDONED_CARTS,
     "traffic_by_referrer": TRAFFIC_BY_REFERRER,
     "strict_accepted": STRICT_ACCEPTED,
@@ -361,6 +388,7 @@ ORACLE.update({
     "stream_product_views": PRODUCT_VIEWS,
     "stream_dedup_counts": served_product_counts("60s"),
     "stream_late_counts": STREAM_LATE_COUNTS,
+    "stream_late_corrected": STREAM_LATE_CORRECTED,
     "stream_ingest_lake": STREAM_INGEST_LAKE,
     "stream_ingest_quarantine": STREAM_INGEST_QUARANTINE,
 })

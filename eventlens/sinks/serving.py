@@ -37,7 +37,7 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
-def _child_ids(spark: SparkSession, path: str, prefix: str, committed: bool = True) -> list[int]:
+def child_ids(spark: SparkSession, path: str, prefix: str, committed: bool = True) -> list[int]:
     """Numeric suffixes of ``prefix=<n>`` folders under ``path`` (a listing); only those with a commit mark,
     or all."""
     fs, p = _fs(spark, path)
@@ -82,9 +82,9 @@ class ServingTable:
     # -- read side --------------------------------------------------------
     def _latest(self, spark: SparkSession) -> DataFrame | None:
         """The newest row of every key with its batch_id, from committed folders only."""
-        snaps = _child_ids(spark, self.snapshot_root, "snap_id")
+        snaps = child_ids(spark, self.snapshot_root, "snap_id")
         since = snaps[-1] if snaps else -1
-        batches = [b for b in _child_ids(spark, self.versions_root, "batch_id") if b > since]
+        batches = [b for b in child_ids(spark, self.versions_root, "batch_id") if b > since]
         parts = []
         if batches:
             parts.append(spark.read.option("basePath", self.versions_root).parquet(
@@ -112,17 +112,17 @@ class ServingTable:
 
         Returns the newest batch id folded, or None when nothing is newer than the last snapshot.
         """
-        snaps = _child_ids(spark, self.snapshot_root, "snap_id")
+        snaps = child_ids(spark, self.snapshot_root, "snap_id")
         before = snaps[-1] if snaps else -1
-        newer = [b for b in _child_ids(spark, self.versions_root, "batch_id") if b > before]
+        newer = [b for b in child_ids(spark, self.versions_root, "batch_id") if b > before]
         if not newer:
             return None
         # a folder of this name, if any, has no commit mark: nobody reads it
         self._latest(spark).write.mode("overwrite").parquet(f"{self.snapshot_root}/snap_id={newer[-1]}")
-        for b in _child_ids(spark, self.versions_root, "batch_id"):
+        for b in child_ids(spark, self.versions_root, "batch_id"):
             if b <= before:
                 _delete(spark, f"{self.versions_root}/batch_id={b}")
-        for s in _child_ids(spark, self.snapshot_root, "snap_id", committed=False):
+        for s in child_ids(spark, self.snapshot_root, "snap_id", committed=False):
             if s < before:
                 _delete(spark, f"{self.snapshot_root}/snap_id={s}")
         return newer[-1]
