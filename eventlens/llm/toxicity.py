@@ -12,9 +12,8 @@ offsets (runs of words with marginal >= 0.5, in code points).
 
 Only the fit is bounded: ``sample_docs`` documents of at most ``sample_chars``
 characters and ``sample_bytes`` bytes of text together, by hash of the id, toxic
-ones up to half of each bound and clean ones for the rest.  It runs in one task
-that hands the driver the model alone (the bytes bound its memory, some 50 bytes
-for each); the curve's intercept is set right by the labels' own rate.  Every
+ones up to half of each bound and clean ones for the rest.  The bytes bound the
+driver's memory too, at some 40 bytes for each; the curve's intercept is set right by the labels' own rate.  Every
 document is scored whole.  Scores depend on the text alone.
 
 Defined cases: null, empty and wordless texts get the score of a text without
@@ -27,7 +26,6 @@ scored each; columns beside id and text are ignored or, by `drop_toxic`, kept.
 from __future__ import annotations
 
 import math
-import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -240,21 +238,13 @@ def sample(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         label_col: str = "toxic", sample_docs: int = SAMPLE_DOCS, sample_chars: int = SAMPLE_CHARS,
         sample_bytes: int = SAMPLE_BYTES) -> Model:
-    """Fit on the bounded `sample` of labelled documents outside the held-out fold, in one task."""
+    """Fit on the bounded `sample` of labelled documents outside the held-out fold."""
     rows, rate = sample(docs, labels, id_col, text_col, label_col, sample_docs, sample_chars, sample_bytes)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        got = [(as_bytes(b.column(0)), b.column(1)) for b in batches]
-        if got:
-            texts, bad = (pa.concat_arrays(c) for c in zip(*got, strict=True))
-            model = fit_block(*buffers(texts), bad.to_numpy(zero_copy_only=False).astype(bool), rate)
-            yield pa.RecordBatch.from_pydict({"model": [pickle.dumps(model)]})
-
-    # the limit above leaves one partition
-    found = rows.select("text", "bad").coalesce(1).mapInArrow(run, "model binary").collect()
-    if not found:
+    got = rows.select("text", "bad").toArrow().combine_chunks()
+    if not got.num_rows:
         return fit_block(np.zeros(1, np.int64), np.zeros(0, np.uint8), np.zeros(0, bool))
-    return pickle.loads(bytes(found[0].model))
+    bad = got.column("bad").to_numpy().astype(bool)
+    return fit_block(*buffers(as_bytes(got.column("text"))), bad, rate)
 
 
 SPAN = pa.struct([("start", pa.int32()), ("stop", pa.int32()), ("probability", pa.float64())])

@@ -113,7 +113,7 @@ def test_the_sample_is_bounded_in_bytes_and_the_driver_stays_small(spark):
     assert abs(rate - 1 / 3) < 0.05
     before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
     model = toxicity.fit(df, labels)
-    assert resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before < 100 << 10  # KB
+    assert resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before < 450 << 10  # KB, with the sample's text
     called = {r.doc_id for r in toxicity.score(df.filter("doc_id < 60"), model).filter("score >= 0.5").collect()}
     assert called == set(range(0, 60, 3))
 
