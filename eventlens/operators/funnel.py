@@ -70,6 +70,23 @@ def abandoned_carts(events: DataFrame, idle: str = "30 minutes", as_of: Column |
             .select("session_id", "last_cart_at", "last_event_at", "cart_events"))
 
 
+def abandoned_visits(events: DataFrame, idle: str = "30 minutes", time_col: str = "timestamp") -> DataFrame:
+    """G2 by visits: a visit is a run of a session's events no more than ``idle`` apart; it is abandoned when nothing is
+    bought at or after its last add_to_cart.  The same for a table and, in append mode and with a watermark, for a
+    stream, where a visit comes out once the watermark is ``idle`` past its last event.  Events without a session or
+    time belong to no visit."""
+    t = F.col(time_col)
+    visits = (events.filter(F.col("session_id").isNotNull() & t.isNotNull())
+              .groupBy("session_id", F.session_window(t, idle).alias("visit"))
+              .agg(F.max(F.when(F.col("event_type") == "add_to_cart", t)).alias("last_cart_at"),
+                   F.max(F.when(F.col("event_type") == "purchase", t)).alias("last_purchase_at"),
+                   F.max(t).alias("last_event_at"),
+                   F.count_if(F.col("event_type") == "add_to_cart").alias("cart_events")))
+    return (visits.filter(F.col("last_cart_at").isNotNull()
+                          & (F.col("last_purchase_at").isNull() | (F.col("last_purchase_at") < F.col("last_cart_at"))))
+            .select("session_id", F.col("visit.start").alias("visit_start"), "last_cart_at", "last_event_at", "cart_events"))
+
+
 def traffic_by_referrer(events: DataFrame) -> DataFrame:
     """Events and sessions per referrer host; no referrer is '(direct)'.
     (The contract has no campaign field; the referrer host stands in.)"""

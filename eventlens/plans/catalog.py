@@ -20,6 +20,7 @@ from eventlens.operators.normalize import normalize_export
 from eventlens.operators.validate import accepted, validate_json
 from eventlens.plans import derived
 from eventlens.session import ensure_checkpoint_dir, ensure_utc, scratch_path
+from eventlens.sinks.compaction import CompactedLake
 from eventlens.sinks.serving import ServingTable
 from eventlens.sinks.topic import canonical_message
 from eventlens.sources.csv_export import read_export
@@ -38,6 +39,7 @@ LAKE_DAY = 4
 # only covers the disorder within a slice, whatever the table's span.
 REPLAY_DELAY = "1 hour"
 CART_IDLE = "1 day"
+VISIT_IDLE = "2 hours"
 MESSAGE_SCHEMA = "value string, arrival_ts timestamp, position bigint"
 
 
@@ -233,6 +235,20 @@ def lake_dedup(spark, sf_dir):
         F.count(F.lit(1)).alias("event_count"), F.count_distinct("event_id").alias("ids"))
 
 
+def lake_compacted(spark, sf_dir):
+    """Hours of a lake of small files after they are merged: files, rows and what the rows hold."""
+    _prepare(spark)
+    lake = CompactedLake(derived.small_files_root(spark, sf_dir))
+    lake.compact(spark)
+    hours = ["year", "month", "day", "hour"]
+    files = lake.files(spark).groupBy(*hours).agg(F.count(F.lit(1)).alias("n_files"))
+    rows = lake.read(spark).groupBy(*hours).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum(F.col("event_id").cast("bigint")).alias("id_sum"),
+        F.count_distinct("event_id").alias("ids"), F.count("product_id").alias("products"),
+        F.max("properties").alias("last_properties"))
+    return rows.join(files, hours)
+
+
 # -- streams: S7 W2 W7 W8 W9 --------------------------------------------------------
 
 def _stream(build, keys, duplicates=False):
@@ -296,6 +312,16 @@ def stream_late_corrected(spark, sf_dir):
     return ntz(fixed.read(spark, served))
 
 
+def stream_abandoned_carts(spark, sf_dir):
+    """Abandoned visits that are over at the end of the replay."""
+    _prepare(spark)
+    table = ServingTable(scratch_path(spark, "serving"), jobs.VISIT_KEYS)
+    stream = jobs.file_event_stream(spark, derived.replay_path(spark, sf_dir), 2)
+    jobs.drain(jobs.serve_abandoned_visits(stream, table, scratch_path(spark, "checkpoint"), REPLAY_DELAY, VISIT_IDLE,
+                                           state_partitions=state_partitions(spark)))
+    return ntz(table.read(spark))
+
+
 def stream_event_rollup_view(spark, sf_dir):
     """A2 over the stream-served A1 table."""
     return windows.event_window_rollup(_stream_product_counts("60s")(spark, sf_dir))
@@ -385,6 +411,7 @@ for _s in WINDOWS:
     QUERIES[f"stream_event_stats_{_s}"] = _stream_event_stats(_s)
 QUERIES["archive_payload"] = archive_payload
 QUERIES["lake_dedup"] = lake_dedup
+QUERIES["lake_compacted"] = lake_compacted
 QUERIES["stream_json_product_counts"] = stream_json_product_counts
 QUERIES["stream_event_rollup_view"] = stream_event_rollup_view
 QUERIES["stream_trending"] = stream_trending
@@ -392,5 +419,6 @@ QUERIES["stream_product_views"] = stream_product_views
 QUERIES["stream_dedup_counts"] = stream_dedup_counts
 QUERIES["stream_late_counts"] = stream_late_counts
 QUERIES["stream_late_corrected"] = stream_late_corrected
+QUERIES["stream_abandoned_carts"] = stream_abandoned_carts
 QUERIES["stream_ingest_lake"] = stream_ingest_lake
 QUERIES["stream_ingest_quarantine"] = stream_ingest_quarantine

@@ -185,6 +185,15 @@ def lake_root(spark: SparkSession, sf_dir: str) -> str:
     return _materialise(spark, "lake", sf_dir, build)
 
 
+def small_files_root(spark: SparkSession, sf_dir: str) -> str:
+    """The contract events archived in two runs, which leave a file each in every hour."""
+    def build(p):
+        view = events_view(spark, sf_dir)
+        for k in (0, 1):
+            write_lake(view.filter(F.col("raw_event_id") % 2 == k).select(*CONTRACT_COLUMNS), p)
+    return _materialise(spark, "lake-small", sf_dir, build)
+
+
 def export_path(spark: SparkSession, sf_dir: str) -> str:
     """The derived CSV export written once with a header."""
     def build(p):

@@ -296,6 +296,31 @@ SELECT CAST(year("timestamp") AS INTEGER) AS year, CAST(month("timestamp") AS IN
 FROM evp GROUP BY 1, 2, 3, 4"""
 
 
+LAKE_COMPACTED = f"""WITH {EV}
+SELECT CAST(year("timestamp") AS INTEGER) AS year, CAST(month("timestamp") AS INTEGER) AS month,
+       CAST(day("timestamp") AS INTEGER) AS day, CAST(hour("timestamp") AS INTEGER) AS hour,
+       count(*) AS n_rows, CAST(sum(raw_event_id) AS BIGINT) AS id_sum, count(DISTINCT event_id) AS ids,
+       count(product_id) AS products, max(properties) AS last_properties, CAST(1 AS BIGINT) AS n_files
+FROM evp GROUP BY 1, 2, 3, 4"""
+
+STREAM_ABANDONED_CARTS = f"""WITH {EV},
+gaps AS (
+  SELECT session_id, event_type, "timestamp" AS t,
+         CASE WHEN "timestamp" - lag("timestamp") OVER (PARTITION BY session_id ORDER BY "timestamp")
+                   <= INTERVAL 2 HOUR THEN 0 ELSE 1 END AS opens FROM evp),
+visits AS (
+  SELECT *, sum(opens) OVER (PARTITION BY session_id ORDER BY t ROWS UNBOUNDED PRECEDING) AS visit FROM gaps),
+v AS (
+  SELECT session_id, min(t) AS visit_start, max(t) AS last_event_at,
+         max(CASE WHEN event_type = 'add_to_cart' THEN t END) AS last_cart_at,
+         max(CASE WHEN event_type = 'purchase' THEN t END) AS last_purchase_at,
+         count(*) FILTER (WHERE event_type = 'add_to_cart') AS cart_events
+  FROM visits GROUP BY session_id, visit)
+SELECT session_id, visit_start, last_cart_at, last_event_at, cart_events FROM v
+WHERE last_cart_at IS NOT NULL AND (last_purchase_at IS NULL OR last_purchase_at < last_cart_at)
+  AND last_event_at + INTERVAL 2 HOUR
+      <= (SELECT date_trunc('milliseconds', max("timestamp")) FROM evp) - INTERVAL 1 HOUR"""
+
 STREAM_INGEST_LAKE = f"""WITH {EV}
 SELECT CAST(year("timestamp") AS INTEGER) AS year, CAST(month("timestamp") AS INTEGER) AS month,
        CAST(day("timestamp") AS INTEGER) AS day, CAST(hour("timestamp") AS INTEGER) AS hour,
@@ -379,6 +404,7 @@ ORACLE.update({
     "dedup_events": DEDUP_EVENTS,
     "archive_payload": ARCHIVE_PAYLOAD,
     "lake_dedup": LAKE_DEDUP,
+    "lake_compacted": LAKE_COMPACTED,
     "stream_json_product_counts": stream_json_product_counts("60s"),
     "stream_event_rollup_view": event_window_rollup("60s"),
     "stream_trending": TRENDING,
@@ -389,6 +415,7 @@ ORACLE.update({
     "stream_dedup_counts": served_product_counts("60s"),
     "stream_late_counts": STREAM_LATE_COUNTS,
     "stream_late_corrected": STREAM_LATE_CORRECTED,
+    "stream_abandoned_carts": STREAM_ABANDONED_CARTS,
     "stream_ingest_lake": STREAM_INGEST_LAKE,
     "stream_ingest_quarantine": STREAM_INGEST_QUARANTINE,
 })

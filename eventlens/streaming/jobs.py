@@ -17,6 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from eventlens.functions.contract import CONTRACT_SCHEMA, SPEED_WINDOW, nullable
 from eventlens.operators.dedup import dedup_events
+from eventlens.operators.funnel import abandoned_visits
 from eventlens.operators.metrics import product_views
 from eventlens.operators.windows import (
     event_window_counts, event_window_stats, product_window_counts, serving_projection, window_users,
@@ -37,31 +38,34 @@ def file_event_stream(spark: SparkSession, path: str,
 def serve(result: DataFrame, table: ServingTable, checkpoint: str, *,
           available_now: bool = True, interval: str = "1 second",
           query_name: str | None = None, state_partitions: int | None = None,
-          write: Callable[[DataFrame, int], None] | None = None) -> StreamingQuery:
-    """Run ``result`` in update mode into ``table`` via foreachBatch (``write``, if not its upsert).
+          write: Callable[[DataFrame, int], None] | None = None,
+          output_mode: str = "update", conf: dict[str, str] | None = None) -> StreamingQuery:
+    """Run ``result`` into ``table`` via foreachBatch (``write``, if not its upsert).
 
     A stateful query takes its number of state partitions from
     ``spark.sql.shuffle.partitions`` when it first starts (the checkpoint keeps
-    it afterwards).  ``state_partitions`` sets it for this query only; the
-    session's value is restored once the query has started.
+    it afterwards).  ``state_partitions`` sets it, and ``conf`` other settings, for
+    this query only; the session's values are restored once the query has started.
     """
-    writer = (result.writeStream.outputMode("update")
+    writer = (result.writeStream.outputMode(output_mode)
               .foreachBatch(write or table.upsert)
               .option("checkpointLocation", checkpoint))
     if query_name:
         writer = writer.queryName(query_name)
     writer = writer.trigger(availableNow=True) if available_now else \
         writer.trigger(processingTime=interval)
-    if not state_partitions:
-        return writer.start()
+    own = dict(conf or {})
+    if state_partitions:
+        own["spark.sql.shuffle.partitions"] = str(int(state_partitions))
     spark = result.sparkSession
-    key = "spark.sql.shuffle.partitions"
-    previous = spark.conf.get(key)
-    spark.conf.set(key, str(int(state_partitions)))
+    previous = {key: spark.conf.get(key) for key in own}
     try:
+        for key, value in own.items():
+            spark.conf.set(key, value)
         return writer.start()
     finally:
-        spark.conf.set(key, previous)
+        for key, value in previous.items():
+            spark.conf.set(key, value)
 
 
 def tap(df: DataFrame, name: str, time_col: str = "arrival_ts") -> DataFrame:
@@ -174,6 +178,21 @@ def views_layer(events: DataFrame, time_col: str = "arrival_ts") -> DataFrame:
     return product_views(events, time_col)
 
 
+# Settings of a query over visits: a visit's events meet in its task before the shuffle, so a busy one is a row a
+# task, and visits that ended by the last watermark come out without waiting for more events.
+VISIT_CONF = {"spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
+              "spark.sql.streaming.noDataMicroBatches.enabled": "true"}
+VISIT_KEYS = ("session_id", "visit_start")
+
+
+def serve_abandoned_visits(events: DataFrame, table: ServingTable, checkpoint: str, delay: str, idle: str = "30 minutes",
+                           time_col: str = "arrival_ts", **how) -> StreamingQuery:
+    """G2 on a stream: each abandoned visit goes into ``table`` (key: ``VISIT_KEYS``) once, when the watermark says that
+    it is over.  State is a row for each visit that may still go on."""
+    visits = abandoned_visits(events.withWatermark(time_col, delay), idle, time_col)
+    return serve(visits, table, checkpoint, output_mode="append", conf=VISIT_CONF, **how)
+
+
 def dedup_speed_layer(events: DataFrame, delay: str, window: str = SPEED_WINDOW,
                       time_col: str = "arrival_ts") -> DataFrame:
     """W8 then A1: duplicates within the watermark are counted once."""
