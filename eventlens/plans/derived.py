@@ -186,11 +186,12 @@ def lake_root(spark: SparkSession, sf_dir: str) -> str:
 
 
 def small_files_root(spark: SparkSession, sf_dir: str) -> str:
-    """The contract events archived in two runs, which leave a file each in every hour."""
+    """The contract events archived in two runs, which leave a file or two each in every hour."""
     def build(p):
         view = events_view(spark, sf_dir)
         for k in (0, 1):
-            write_lake(view.filter(F.col("raw_event_id") % 2 == k).select(*CONTRACT_COLUMNS), p)
+            write_lake(view.filter(F.col("raw_event_id") % 2 == k).select(*CONTRACT_COLUMNS), p,
+                       partitions=spark.sparkContext.defaultParallelism)
     return _materialise(spark, "lake-small", sf_dir, build)
 
 

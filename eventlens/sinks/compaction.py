@@ -100,7 +100,7 @@ class CompactedLake:
             if name not in LAKE_PARTITIONS:
                 raise ValueError(f"not a partition column: {name}")
             live = live.filter(F.col(name) == F.lit(value))
-        return self._open(spark, [r.rel for r in live.select("rel").toLocalIterator()]).drop("rel")
+        return self._open(spark, [r.rel for r in live.select("rel").collect()]).drop("rel")
 
     # -- maintenance ------------------------------------------------------
     def bins(self, files: DataFrame) -> DataFrame:
@@ -124,7 +124,7 @@ class CompactedLake:
         live = spark.read.schema(_NONE).parquet(live_path)
         self.bins(live).write.parquet(plan_path)
         plan = spark.read.schema(f"{_NONE}, bin int").parquet(plan_path)
-        chosen = [r.rel for r in plan.select("rel").toLocalIterator()]
+        chosen = [r.rel for r in plan.select("rel").collect()]
         if not chosen:
             return None
         self._merge(spark, chosen, plan, version)
@@ -134,8 +134,10 @@ class CompactedLake:
     def _merge(self, spark: SparkSession, chosen: list[str], plan: DataFrame, version: int) -> None:
         rows = self._open(spark, chosen).join(plan.select("rel", "bin"), "rel").drop("rel")
         padded = rows.withColumns({p: F.lpad(F.col(p).cast("string"), 4 if p == "year" else 2, "0") for p in LAKE_PARTITIONS})
-        # a bin in one task, as one file; adaptive execution puts small ones together
-        (padded.repartition(*LAKE_PARTITIONS, "bin").sortWithinPartitions(*LAKE_PARTITIONS, "bin", "arrival_ts", "event_id")
+        # a bin in one task, as one file; tasks by bytes, but no fewer than cores (files cost time too)
+        size = plan.agg(F.sum("bytes").alias("bytes"), F.count_distinct(*LAKE_PARTITIONS, "bin").alias("bins")).first()
+        tasks = max(-(-size.bytes // self.target_bytes), min(size.bins, spark.sparkContext.defaultParallelism), 1)
+        (padded.repartition(tasks, *LAKE_PARTITIONS, "bin").sortWithinPartitions(*LAKE_PARTITIONS, "bin", "arrival_ts", "event_id")
          .write.mode("overwrite").partitionBy(*LAKE_PARTITIONS, "bin").parquet(f"{self.root}/{_COMPACTED}/v={version}"))
 
     def _commit(self, spark: SparkSession, live: DataFrame, plan: DataFrame, before: int | None, version: int) -> None:
