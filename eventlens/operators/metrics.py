@@ -27,6 +27,12 @@ def product_views(events: DataFrame, time_col: str = "arrival_ts",
                  F.max(time_col).alias("last_viewed_at")))
 
 
+def view_events(events: DataFrame, time_col: str = "arrival_ts", view_types: Sequence[str] = VIEW_EVENT_TYPES) -> DataFrame:
+    """The events that A4 counts (product_id, viewed_at)."""
+    return (events.filter(F.col("event_type").isin(list(view_types)))
+            .select(default_product("product_id").alias("product_id"), F.col(time_col).alias("viewed_at")))
+
+
 def trending_products(views: DataFrame, k: int = 10) -> DataFrame:
     """K1: the k most viewed products, ties broken by product_id.
 

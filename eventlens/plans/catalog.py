@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from eventlens.functions.contract import CONTRACT_COLUMNS
-from eventlens.operators import funnel, metrics, ordered, windows
+from eventlens.operators import funnel, metrics, ordered, sketches, windows
 from eventlens.operators.dedup import dedup_events
 from eventlens.operators.normalize import normalize_export
 from eventlens.operators.validate import accepted, validate_json
@@ -110,6 +110,25 @@ def trending_products(spark, sf_dir):
     return ntz(metrics.trending_products(metrics.product_views(events(spark, sf_dir)), TOP_K))
 
 
+def unique_users_range(spark, sf_dir):
+    """Users of every seven days, exactly, and whether the merged hourly sketches come within their bound."""
+    every = events(spark, sf_dir)
+    stored = scratch_path(spark, "sketches")
+    sketches.hourly_sketches(every).write.parquet(stored)
+    estimate = sketches.distinct_in_ranges(spark.read.parquet(stored))
+    both = sketches.distinct_in_ranges_exact(every).join(estimate, ["range_start", "range_end"], "left")
+    off = F.abs(F.col("users_estimate") - F.col("unique_users"))
+    return ntz(both.select("range_start", "range_end", "unique_users",
+                           F.coalesce(off <= F.lit(sketches.relative_error()) * F.col("unique_users"), F.lit(False))
+                           .alias("within_bound")))
+
+
+def trending_bounded(spark, sf_dir):
+    """K1 by a summary of bounded size, proved by exact counts of its candidates."""
+    views = metrics.view_events(events(spark, sf_dir))
+    return ntz(sketches.trending_bounded(views, TOP_K))
+
+
 def events_by_type(spark, sf_dir):
     return metrics.events_by_type(events(spark, sf_dir))
 
@@ -322,6 +341,18 @@ def stream_abandoned_carts(spark, sf_dir):
     return ntz(table.read(spark))
 
 
+def stream_state_audit(spark, sf_dir):
+    """The windows that A1 holds open after the replay, read from its state, beside what it served."""
+    _prepare(spark)
+    table = ServingTable(scratch_path(spark, "serving"), jobs.PRODUCT_COUNT_KEYS)
+    checkpoint = scratch_path(spark, "checkpoint")
+    stream = jobs.file_event_stream(spark, derived.replay_path(spark, sf_dir), 2)
+    jobs.drain(jobs.serve(jobs.speed_layer(stream, REPLAY_DELAY, WINDOWS["1d"]), table, checkpoint,
+                          state_partitions=state_partitions(spark),
+                          conf={"spark.sql.streaming.noDataMicroBatches.enabled": "true"}))
+    return ntz(jobs.state_differences(spark, checkpoint, table))
+
+
 def stream_event_rollup_view(spark, sf_dir):
     """A2 over the stream-served A1 table."""
     return windows.event_window_rollup(_stream_product_counts("60s")(spark, sf_dir))
@@ -387,7 +418,9 @@ for _s in ROLLING:
 QUERIES.update({
     "product_views_total": product_views_total,
     "trending_products": trending_products,
+    "trending_bounded": trending_bounded,
     "events_by_type": events_by_type,
+    "unique_users_range": unique_users_range,
     "unique_users_sessions": unique_users_sessions,
     "daily_trend": daily_trend,
     "conversion_funnel": conversion_funnel,
@@ -420,5 +453,6 @@ QUERIES["stream_dedup_counts"] = stream_dedup_counts
 QUERIES["stream_late_counts"] = stream_late_counts
 QUERIES["stream_late_corrected"] = stream_late_corrected
 QUERIES["stream_abandoned_carts"] = stream_abandoned_carts
+QUERIES["stream_state_audit"] = stream_state_audit
 QUERIES["stream_ingest_lake"] = stream_ingest_lake
 QUERIES["stream_ingest_quarantine"] = stream_ingest_quarantine

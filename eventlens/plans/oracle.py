@@ -321,6 +321,20 @@ WHERE last_cart_at IS NOT NULL AND (last_purchase_at IS NULL OR last_purchase_at
   AND last_event_at + INTERVAL 2 HOUR
       <= (SELECT date_trunc('milliseconds', max("timestamp")) FROM evp) - INTERVAL 1 HOUR"""
 
+STREAM_STATE_AUDIT = f"""WITH {EV},
+a AS (
+  SELECT event_type, {_bucket(86400)} + INTERVAL 86400 SECOND AS window_end, product_key AS product_id,
+         count(*) AS n
+  FROM evp GROUP BY 1, 2, 3)
+SELECT event_type, window_end, product_id, n AS state_count, n AS served_count FROM a
+WHERE window_end > (SELECT date_trunc('milliseconds', max("timestamp")) FROM evp) - INTERVAL 1 HOUR"""
+
+UNIQUE_USERS_RANGE = f"""WITH {EV},
+days AS (SELECT DISTINCT CAST("timestamp" AS DATE) AS day, user_id FROM evp)
+SELECT CAST(day - back AS TIMESTAMP) AS range_start, CAST(day - back + 7 AS TIMESTAMP) AS range_end,
+       count(DISTINCT user_id) AS unique_users, TRUE AS within_bound
+FROM days, (SELECT CAST(unnest(range(7)) AS INTEGER) AS back) GROUP BY 1, 2"""
+
 STREAM_INGEST_LAKE = f"""WITH {EV}
 SELECT CAST(year("timestamp") AS INTEGER) AS year, CAST(month("timestamp") AS INTEGER) AS month,
        CAST(day("timestamp") AS INTEGER) AS day, CAST(hour("timestamp") AS INTEGER) AS hour,
@@ -405,6 +419,9 @@ ORACLE.update({
     "archive_payload": ARCHIVE_PAYLOAD,
     "lake_dedup": LAKE_DEDUP,
     "lake_compacted": LAKE_COMPACTED,
+    "trending_bounded": TRENDING,
+    "unique_users_range": UNIQUE_USERS_RANGE,
+    "stream_state_audit": STREAM_STATE_AUDIT,
     "stream_json_product_counts": stream_json_product_counts("60s"),
     "stream_event_rollup_view": event_window_rollup("60s"),
     "stream_trending": TRENDING,

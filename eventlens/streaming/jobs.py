@@ -193,6 +193,29 @@ def serve_abandoned_visits(events: DataFrame, table: ServingTable, checkpoint: s
     return serve(visits, table, checkpoint, output_mode="append", conf=VISIT_CONF, **how)
 
 
+def open_windows(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """What A1's state holds, read back from the checkpoint of a stopped query: the counts of the windows that the
+    watermark has not passed, in the columns of the served table."""
+    state = spark.read.format("statestore").load(checkpoint)
+    kind, product, window = [f"key.`{c}`" for c in _state_keys(state)]
+    return state.select(F.col(kind).alias("event_type"), F.col(f"{window}.end").alias("window_end"),
+                        F.col(product).alias("product_id"), F.col("value.count").alias("event_count"))
+
+
+def _state_keys(state: DataFrame) -> tuple[str, str, str]:
+    """The type's, product's and window's name in the state's key, where Spark has its own name for the window."""
+    names = state.schema["key"].dataType
+    window = next(f.name for f in names if f.dataType.typeName() == "struct")
+    return "event_type", next(f.name for f in names if f.name not in ("event_type", window)), window
+
+
+def state_differences(spark: SparkSession, checkpoint: str, table: ServingTable) -> DataFrame:
+    """Windows still open in the state beside the served rows: a row for each, with both counts (null: not served)."""
+    served = table.read(spark).withColumnRenamed("event_count", "served_count")
+    return (open_windows(spark, checkpoint).withColumnRenamed("event_count", "state_count")
+            .join(served, list(PRODUCT_COUNT_KEYS), "left"))
+
+
 def dedup_speed_layer(events: DataFrame, delay: str, window: str = SPEED_WINDOW,
                       time_col: str = "arrival_ts") -> DataFrame:
     """W8 then A1: duplicates within the watermark are counted once."""
