@@ -18,7 +18,7 @@ def events(spark, n=200_000, users=60_000, days=10):
 
 
 def test_ranges_are_within_the_bound(spark):
-    ev = events(spark)
+    ev = events(spark, users=120_000)
     got = {r.range_start: r for r in sketches.distinct_in_ranges(sketches.hourly_sketches(ev), "3 days").collect()}
     want = {r.range_start: r.unique_users for r in sketches.distinct_in_ranges_exact(ev, "3 days").collect()}
     assert set(got) == set(want) and max(want.values()) > 10 * 4096
