@@ -9,6 +9,7 @@ expected answer from the same rows.
 from __future__ import annotations
 
 import threading
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -138,6 +139,7 @@ def csv_export_frame(view: DataFrame) -> DataFrame:
 REPLAY_SLICES = 8
 REPLAY_ROWS = 12_500
 REPLAY_ROWS_MOST = 500_000
+SLICE_ROW_GROUP = 2 << 20  # bytes: the least that a task of a replay reads
 
 
 EXPORT_COLUMNS = ["event_time", "event_type", "product_id", "category_id", "category_code",
@@ -235,27 +237,38 @@ def slice_count(rows: int, size: int = REPLAY_ROWS, most: int = REPLAY_ROWS_MOST
     return max(1, min(REPLAY_SLICES, -(-rows // size)), -(-rows // most))
 
 
-def _write_slices(rows: DataFrame, path: str, size: int) -> None:
+def _write_slices(rows: DataFrame, path: str, size: int,
+                  finish: Callable[[DataFrame], DataFrame] | None = None) -> None:
     """Append consecutive time ranges (`slice_count`) to ``path``, a file each, one after the other, rows without a time
     first.  The table is dealt out once by (time, row), so equal times spread over slices too, and each slice is
-    read from its own folder."""
+    read from its own folder.  ``finish`` derives what is written from the rows dealt out: the range bounds are sampled
+    from the rows as they come, so work done before would be done twice, and by as few tasks as the table has splits.
+    A file's row groups are small, so several tasks share the reading of one file."""
+    spark = rows.sparkSession
     n = slice_count(rows.count(), size)
-    staged = scratch_path(rows.sparkSession, "slices")
-    (rows.withColumn("_row", F.monotonically_increasing_id()).repartitionByRange(n, F.asc_nulls_first("arrival_ts"), "_row")
-     .drop("_row").withColumn("_slice", F.spark_partition_id()).write.partitionBy("_slice").parquet(staged))
+    staged = scratch_path(spark, "slices")
+    dealt = (rows.withColumn("_row", F.monotonically_increasing_id())
+             .repartitionByRange(n, F.asc_nulls_first("arrival_ts"), "_row").drop("_row"))
+    done = finish(dealt) if finish else dealt
+    (done.withColumn("_slice", F.spark_partition_id()).sortWithinPartitions("_slice", F.asc_nulls_first("arrival_ts"))
+     .write.partitionBy("_slice").parquet(staged))
     for k in range(n):
-        if exists(rows.sparkSession, f"{staged}/_slice={k}"):  # the range bounds are sampled: a slice may be empty
-            rows.sparkSession.read.schema(rows.schema).parquet(f"{staged}/_slice={k}").coalesce(1).write.mode("append").parquet(path)
+        if exists(spark, f"{staged}/_slice={k}"):  # the range bounds are sampled: a slice may be empty
+            (spark.read.schema(done.schema).parquet(f"{staged}/_slice={k}").coalesce(1)
+             .write.mode("append").option("parquet.block.size", SLICE_ROW_GROUP).parquet(path))
 
 
 def messages_path(spark: SparkSession, sf_dir: str) -> str:
     """The fault-injected JSON messages at rest (value, arrival_ts, position), as
     a topic would hold them, in time-ordered files like `replay_path`; the
     input of the JSON streams."""
-    def build(p):
-        messages = json_messages(events_view(spark, sf_dir)).select(
+    def messages(dealt: DataFrame) -> DataFrame:
+        return json_messages(contract_events(dealt, keep_raw_type=True)).select(
             "value", "arrival_ts", F.col("raw_event_id").alias("position"))
-        _write_slices(messages, p, REPLAY_ROWS)
+
+    def build(p):
+        table = read_table(spark, sf_dir, "events")
+        _write_slices(table.withColumn("arrival_ts", F.col("ts").cast("timestamp")), p, REPLAY_ROWS, messages)
     return _materialise(spark, "messages", sf_dir, build)
 
 

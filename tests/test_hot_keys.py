@@ -144,3 +144,27 @@ def test_copies_of_one_row_are_dealt_out_by_blocks(spark):
     same = [r for r in got if r.a == "same"]
     assert sorted(r._copy for r in same) == list(range(2500)) and len({r.task for r in same}) > 1
     assert sorted((r.a, r._copy) for r in got if r.a != "same") == [("x", 0), ("x", 1), ("z", 0)]
+
+
+def test_tasks_share_the_reading_of_a_slice(spark, tmp_dir, monkeypatch):
+    import pyarrow.parquet as pq
+    monkeypatch.setattr(derived, "SLICE_ROW_GROUP", 64 << 10)
+    out = os.path.join(tmp_dir, "slices")
+    derived._write_slices(_timed(spark, 60_000).withColumn("value", F.sha2(F.col("id").cast("string"), 512)), out, 30_000)
+    files = [f"{out}/{f}" for f in os.listdir(out) if f.startswith("part-")]
+    assert len(files) == 2 and all(pq.ParquetFile(f).num_row_groups > 4 for f in files)
+    assert spark.read.parquet(out).agg(F.count_distinct("id")).first()[0] == 60_000
+
+
+def test_what_a_slice_holds_is_derived_after_rows_are_dealt_out(spark, tmp_dir):
+    seen = spark.sparkContext.accumulator(0)
+
+    def derive(dealt):
+        def tally(batches):
+            for batch in batches:
+                seen.add(batch.num_rows)
+                yield batch
+        return dealt.mapInArrow(tally, dealt.schema)
+    out = os.path.join(tmp_dir, "derived")
+    derived._write_slices(_timed(spark, 500), out, 100, derive)
+    assert spark.read.parquet(out).count() == 500 and seen.value == 500  # not again for the bounds' sample
