@@ -48,6 +48,13 @@ _FLOAT = r"^(?i)[+-]?((\\d+(_\\d+)*)(\\.(\\d+(_\\d+)*)?)?|\\.\\d+(_\\d+)*)(e[+-]
 _EPOCH = r"^\\s*-?\\d+(\\.\\d+)?\\s*$"
 
 
+# a text that parses is an object where it opens with a brace: no need to derive the whole document's schema
+_IS_BAD = "_doc IS NULL"
+_IS_OBJECT = "_doc IS NOT NULL AND startswith(ltrim('\\u0020\\u0009\\u000a\\u000d', raw), '{')"
+_BAD_REASONS = f"array('{MALFORMED}')"
+_NOT_OBJECT_REASONS = f"array('{NOT_OBJECT}')"
+
+
 def _sql_str(text: str) -> str:
     """A SQL string literal with every character \\u-escaped (safe for any set)."""
     return "'" + "".join(f"\\u{ord(ch):04x}" for ch in text) + "'"
@@ -87,9 +94,7 @@ def validate_json(messages: DataFrame, value_col: str = "value",
                              F.try_parse_json(text).alias("_doc"))
 
     # -- stage 1: one lookup per declared path ---------------------------------
-    ext = ["raw", "_arrival", "_place",
-           "_doc IS NOT NULL AND startswith(schema_of_variant(_doc), 'OBJECT') AS _obj",
-           "_doc IS NULL AS _bad"]
+    ext = ["raw", "_arrival", "_place", f"{_IS_OBJECT} AS _obj", f"{_IS_BAD} AS _bad"]
     paths = [(n, f"$.{n}") for n in _SCALARS] + [(f"device_{n}", f"$.device.{n}") for n in DEVICE_FIELDS]
     for name, path in paths:
         v = f"variant_get(_doc, '{path}', 'variant')"
@@ -176,7 +181,7 @@ def validate_json(messages: DataFrame, value_col: str = "value",
     values["properties"] = (f"CASE WHEN j_properties IS NULL THEN '{{}}' "
                             f"WHEN {props_obj} THEN j_properties END")
 
-    reasons = (f"CASE WHEN _bad THEN array('{MALFORMED}') WHEN NOT _obj THEN array('{NOT_OBJECT}') "
+    reasons = (f"CASE WHEN _bad THEN {_BAD_REASONS} WHEN NOT _obj THEN {_NOT_OBJECT_REASONS} "
                f"ELSE array_compact(array({', '.join(checks)})) END")
     defaulted = ("CASE WHEN _obj THEN array_compact(array("
                  "CASE WHEN k_event_id IS NULL THEN 'event_id' END, "
@@ -220,6 +225,18 @@ def archivable(validated: DataFrame) -> DataFrame:
     valid or not.  The archive applies no contract, so beside the typed columns
     (null where a field has another type) each row keeps the whole message as
     ``raw`` and its ``reasons``.  Malformed text and bare scalars go to
-    quarantine instead."""
+    quarantine instead (:func:`unreadable`).  The rows are fenced off, or the
+    filter would run every check a second time."""
     bad = F.array_contains("reasons", MALFORMED) | F.array_contains("reasons", NOT_OBJECT)
-    return validated.filter(~bad).select(*CONTRACT_COLUMNS, *PAYLOAD_COLUMNS)
+    return _fence(validated.select(*CONTRACT_COLUMNS, *PAYLOAD_COLUMNS)).filter(~bad)
+
+
+def unreadable(messages: DataFrame, value_col: str = "value", arrival_col: str = "arrival_ts") -> DataFrame:
+    """The messages that :func:`archivable` leaves out, with the reasons of :func:`validate_json`: text that doesn't
+    parse, or not as an object.  That takes the parse alone, none of the checks on the fields."""
+    text = F.col(value_col).cast("string")
+    parsed = _fence(messages.select(text.alias("raw"), F.col(arrival_col).cast("timestamp").alias("arrival_ts"),
+                                    F.try_parse_json(text).alias("_doc"))
+                    .selectExpr("raw", "arrival_ts", f"{_IS_OBJECT} AS _obj", f"{_IS_BAD} AS _bad"))
+    return parsed.filter("_bad OR NOT _obj").selectExpr(
+        "raw", f"CASE WHEN _bad THEN {_BAD_REASONS} ELSE {_NOT_OBJECT_REASONS} END AS reasons", "arrival_ts")

@@ -268,17 +268,16 @@ def ingest_streams(messages: DataFrame, lake_root: str, quarantine_root: str, ch
     parses as a JSON object is archived whole under its arrival hour, valid or
     not (the archive applies no contract); malformed text and bare scalars go
     to the quarantine with their reasons.  Both are file sinks with their own
-    checkpoints, so each output is exactly-once; each re-parses the text.
+    checkpoints, so each output is exactly-once; each parses the text, but only
+    the archive looks its fields up and checks them.
     """
-    from eventlens.operators.validate import MALFORMED, NOT_OBJECT, archivable, validate_json
+    from eventlens.operators.validate import archivable, unreadable, validate_json
     from eventlens.sinks.archive import archive_stream
 
     validated = validate_json(messages, "value", arrival_col="arrival_ts", position_cols=position_cols)
     lake_q = archive_stream(archivable(validated), lake_root, f"{checkpoint_root}/lake", time_col,
                             available_now=available_now)
-    bad = (validated
-           .filter(F.array_contains("reasons", MALFORMED) | F.array_contains("reasons", NOT_OBJECT))
-           .select("raw", "reasons", "arrival_ts", F.to_date("arrival_ts").alias("day")))
+    bad = unreadable(messages, "value", "arrival_ts").withColumn("day", F.to_date("arrival_ts"))
     writer = (bad.writeStream.format("parquet")
               .option("path", quarantine_root)
               .option("checkpointLocation", f"{checkpoint_root}/quarantine")

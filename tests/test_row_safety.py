@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from eventlens.operators.dedup import dedup_events
 from eventlens.operators.funnel import traffic_by_referrer
 from eventlens.operators.normalize import normalize_export
-from eventlens.operators.validate import archivable, validate_json
+from eventlens.operators.validate import archivable, unreadable, validate_json
 from eventlens.operators.windows import event_window_rollup
 from eventlens.sinks.archive import write_lake
 from eventlens.sources.kafka import archive_options, topic_options
@@ -85,3 +85,28 @@ def test_topic_options():
     assert topic_options("b")["failOnDataLoss"] == "true"
     o = archive_options("b")
     assert (o["startingOffsets"], o["minOffsetsPerTrigger"], o["maxTriggerDelay"]) == ("earliest", "5000", "60s")
+
+
+def test_unreadable_is_what_the_archive_leaves_out(spark):
+    texts = ["", " ", "{}", "\r\n\t {}", "\n[1]", "null", '"{"', '{"a":1', "42", " {}", '{"a":1,"a":2}', None]
+    msgs = spark.createDataFrame([(t, i) for i, t in enumerate(texts)], "value string, pos int").withColumn(
+        "arrival_ts", F.timestamp_seconds(F.col("pos")))
+    every = validate_json(msgs, arrival_col="arrival_ts", position_cols=["pos"])
+    left = unreadable(msgs).collect()
+    kept = archivable(every).collect()
+    assert sorted(r.arrival_ts.second for r in left + kept) == list(range(len(texts)))
+    reasons = {r.arrival_ts: r.reasons for r in every.collect()}
+    assert all(r.reasons == reasons[r.arrival_ts] for r in left + kept)
+    assert sorted(r.arrival_ts.second for r in kept) == [2, 3]
+
+
+def test_quarantine_runs_no_field_check(spark):
+    msgs = spark.createDataFrame([("{}",)], "value string").withColumn("arrival_ts", F.timestamp_seconds(F.lit(0)))
+    plan = unreadable(msgs)._jdf.queryExecution().optimizedPlan().toString()
+    assert "variant_get" not in plan and "schema_of_variant" not in plan
+
+
+def test_archive_runs_its_checks_once(spark):
+    msgs = spark.createDataFrame([("{}",)], "value string").withColumn("arrival_ts", F.timestamp_seconds(F.lit(0)))
+    plan = archivable(validate_json(msgs, arrival_col="arrival_ts"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("session_id:null") == 1
