@@ -39,11 +39,23 @@ def trending_products(views: DataFrame, k: int = 10) -> DataFrame:
     ``orderBy().limit()`` plans as TakeOrderedAndProject (each task keeps its
     own top k), and the rank is computed over those k rows only.
     """
-    top = views.orderBy(F.desc("view_count"), F.asc("product_id")).limit(k)
+    top = most_viewed(views, k)
     w = Window.orderBy(F.desc("view_count"))
     return top.withColumn("rank", F.rank().over(w).cast("int"))
 
 
+def most_viewed(views: DataFrame, k: int) -> DataFrame:
+    return views.orderBy(F.desc("view_count"), F.asc("product_id")).limit(k)
+
+
+def ranked(top: DataFrame) -> DataFrame:
+    """The few rows of a `most_viewed` with their ranks by view_count, in that order: one array, no window."""
+    rows = F.sort_array(F.collect_list(F.struct((-F.col("view_count")).alias("_less"), *top.columns)))
+    rank = lambda r: (F.size(F.filter("rows", lambda x: x["_less"] < r["_less"])) + 1).cast("int")
+    return top.agg(rows.alias("rows")).select(F.inline(F.transform(
+        "rows", lambda r: F.struct(*[r[c].alias(c) for c in top.columns], rank(r).alias("rank")))))
+
+
 def events_by_type(events: DataFrame) -> DataFrame:
     """A5: total events per event_type."""
     return events.groupBy("event_type").agg(F.count(F.lit(1)).alias("event_count"))

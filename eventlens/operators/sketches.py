@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventlens.operators.metrics import trending_products
+from eventlens.operators.metrics import most_viewed, ranked
 
 # A Theta sketch of 2^12 entries counts up to 4,096 values exactly; beyond, its relative error has this standard deviation.
 LG_ENTRIES = 12
@@ -79,4 +79,4 @@ def trending_bounded(views: DataFrame, k: int = 10, tracked: int = 4096) -> Data
     counts = sorted((r["view_count"] for r in mine.select("view_count").collect()), reverse=True)
     others = min(found["n"] - sum(counts), 5.25 * found["n"] / tracked)
     proved = others <= 0 or (len(counts) >= k and counts[k - 1] > others)
-    return trending_products(mine if proved else total, k)
+    return ranked(most_viewed(mine if proved else total, k))
