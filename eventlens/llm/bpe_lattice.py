@@ -22,7 +22,7 @@ SPACE = "▁"
 #: character, so BPE treats segments independently.
 _SEGMENT = re.compile(" *[^ ]+| +$")
 #: Segments that a process remembers; the older half goes when the newer is full.
-MEMORY = 100_000
+MEMORY = 25_000
 
 
 class Pieces:
@@ -43,8 +43,8 @@ class Pieces:
                          for i in range(sp.get_piece_size())]
         self.new: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
-        self.compatible = lru_cache(500_000)(lambda a, b: self.merged(a + b) == [a, b])
-        self.solid = lru_cache(100_000)(lambda a: self.merged(a) == [a])
+        self.compatible = lru_cache(100_000)(lambda a, b: self.merged(a + b) == [a, b])
+        self.solid = lru_cache(25_000)(lambda a: self.merged(a) == [a])
 
     def merged(self, text: str) -> list[str]:
         """BPE of a short text, as pieces."""

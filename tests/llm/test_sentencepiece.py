@@ -66,3 +66,12 @@ def test_clashing_columns_and_empty_table(spark):
     (r,) = S.encode(df).collect()
     assert r.asDict() == {"uid": "k", "token_ids": LIBRARY.encode("some text")}
     assert S.encode(df.limit(0)).count() == 0
+
+
+def test_a_worker_remembers_few_segments():
+    p = B.Pieces(S.default_model())
+    for k in range(0, 120_000, 1000):
+        words = [f"w{i}" for i in range(k, k + 1000)]
+        assert p.encode_spaced(" " + " ".join(words)).tolist() == p.sp.encode(" ".join(words))
+    assert len(p.new) + len(p.old) <= 60_000
+    assert p.compatible.cache_info().maxsize <= 100_000 and p.solid.cache_info().maxsize <= 25_000
